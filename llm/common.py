@@ -50,3 +50,9 @@ def word_count(text: Column) -> Column:
     """Words `[^\\x20\\x09-\\x0D]+` of a text; null has none. Native and without a regex match per word."""
     flat = F.translate(text, "\t\n\x0b\x0c\r", "     ")
     return F.coalesce(F.size(F.array_remove(F.split(flat, " "), "")), F.lit(0)).cast("long")
+
+
+def with_ids(docs: DataFrame, ids: DataFrame, limit: int = 1_000_000) -> DataFrame:
+    """docs joined to a table of distinct doc_id: by broadcast up to `limit` ids, by a shuffle beyond it."""
+    small = ids.limit(limit + 1).count() <= limit
+    return docs.join(F.broadcast(ids) if small else ids, "doc_id")

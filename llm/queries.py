@@ -5,16 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat, mixing, quality, sharding
+from llm import chat, fingerprints, html, jaccard, mixing, packing, quality, repeats, sharding, toxicity
 from llm.common import table
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_edits(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality.quality(docs, table(spark, sf_dir, "labels").where("quality = 1"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr")
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.sql(f"SELECT * FROM VALUES (-7L, 0L, 'user', '{said}'), (-7L, 1L, 'assistant', '{said}') AS t(conv_id, turn, role, text)")
@@ -29,6 +55,19 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select(
+        "doc_id", "n_bytes", repeats.removed(F.col("spans")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = sharding.stratified_shards(table(spark, sf_dir, "documents"))
     return made.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -43,8 +82,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_quality_rules": op2_quality_rules,
+    "op3_jaccard_join": op3_jaccard_join,
+    "op4_html_extraction": op4_html_extraction,
+    "op5_toxicity": op5_toxicity,
     "op6_chat_formatting": op6_chat_formatting,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
+    "op8_packing": op8_packing,
     "op9_sharding": op9_sharding,
     "op10_mixing": op10_mixing,
 }

@@ -72,12 +72,15 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         lo = hi
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word, and the index of each document's first word (one more at the end)."""
+def words(data: np.ndarray, offsets: np.ndarray, space_table: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word, and the index of each document's first word (one more at the end).
+
+    space_table says of each byte whether it separates words.
+    """
     n = len(data)
     if not n:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(offsets), np.int64)
-    space = _SPACE[data]
+    space = space_table[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     before = edge[:n].copy()
