@@ -52,7 +52,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.size(F.array_remove(F.split(flat, " "), "")), F.lit(0)).cast("long")
 
 
-def with_ids(docs: DataFrame, ids: DataFrame, limit: int = 1_000_000) -> DataFrame:
-    """docs joined to a table of distinct doc_id: by broadcast up to `limit` ids, by a shuffle beyond it."""
-    small = ids.limit(limit + 1).count() <= limit
-    return docs.join(F.broadcast(ids) if small else ids, "doc_id")
+def small_side(ids: DataFrame, limit: int = 1_000_000) -> DataFrame:
+    """ids marked for broadcast when they have up to `limit` rows (counted here), else unmarked, for a shuffle join."""
+    return F.broadcast(ids) if ids.limit(limit + 1).count() <= limit else ids
+
+
+def with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs joined to a table of distinct doc_id: by broadcast if it is small, else by a shuffle."""
+    return docs.join(small_side(ids), "doc_id")

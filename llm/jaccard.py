@@ -9,8 +9,8 @@ never results.
 
 Documents that share such a cell are candidates. A bucket first offers its least document against each of its
 others, so candidates grow with rows; links found merge documents into components, and only then pairs of a bucket
-that are still in different components are offered. A second, folded parity sketch of single bits bounds the
-difference from below and drops most false candidates; the rest are verified on the whole shingle sets.
+that are still in different components are offered. A second parity sketch, of 1024 single bits, bounds the difference
+from below inside the join, so that pairs too far apart are never made; the rest are verified on the whole shingle sets.
 
 Defined cases: null text and text without words have an empty set and link with nothing; a text of one to four words
 has one shingle; documents with equal sets are linked; repeated rows are linked rows of their own, and doc_id names the
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm import text as T
@@ -32,7 +32,8 @@ from llm.common import materialize, with_ids
 from llm.components import components
 
 SMALL_BAND, SMALL_CELLS = 6, 1 << 12
-SKETCH_BITS = 1 << 10
+#: Cells per shingle at the lower end of a band, and words of the bit sketch.
+SPREAD, LANES = 2, 16
 #: A cell seen in this many different sets of one task, and this many in all, is common; so many are put last.
 COMMON_HERE, COMMON, HINTS = 8, 32, 1 << 18
 _SALT = np.uint64(0x9E3779B97F4A7C15)
@@ -54,15 +55,18 @@ def _set_keys(values: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out[0].view(np.int64), out[1].view(np.int64)
 
 
-def _bits(values: np.ndarray, n: int) -> bytes:
-    """Parity sketch: bit h mod m is the parity of the shingles that fall on it; m grows with the set."""
-    m = max(SKETCH_BITS, 1 << n.bit_length())
-    return np.packbits(np.bincount((values >> np.uint64(20)).astype(np.int64) % m, minlength=m).astype(np.uint8) & 1).tobytes()
+def _sketches(values: np.ndarray, ptr: np.ndarray) -> np.ndarray:
+    """Parity sketch of each set in LANES words: a bit is the parity of the number of shingles that fall on it."""
+    n, width = len(ptr) - 1, 64 * LANES
+    doc = np.repeat(np.arange(n), np.diff(ptr))
+    at = doc * width + ((values >> np.uint64(20)) % np.uint64(width)).astype(np.int64)
+    odd = (np.bincount(at, minlength=n * width) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64).reshape(n, LANES)
 
 
 def _band_cells(values: np.ndarray, ptr: np.ndarray, docs: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the non-empty cells of the given documents in a band, and each key's place in docs."""
-    cells = np.uint64(SMALL_CELLS if band < SMALL_BAND else 1 << band)
+    cells = np.uint64(SMALL_CELLS if band < SMALL_BAND else SPREAD << band)
     size = np.diff(ptr)[docs]
     at = np.repeat(ptr[docs] - (np.cumsum(size) - size), size) + np.arange(size.sum())
     v = values[at]
@@ -106,10 +110,11 @@ def _fresh(a: np.ndarray, b: np.ndarray, seen: set) -> np.ndarray:
 
 
 def summaries(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n, the two set keys, bits; and rows (key, count) of cells common within a task."""
+    """Per document: doc_id, n, the two set keys, the sketch h0...; and rows (key, count) of cells common within a task."""
+    lanes = [f"h{i}" for i in range(LANES)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, seen, held, held_n = ["doc_id", "n", "k1", "k2", "bits", "key", "count"], set(), [], 0
+        names, seen, held, held_n = ["doc_id", "n", "k1", "k2", "key", "count", *lanes], set(), [], 0
         for b in batches:
             data, offsets = T.utf8(b.column(1))
             for lo, hi in T.chunks(offsets):
@@ -120,16 +125,16 @@ def summaries(docs: DataFrame) -> DataFrame:
                 held_n += len(held[-1][0])
                 if held_n > 1 << 21:
                     held, held_n = [_merged(held)], 0
-                bits = [_bits(values[ptr[i] : ptr[i + 1]], int(n[i])) if n[i] else None for i in range(hi - lo)]
                 none = pa.nulls(hi - lo, pa.int64())
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(n), pa.array(k1), pa.array(k2), pa.array(bits, pa.binary()), none, none], names)
+                sketch = _sketches(values, ptr)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(n), pa.array(k1), pa.array(k2), none, none, *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(LANES)]], names)
         if held:
             key, count = _merged(held)
             key, count = key[count >= COMMON_HERE], count[count >= COMMON_HERE]
             none = pa.nulls(len(key), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(key), pa.binary()), pa.array(key), pa.array(count)], names)
+            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(key), pa.array(count), *[none] * LANES], names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, k1 long, k2 long, bits binary, key long, count long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", "n", "k1", "k2", "key", "count", *lanes)))
 
 
 def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -169,27 +174,16 @@ def prefix_cells(docs: DataFrame, common: np.ndarray) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "key long, doc_id long")
 
 
-def _differ(a: bytes, b: bytes) -> int:
-    """Hamming distance of two parity sketches; the longer one is folded onto the shorter by XOR."""
-    x, y = np.unpackbits(np.frombuffer(a, np.uint8)), np.unpackbits(np.frombuffer(b, np.uint8))
-    if len(x) < len(y):
-        x, y = y, x
-    x = np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0)
-    return int((x ^ y).sum())
+def _near(percent: int) -> str:
+    """SQL condition on sides x and y (n, h0...): sizes and sketches allow a similarity of percent / 100."""
+    apart = " + ".join(f"bit_count(x.h{i} ^ y.h{i})" for i in range(LANES))
+    return f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and {100 + percent} * ({apart}) <= {100 - percent} * (x.n + y.n)"
 
 
 def sketch_filter(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose sizes and sketches allow a similarity of percent / 100; info: doc_id, n, bits."""
-    side = lambda s: info.select(F.col("doc_id").alias(s), F.col("n").alias(f"n{s}"), F.col("bits").alias(f"bits{s}"))
-    met = pairs.join(side("a"), "a").join(side("b"), "b").where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b", "na", "nb", "bitsa", "bitsb")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in batches:
-            most = (t.column(2).to_numpy() + t.column(3).to_numpy()) * (100 - percent) // (100 + percent)
-            keep = [_differ(x.as_py(), y.as_py()) <= d for x, y, d in zip(t.column(4), t.column(5), most.tolist(), strict=True)]
-            yield t.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
-
-    return met.mapInArrow(run, "a long, b long")
+    """Pairs (a, b) whose sizes and sketches allow a similarity of percent / 100; info: doc_id, n, h0..."""
+    met = pairs.join(info.withColumnRenamed("doc_id", "a").alias("x"), "a").join(info.withColumnRenamed("doc_id", "b").alias("y"), "b")
+    return met.where(_near(percent)).select("a", "b")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, similarity: float = 0.8) -> DataFrame:
@@ -233,19 +227,18 @@ def near_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
     seen = materialize(summaries(docs), "sets")
     common = seen.where("key is not null").groupBy("key").agg(F.sum("count").alias("n")).where(f"n >= {COMMON}")
     common = np.array([r.key for r in common.orderBy(F.desc("n"), "key").limit(HINTS).collect()], np.int64)
-    info = seen.where("key is null").select("doc_id", "n", "k1", "k2", "bits")
+    lanes = [f"h{i}" for i in range(LANES)]
+    info = seen.where("key is null").select("doc_id", "n", "k1", "k2", *lanes)
     classes = materialize(info.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("class")), "classes")
     full = info.where("n > 0 and doc_id is not null").join(classes, ["k1", "k2"])
     of = materialize(full.select("doc_id", "class").distinct(), "class-of")  # of every document with a set
-    chosen = materialize(full.where("doc_id = class").select("doc_id", "n", "bits").dropDuplicates(["doc_id"]), "chosen")
-
-    # buckets of two documents or more, with the least document of each
-    keyed = prefix_cells(docs, common).join(of, "doc_id").select("key", "class").repartition("key")
-    bucket = keyed.groupBy("key", "class").agg(F.lit(1)).select("key", "class")
-    from pyspark.sql import Window
+    chosen = materialize(full.where("doc_id = class").select("doc_id", "n", *lanes).dropDuplicates(["doc_id"]), "chosen")
 
-    hubs = bucket.withColumn("hub", F.min("class").over(Window.partitionBy("key"))).withColumn("last", F.max("class").over(Window.partitionBy("key")))
-    buckets = materialize(hubs.where("hub < last").select("key", F.col("class").alias("doc"), "hub"), "buckets")
+    # buckets of two documents or more; then of two classes or more, with the least class of each
+    ends = lambda c: {"hub": F.min(c).over(Window.partitionBy("key")), "last": F.max(c).over(Window.partitionBy("key"))}
+    keyed = prefix_cells(docs, common).repartition("key").withColumns(ends("doc_id")).where("hub < last").select("key", "doc_id")
+    met = keyed.join(of, "doc_id").select("key", F.col("class").alias("doc")).distinct()
+    buckets = materialize(met.withColumns(ends("doc")).where("hub < last").select("key", "doc", "hub"), "buckets")
 
     first = materialize(buckets.where("hub < doc").select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct(), "first")
     links = materialize(verified(materialize(sketch_filter(first, chosen, percent), "kept"), docs, percent / 100), "links").select("a", "b")
@@ -255,12 +248,11 @@ def near_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
     marked = materialize(marked, "marked")
     sizes = marked.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     open_ = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("labels"), F.max_by("label", F.struct("n", "label")).alias("main")).where("labels > 1")
-    others = marked.join(open_, "key")
-    outside = others.where("label <> main").join(chosen.select(F.col("doc_id").alias("doc"), "n"), "doc").select("key", F.col("doc").alias("x"), F.col("label").alias("lx"), F.col("n").alias("nx"))
-    inside = others.join(chosen.select(F.col("doc_id").alias("doc"), "n"), "doc").select("key", F.col("doc").alias("y"), F.col("label").alias("ly"), F.col("n").alias("ny"))
-    fits = f"lx <> ly and 100 * least(nx, ny) >= {percent} * greatest(nx, ny)"
-    crossed = outside.join(inside, "key").where(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    second = materialize(sketch_filter(crossed.join(first, ["a", "b"], "left_anti"), chosen, percent), "kept")
+    others = marked.join(open_, "key").join(chosen.withColumnRenamed("doc_id", "doc"), "doc")
+    outside, inside = others.where("label <> main").alias("x"), others.alias("y")
+    crossed = outside.join(inside, F.expr(f"x.key = y.key and x.label <> y.label and {_near(percent)}"))
+    crossed = crossed.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
+    second = materialize(crossed.join(first, ["a", "b"], "left_anti"), "kept")
     if not second.isEmpty():
         links = links.unionByName(verified(second, docs, percent / 100).select("a", "b"))
         label = components(links)

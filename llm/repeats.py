@@ -1,13 +1,13 @@
 """Operator 7: removal of repeated byte strings of 400 bytes and more, exact over the whole table.
 
 Every 400-byte window is tied to an anchor that its own content fixes: the leftmost least of the hashes of the 16-byte
-strings that start in its first 200 bytes. Windows with one anchor are neighbours and form a segment, so equal windows
-have equal anchors at equal distance, and the 200 bytes from the anchor on are part of both. Three steps decide:
+strings that start in its first 320 bytes. Windows with one anchor are neighbours and form a segment, so equal windows
+have equal anchors at equal distance, and the 80 bytes from the anchor on are part of both. Segments, then blocks of 16
+windows, then single windows are settled in turn; at each level
 
-1. Segments whose anchor string is nowhere else hold no repeated window.
-2. Segments whose whole text (all their windows together) is found twice hold repeated windows only.
-3. What is left are the edges of matches: there every window is hashed and counted, one segment standing for all that
-   have its text.
+1. units whose core (the bytes that all their windows share) is nowhere else hold no repeated window;
+2. units whose whole text is found twice hold repeated windows only;
+3. the rest, the edges of matches, go to the next level, one unit standing for all that have its text.
 
 Work and shuffles grow with the text, not with the number of copies of a passage.
 
@@ -26,9 +26,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm import text as T
-from llm.common import materialize, with_ids
+from llm.common import materialize, small_side, with_ids
 
-LENGTH, GRAM, REACH = 400, 16, 200
+LENGTH, GRAM, AHEAD, BLOCK = 400, 16, 320, 16
+CORE = LENGTH - AHEAD
 SLICE = 4 << 20
 _LOW = np.uint64(0xFFFFFFFF)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -70,87 +71,111 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     span = lambda a, b: T.mix((prefix[b] - prefix[a]) * down[a])
     i = np.arange(n - GRAM + 1)
     order = (T.mix((prefix[GRAM:] - prefix[: n - GRAM + 1]) * down[: n - GRAM + 1]) & ~_LOW) | i.astype(np.uint64)
-    least = _least_ahead(order, REACH)
+    least = _least_ahead(order, AHEAD)
     begin = offsets[:-1]
     p = np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
     anchor = (least[p] & _LOW).astype(np.int64)
     first = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (p[1:] != p[:-1] + 1)))
     at = np.flatnonzero(first)
     lo, hi, anchor = p[at], p[np.concatenate((at[1:], [len(p)])) - 1], anchor[at]
-    return anchor, lo, hi, span(anchor, anchor + REACH).view(np.int64), T.mix(span(lo, hi + LENGTH) + (anchor - lo).astype(np.uint64) * T._SHORT).view(np.int64)
+    return anchor, lo, hi, span(anchor, anchor + CORE).view(np.int64), T.mix(span(lo, hi + LENGTH) + (anchor - lo).astype(np.uint64) * T._SHORT).view(np.int64)
 
 
-def _anchored(docs: DataFrame) -> DataFrame:
-    """(doc_id, mark, s, t, anchor, lo, hi) of every segment, positions in bytes of the document."""
+def _anchored(docs: DataFrame, places: bool) -> DataFrame:
+    """(s, t) of every segment, with places also doc_id, mark, anchor, lo, hi: positions in bytes of the document."""
+    names = ["s", "t", "doc_id", "mark", "anchor", "lo", "hi"][: 7 if places else 2]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = T.utf8(b.column(2))
             for begin, end, own in slices(offsets):
                 anchor, lo, hi, s, t = segments(data[begin:end], own)
-                doc = np.searchsorted(offsets, begin + lo, "right") - 1
-                base = offsets[doc] - begin
-                ids, mark = b.column(0).take(pa.array(doc)), b.column(1).take(pa.array(doc))
-                yield pa.RecordBatch.from_arrays([ids, mark, pa.array(s), pa.array(t), pa.array(anchor - base), pa.array(lo - base), pa.array(hi - base)], ["doc_id", "mark", "s", "t", "anchor", "lo", "hi"])
+                out = [pa.array(s), pa.array(t)]
+                if places:
+                    doc = np.searchsorted(offsets, begin + lo, "right") - 1
+                    base = offsets[doc] - begin
+                    out += [b.column(0).take(pa.array(doc)), b.column(1).take(pa.array(doc)), pa.array(anchor - base), pa.array(lo - base), pa.array(hi - base)]
+                yield pa.RecordBatch.from_arrays(out, names)
 
-    return docs.mapInArrow(run, "doc_id long, mark long, s long, t long, anchor long, lo long, hi long")
+    return docs.mapInArrow(run, "s long, t long" + ", doc_id long, mark int, anchor long, lo long, hi long" * places)
 
 
-def _windows(docs: DataFrame) -> DataFrame:
-    """(doc_id, mark, s, o, h, c, p) of every window of the listed segments; o is the anchor's distance, h the window's hash."""
+def _units(anchor: np.ndarray, lo: np.ndarray, hi: np.ndarray, block: int) -> tuple[np.ndarray, ...]:
+    """Blocks of windows by distance from the anchor: place in the list, number of the block, first and last distance."""
+    first, last = (anchor - hi) // block, (anchor - lo) // block
+    n = last - first + 1
+    i = np.repeat(np.arange(len(anchor)), n)
+    j = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[i]
+    return i, j, np.maximum(anchor[i] - hi[i], j * block), np.minimum(anchor[i] - lo[i], j * block + block - 1)
+
+
+def _expanded(listed: DataFrame, block: int) -> DataFrame:
+    """Units of the listed segments of each text: doc_id, mark, s, o (number of the block), core, t, c, anchor, lo, hi."""
+    names = ["doc_id", "mark", "s", "o", "core", "t", "c", "anchor", "lo", "hi"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in range(len(b)):
-                listed = b.column(3)[r].values
-                anchor, lo, hi, s, c = (listed.field(k).to_numpy() for k in range(5))
-                text = np.frombuffer(b.column(2)[r].as_buffer() or b"", np.uint8)
-                for k0 in range(0, len(anchor), 1024):
-                    k = slice(k0, k0 + 1024)
-                    x, y = int(lo[k].min()), int(hi[k].max()) + LENGTH
-                    if y - x > 4 * SLICE:  # far apart in a long text: one at a time
-                        parts = [slice(i, i + 1) for i in range(k0, min(k0 + 1024, len(anchor)))]
-                    else:
-                        parts = [k]
-                    for q in parts:
-                        x, y = int(lo[q].min()), int(hi[q].max()) + LENGTH
-                        size = hi[q] - lo[q] + 1
-                        p = np.repeat(lo[q] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-                        h = T.spans_hash(text[x:y], p - x, p - x + LENGTH).view(np.int64)
-                        many = lambda v: pa.array(np.repeat(v, size))  # noqa: E731, B023
-                        n = len(p)
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array([b.column(0)[r].as_py()] * n, pa.int64()), pa.array(np.full(n, b.column(1)[r].as_py())), many(s[q]),
-                            pa.array(np.repeat(anchor[q], size) - p), pa.array(h), many(c[q]), pa.array(p),
-                        ], ["doc_id", "mark", "s", "o", "h", "c", "p"])
-
-    return docs.mapInArrow(run, "doc_id long, mark long, s long, o long, h long, c long, p long")
+                values = b.column(3)[r].values
+                every = [values.field(k).to_numpy() for k in range(5)]
+                order = np.argsort(every[1], kind="stable")
+                every = [v[order] for v in every]
+                text = np.frombuffer(b.column(2)[r].as_buffer(), np.uint8)
+                cut = [0]
+                while cut[-1] < len(order):  # pieces of the text of a few MB
+                    cut.append(max(cut[-1] + 1, int(np.searchsorted(every[1], every[1][cut[-1]] + SLICE, "right"))))
+                for k in map(slice, cut, cut[1:]):
+                    anchor, lo, hi, s, c = (v[k] for v in every)
+                    i, j, near, far = _units(anchor, lo, hi, block)
+                    at, x = anchor[i], int(lo.min())
+                    piece = text[x : int(hi.max()) + LENGTH]
+                    first, last = at - far, at - near
+                    full = at - j * block - x
+                    core = T.spans_hash(piece, full, full - block + 1 + LENGTH).view(np.int64)
+                    t = T.mix(T.spans_hash(piece, first - x, last - x + LENGTH) + (near * 1000 + far).astype(np.uint64) * T._SHORT).view(np.int64) if block > 1 else core
+                    own = [pa.array([b.column(0)[r].as_py()] * len(i), pa.int64()), pa.array(np.full(len(i), b.column(1)[r].as_py(), np.int32))]
+                    yield pa.RecordBatch.from_arrays([*own, *map(pa.array, (s[i], j, core, t, c[i], at, first, last))], names)
+
+    return listed.mapInArrow(run, "doc_id long, mark int, s long, o long, core long, t long, c long, anchor long, lo long, hi long")
+
+
+_PLACE = ["doc_id", "mark", "anchor", "lo", "hi"]
+
+
+def _listed(own: DataFrame, edges: DataFrame) -> DataFrame:
+    """doc_id, mark, text, and the list of (anchor, lo, hi, s, c) of each text that has edges."""
+    lists = edges.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("anchor", "lo", "hi", "s", "c")).alias("listed"))
+    lists = lists.select(F.col("doc_id").alias("_d"), F.col("mark").alias("_m"), "listed")
+    known = with_ids(own.where("doc_id is not null"), edges.where("doc_id is not null").select("doc_id").distinct())
+    texts = known.unionByName(own.where("doc_id is null"))
+    joined = texts.join(lists, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("mark") == F.col("_m")))
+    return joined.dropDuplicates(["doc_id", "mark"]).select("doc_id", "mark", F.col("text").cast("binary").alias("text"), "listed")
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """(doc_id, mark, lo, hi): runs of window starts whose window is also elsewhere; mark is a hash of the document's text."""
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = materialize(_anchored(own.where(f"octet_length(text) >= {LENGTH}")), "segments")
-    shared = rows.groupBy("s").agg(F.count(F.lit(1)).alias("n"), (F.min("t") < F.max("t")).alias("mixed")).where("n > 1").select("s", "mixed")
-    met = materialize(rows.join(shared, "s"), "shared")
-    sure = met.where("not mixed").select("doc_id", "mark", "lo", "hi")
+    text = F.coalesce("text", F.lit(""))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash(text).alias("mark"), text.alias("text")).where(f"octet_length(text) >= {LENGTH}")
+    cores = _anchored(own, False).groupBy("s").agg(F.count(F.lit(1)).alias("n"), (F.min("t") < F.max("t")).alias("mixed")).where("n > 1").select("s", "mixed")
+    met = materialize(_anchored(own, True).join(cores, "s"), "shared")
+    found = met.where("not mixed").select("doc_id", "mark", "lo", "hi")
 
     mixed = met.where("mixed")
-    kinds = materialize(mixed.groupBy("s", "t").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "mark", "anchor", "lo", "hi")).alias("one")), "kinds")
-    sure = sure.unionByName(mixed.join(kinds.where("c > 1").select("s", "t"), ["s", "t"]).select("doc_id", "mark", "lo", "hi"))
-
+    kinds = materialize(mixed.groupBy("s", "t").agg(F.least(F.count(F.lit(1)), F.lit(2)).alias("c"), F.min(F.struct(*_PLACE)).alias("one")), "kinds")
+    found = found.unionByName(mixed.join(kinds.where("c > 1").select("s", "t"), ["s", "t"]).select("doc_id", "mark", "lo", "hi"))
     edges = kinds.join(kinds.where("c = 1").select("s").distinct(), "s").select("one.*", "s", "c")
-    listed = edges.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("anchor", "lo", "hi", "s", "c")).alias("listed"))
-    texts = with_ids(own.where("doc_id is not null"), edges.where("doc_id is not null").select("doc_id").distinct())
-    lost = own.where("doc_id is null")
-    key = F.coalesce(F.col("doc_id"), F.lit(-1)), F.col("doc_id").isNull()
-    left = texts.unionByName(lost).withColumns({"_k": key[0], "_z": key[1]})
-    right = listed.withColumns({"_k": key[0], "_z": key[1]}).drop("doc_id")
-    opened = left.join(right, ["_k", "_z", "mark"]).dropDuplicates(["_k", "_z", "mark"]).select("doc_id", "mark", F.col("text").cast("binary").alias("text"), "listed")
-    windows = materialize(_windows(opened), "windows")
-    twice = windows.groupBy("s", "o", "h").agg(F.sum("c").alias("n")).where("n > 1").select("s", "o", "h")
-    found = windows.where("c = 1").join(twice, ["s", "o", "h"]).select("doc_id", "mark", F.col("p").alias("lo"), F.col("p").alias("hi"))
-    return sure.unionByName(found)
+
+    for block in (BLOCK, 1):
+        units = materialize(_expanded(_listed(own, edges), block), "units")
+        key = ["s", "o", "core"]
+        kinds = units.groupBy(*key, "t").agg(F.least(F.sum("c"), F.lit(2)).alias("c"), F.min(F.struct(*_PLACE)).alias("one"))
+        kinds = materialize(kinds, "kinds") if block > 1 else kinds
+        twice = kinds.where("c > 1").select(*key, "t")
+        found = found.unionByName(units.where("c = 1").join(twice, [*key, "t"]).select("doc_id", "mark", "lo", "hi"))
+        if block > 1:
+            unsure = kinds.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("least")).where("n > 1 and least = 1").select(*key)
+            edges = kinds.join(unsure, key).select("one.*", "s", "c")
+    return found
 
 
 def without_repeats(docs: DataFrame, whole_chars: bool = False) -> DataFrame:
@@ -158,12 +183,15 @@ def without_repeats(docs: DataFrame, whole_chars: bool = False) -> DataFrame:
 
     whole_chars: a character that a run covers in part stays, so that kept is valid UTF-8.
     """
-    runs = repeated_windows(docs).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("lo", "hi")).alias("_runs"))
-    marked = docs.withColumn("_mark", F.xxhash64(F.coalesce("text", F.lit(""))))
+    runs = materialize(repeated_windows(docs).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("lo", "hi")).alias("_runs")), "runs")
     runs = runs.select(F.col("doc_id").alias("_doc"), F.col("mark").alias("_m"), "_runs")
-    joined = marked.join(runs, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_mark") == F.col("_m")), "left").drop("_doc", "_m", "_mark")
-    own = joined.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.coalesce("text", F.lit("")).cast("binary").alias("_bytes"), "_runs")
-    untouched = own.where("_runs is null").select("_row", F.octet_length("_bytes").cast("long").alias("n_bytes"), F.array().cast("array<struct<start: long, end: long>>").alias("spans"), F.col("_bytes").alias("kept"))
+    text = F.coalesce("text", F.lit(""))
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), text.cast("binary").alias("_bytes"), F.col("doc_id").cast("long").alias("_id"), F.hash(text).alias("_mark"))
+    ids = small_side(runs.select(F.col("_doc").alias("_d")).distinct())
+    has = F.col("_id").eqNullSafe(F.col("_d"))
+    none = F.array().cast("array<struct<start: long, end: long>>")
+    untouched = own.join(ids, has, "left_anti").select("_row", F.octet_length("_bytes").cast("long").alias("n_bytes"), none.alias("spans"), F.col("_bytes").alias("kept"))
+    joined = own.join(ids, has, "left_semi").join(runs, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_mark") == F.col("_m")), "left").select("_row", "_bytes", "_runs")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -171,6 +199,11 @@ def without_repeats(docs: DataFrame, whole_chars: bool = False) -> DataFrame:
             sizes, spans, kept = [], [], []
             for text, runs in zip(b.column(1), b.column(2), strict=True):
                 raw = text.as_py()
+                if not runs.is_valid:  # a row that shares no more than its id with one that has runs
+                    sizes.append(len(raw))
+                    spans.append([])
+                    kept.append(raw)
+                    continue
                 lo, hi = runs.values.field(0).to_numpy(), runs.values.field(1).to_numpy() + LENGTH
                 order = np.argsort(lo, kind="stable")
                 lo, reach = lo[order], np.maximum.accumulate(hi[order])
@@ -186,7 +219,7 @@ def without_repeats(docs: DataFrame, whole_chars: bool = False) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())], ["_row", "n_bytes", "spans", "kept"])
 
     row = own.schema["_row"].dataType.simpleString()
-    touched = own.where("_runs is not null").mapInArrow(cut, f"_row {row}, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
+    touched = joined.mapInArrow(cut, f"_row {row}, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
     return untouched.unionByName(touched).select("_row.*", "n_bytes", "spans", "kept")
 
 
