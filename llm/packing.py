@@ -14,9 +14,12 @@ than a window or than a block are cut as often as needed; an empty table gives a
 
 from __future__ import annotations
 
+import gc
 import os
+import re
 from collections import deque
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +32,16 @@ from llm import text as T
 WINDOW, END = 4096, 2
 SENTENCE, INSIDE, STEP = 4, 64, 64
 BLOCK = 1 << 20
-MEMO = 600_000
-_SPLIT = "<|startoftext|>"
+MEMO, PARTS = 900_000, 900_000
+#: A word of letters and trailing ASCII marks: the vocabulary splits it there, and lowers the letters one by one.
+_MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+_LETTERS = re.compile(r"[^\W\d_]+")
 
 
 class WordTokens:
     """Token ids of texts, word by word: this vocabulary's words never merge across white space.
 
-    The ids of up to MEMO different words are kept; when there are more the memory starts anew.
+    The ids of up to MEMO different words and of PARTS of words are kept; when there are more the memory starts anew.
     """
 
     def __init__(self, path: str) -> None:
@@ -44,7 +49,7 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.split = self.tokenizer.token_to_id(_SPLIT)
+        self.parts: dict[bytes, bytes] = {b"": b""}
         self.clear()
 
     def clear(self) -> None:
@@ -52,35 +57,54 @@ class WordTokens:
         self.flat, self.used = np.array([END], np.uint32), 1
         self.first, self.size, self.stop = np.zeros(1, np.int64), np.ones(1, np.int64), np.ones(1, bool)
 
-    def _ids(self, words: list[str]) -> list[list[int]]:
-        out: list[list[int]] = []
-        groups = [words[i : i + 256] for i in range(0, len(words), 256)]
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast([f" {_SPLIT} ".join(g) for g in groups], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, np.uint32)
-            parts = np.split(ids, np.flatnonzero(ids == self.split))
-            assert len(parts) == len(group)
-            out += [parts[0].tolist()] + [p[1:].tolist() for p in parts[1:]]
-        return out
+    def _encode_parts(self, parts: list[bytes]) -> None:
+        """Ids of new parts: many are encoded as one text, and tokens go to parts by their offsets."""
+        if len(self.parts) + len(parts) > PARTS:
+            self.parts = {b"": b""}
+        special = [p for p in parts if b"<|" in p]
+        plain = [p for p in parts if b"<|" not in p] if special else parts
+        for p in special:
+            self.parts[p] = np.array(self.tokenizer.encode(p.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
+        groups = [plain[i : i + 256] for i in range(0, len(plain), 256)]
+        texts = [b" ".join(g).decode("utf-8", "replace") for g in groups]
+        for group, text, e in zip(groups, texts, self.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4").tobytes()
+            begin = np.cumsum([0, *[len(p) + 1 for p in text.split(" ")]])  # in characters
+            cut = (4 * np.searchsorted(np.array([o[0] for o in e.offsets], np.int64), begin)).tolist()
+            for p, x, y in zip(group, cut, cut[1:], strict=False):
+                self.parts[p] = ids[x:y]
 
     def learn(self, words: list[bytes]) -> None:
-        texts = [w.decode("utf-8", "replace") for w in words]
-        plain = [i for i, t in enumerate(texts) if "<|" not in t]
-        ids: list[list[int]] = [[]] * len(words)
-        for i, x in zip(plain, self._ids([texts[i] for i in plain]), strict=True):
-            ids[i] = x
-        for i in set(range(len(words))) - set(plain):
-            ids[i] = self.tokenizer.encode(texts[i], add_special_tokens=False).ids
+        split = []
+        for w in words:
+            core = w.rstrip(_MARKS)
+            if core.isalpha():
+                split.append((core.lower(), w[len(core) :]))
+            elif core.isascii():
+                split.append((w, b""))
+            else:
+                t = core.decode("utf-8", "replace")
+                plain = _LETTERS.fullmatch(t) and "\u03a3" not in t
+                split.append((t.lower().encode(), w[len(core) :]) if plain else (w, b""))
+        new = {p for pair in split for p in pair if p not in self.parts}
+        if new:
+            self._encode_parts(list(new))
+            missing = [p for pair in split for p in pair if p not in self.parts]
+            if missing:  # the memory was begun anew
+                self._encode_parts(list(set(missing)))
+        of = self.parts
+        ids = [of[a] + of[b] for a, b in split]
         n = len(self.size)
         self.at.update(zip(words, range(n, n + len(words)), strict=True))
-        sizes = np.array([len(x) for x in ids], np.int64)
-        flat = np.array([t for x in ids for t in x], np.uint32)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), "<u4")
         if self.used + len(flat) > len(self.flat):
             self.flat = np.concatenate((self.flat[: self.used], np.empty(self.used + len(flat), np.uint32)))
         self.flat[self.used : self.used + len(flat)] = flat
         self.first = np.concatenate((self.first, self.used + np.cumsum(sizes) - sizes))
         self.used += len(flat)
         self.size = np.concatenate((self.size, sizes))
-        self.stop = np.concatenate((self.stop, [t[-1] in ".!?" for t in texts]))
+        self.stop = np.concatenate((self.stop, np.fromiter((w[-1] in b".!?" for w in words), bool, len(words))))
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts, each with END; the end of each text; the ends of their sentences."""
@@ -90,13 +114,17 @@ class WordTokens:
             words += t.split()
             words.append(b" ")
             ends.append(len(words))
-        new = [w for w in set(words) if w not in self.at]
+        at = np.fromiter(map(self.at.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(at < 0)
+        missed = [words[i] for i in unknown.tolist()]
+        new = list(set(missed))
         if len(self.at) + len(new) > MEMO:
             self.clear()
+            unknown, missed = np.arange(len(words)), words
             new = [w for w in set(words) if w != b" "]
         if new:
             self.learn(new)
-        at = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
+            at[unknown] = np.fromiter(map(self.at.__getitem__, missed), np.int64, len(missed))
         size = self.size[at]
         total = np.concatenate(([0], np.cumsum(size)))
         ids = self.flat[np.repeat(self.first[at] - total[:-1], size) + np.arange(total[-1])]
@@ -188,6 +216,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = word_tokens(tokenizer_path)
+        gc.disable()  # nothing here makes cycles, and the memory of words is large
         number = TaskContext.get().partitionId() << 32
         queue: list[list] = []
         held = 0
