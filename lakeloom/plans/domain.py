@@ -93,7 +93,7 @@ def stitched(d: Spark, minutes: int = GAP_MINUTES) -> str:
 def sessions(d: Spark) -> str:
     stage = "CASE max(depth) " + " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(C.FUNNEL_STAGES)) + " END"
     n = lambda t: f"count_if(event_type = '{t}')"
-    first, last = (lambda c: f"min_by({c}, seq_key)"), (lambda c: f"max_by({c}, seq_key)")
+    first, last = (lambda c: f"nullif(min_by(coalesce({c}, '~'), seq_key), '~')"), (lambda c: f"max_by({c}, seq_key)")
     return f"""
         SELECT {d.key("user_id_hashed", "session_no")} AS session_id, user_id_hashed,
             min(event_ts) AS session_start_ts, max(event_ts) AS session_end_ts, CAST(min(event_ts) AS DATE) AS session_date,
@@ -105,13 +105,13 @@ def sessions(d: Spark) -> str:
                 WHEN event_type = 'remove_from_cart' THEN -product_price_usd END), CAST(0 AS DOUBLE)), CAST(0 AS DOUBLE)), 4) AS cart_value_usd,
             {n("add_to_cart")} > 0 AND {n("purchase")} = 0 AS cart_abandonment, {stage} AS funnel_stage_reached,
             {first("device_type")} AS device_type, {first("geo_country")} AS geo_country, {first("ab_cohort")} AS ab_cohort,
-            {first("coalesce(page_referrer, '~')")} AS entry_raw, {last("event_type")} AS exit_event_type, max(fraud_score) AS max_fraud_score, max(fraud_score) >= {C.FRAUD_ALERT} AS fraud_flagged
+            {first("page_referrer")} AS entry_referrer, {last("event_type")} AS exit_event_type, max(fraud_score) AS max_fraud_score, max(fraud_score) >= {C.FRAUD_ALERT} AS fraud_flagged
         FROM (SELECT *, {DEPTH} AS depth, {d.micros("event_ts")} * 1000 + seq % 1000 AS seq_key FROM stitched) s
         GROUP BY user_id_hashed, session_no"""
 
 
 def silver_sessions(d: Spark) -> str:
-    return "SELECT *, CASE WHEN entry_raw <> '~' THEN entry_raw END AS entry_referrer FROM sessions WHERE session_id IS NOT NULL AND user_id_hashed IS NOT NULL"
+    return "SELECT * FROM sessions WHERE session_id IS NOT NULL AND user_id_hashed IS NOT NULL"
 
 
 def web_orders(d: Spark) -> str:
