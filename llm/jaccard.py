@@ -9,8 +9,9 @@ never results.
 
 Documents that share such a cell are candidates. A bucket first offers its least document against each of its
 others, so candidates grow with rows; links found merge documents into components, and only then pairs of a bucket
-that are still in different components are offered. A second parity sketch, of 1024 single bits, bounds the difference
-from below inside the join, so that pairs too far apart are never made; the rest are verified on the whole shingle sets.
+that are still in different components are offered. A second parity sketch, of 512 single bits, bounds the difference
+from below inside the join, so that pairs too far apart are never made. Large sets have a sketch that grows with them, which
+is compared next; the rest are verified on the whole shingle sets.
 
 Defined cases: null text and text without words have an empty set and link with nothing; a text of one to four words
 has one shingle; documents with equal sets are linked; repeated rows are linked rows of their own, and doc_id names the
@@ -32,8 +33,8 @@ from llm.common import materialize, with_ids
 from llm.components import components
 
 SMALL_BAND, SMALL_CELLS = 6, 1 << 12
-#: Cells per shingle at the lower end of a band, and words of the bit sketch.
-SPREAD, LANES = 2, 16
+#: Words of the short bit sketch; sets above WIDE shingles also have a sketch of four to eight bits a shingle.
+LANES, WIDE = 8, 600
 #: A cell seen in this many different sets of one task, and this many in all, is common; so many are put last.
 COMMON_HERE, COMMON, HINTS = 8, 32, 1 << 18
 _SALT = np.uint64(0x9E3779B97F4A7C15)
@@ -64,9 +65,22 @@ def _sketches(values: np.ndarray, ptr: np.ndarray) -> np.ndarray:
     return np.packbits(odd, bitorder="little").view(np.int64).reshape(n, LANES)
 
 
+def _wide(values: np.ndarray) -> bytes:
+    m = 4 << len(values).bit_length()
+    return np.packbits(np.bincount((values >> np.uint64(20)).astype(np.int64) % m, minlength=m).astype(np.uint8) & 1).tobytes()
+
+
+def _differ(a: bytes, b: bytes) -> int:
+    """Hamming distance of two wide sketches; the longer one is folded onto the shorter by XOR."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    if len(x) < len(y):
+        x, y = y, x
+    return int(np.unpackbits(np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0) ^ y).sum())
+
+
 def _band_cells(values: np.ndarray, ptr: np.ndarray, docs: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the non-empty cells of the given documents in a band, and each key's place in docs."""
-    cells = np.uint64(SMALL_CELLS if band < SMALL_BAND else SPREAD << band)
+    cells = np.uint64(SMALL_CELLS if band < SMALL_BAND else 1 << band if band < SMALL_BAND + 2 else 3 << (band - 2))
     size = np.diff(ptr)[docs]
     at = np.repeat(ptr[docs] - (np.cumsum(size) - size), size) + np.arange(size.sum())
     v = values[at]
@@ -114,7 +128,7 @@ def summaries(docs: DataFrame) -> DataFrame:
     lanes = [f"h{i}" for i in range(LANES)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, seen, held, held_n = ["doc_id", "n", "k1", "k2", "key", "count", *lanes], set(), [], 0
+        names, seen, held, held_n = ["doc_id", "n", "k1", "k2", "key", "count", *lanes, "wide"], set(), [], 0
         for b in batches:
             data, offsets = T.utf8(b.column(1))
             for lo, hi in T.chunks(offsets):
@@ -127,14 +141,14 @@ def summaries(docs: DataFrame) -> DataFrame:
                     held, held_n = [_merged(held)], 0
                 none = pa.nulls(hi - lo, pa.int64())
                 sketch = _sketches(values, ptr)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(n), pa.array(k1), pa.array(k2), none, none, *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(LANES)]], names)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(n), pa.array(k1), pa.array(k2), none, none, *[pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(LANES)], pa.array([_wide(values[ptr[i] : ptr[i + 1]]) if n[i] > WIDE else None for i in range(hi - lo)], pa.binary())], names)
         if held:
             key, count = _merged(held)
             key, count = key[count >= COMMON_HERE], count[count >= COMMON_HERE]
             none = pa.nulls(len(key), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(key), pa.array(count), *[none] * LANES], names)
+            yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(key), pa.array(count), *[none] * LANES, pa.nulls(len(key), pa.binary())], names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", "n", "k1", "k2", "key", "count", *lanes)))
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", "n", "k1", "k2", "key", "count", *lanes)) + ", wide binary")
 
 
 def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -182,8 +196,25 @@ def _near(percent: int) -> str:
 
 def sketch_filter(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose sizes and sketches allow a similarity of percent / 100; info: doc_id, n, h0..."""
-    met = pairs.join(info.withColumnRenamed("doc_id", "a").alias("x"), "a").join(info.withColumnRenamed("doc_id", "b").alias("y"), "b")
-    return met.where(_near(percent)).select("a", "b")
+    lean = info.drop("wide")
+    met = pairs.join(lean.withColumnRenamed("doc_id", "a").alias("x"), "a").join(lean.withColumnRenamed("doc_id", "b").alias("y"), "b")
+    return met.where(_near(percent)).select("a", "b", F.greatest("x.n", "y.n").alias("n"))
+
+
+def wide_filter(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (a, b, n) with a large set, those whose wide sketches allow the similarity; all others pass."""
+    wide = info.where("wide is not null").select("doc_id", "n", "wide")
+    side = lambda c: wide.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), F.col("wide").alias(f"w{c}"))
+    met = pairs.where(f"n > {WIDE}").select("a", "b").join(side("a"), "a", "left").join(side("b"), "b", "left").select("a", "b", "na", "nb", "wa", "wb")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            keep = []
+            for na, nb, x, y in zip(*(t.column(i) for i in range(2, 6)), strict=True):
+                keep.append(not x.is_valid or not y.is_valid or (100 + percent) * _differ(x.as_py(), y.as_py()) <= (100 - percent) * (na.as_py() + nb.as_py()))
+            yield t.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+
+    return pairs.where(f"n <= {WIDE}").select("a", "b").unionByName(met.mapInArrow(run, "a long, b long"))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, similarity: float = 0.8) -> DataFrame:
@@ -228,11 +259,11 @@ def near_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
     common = seen.where("key is not null").groupBy("key").agg(F.sum("count").alias("n")).where(f"n >= {COMMON}")
     common = np.array([r.key for r in common.orderBy(F.desc("n"), "key").limit(HINTS).collect()], np.int64)
     lanes = [f"h{i}" for i in range(LANES)]
-    info = seen.where("key is null").select("doc_id", "n", "k1", "k2", *lanes)
+    info = seen.where("key is null").select("doc_id", "n", "k1", "k2", *lanes, "wide")
     classes = materialize(info.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("class")), "classes")
     full = info.where("n > 0 and doc_id is not null").join(classes, ["k1", "k2"])
     of = materialize(full.select("doc_id", "class").distinct(), "class-of")  # of every document with a set
-    chosen = materialize(full.where("doc_id = class").select("doc_id", "n", *lanes).dropDuplicates(["doc_id"]), "chosen")
+    chosen = materialize(full.where("doc_id = class").select("doc_id", "n", *lanes, "wide").dropDuplicates(["doc_id"]), "chosen")
 
     # buckets of two documents or more; then of two classes or more, with the least class of each
     ends = lambda c: {"hub": F.min(c).over(Window.partitionBy("key")), "last": F.max(c).over(Window.partitionBy("key"))}
@@ -241,18 +272,19 @@ def near_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
     buckets = materialize(met.withColumns(ends("doc")).where("hub < last").select("key", "doc", "hub"), "buckets")
 
     first = materialize(buckets.where("hub < doc").select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct(), "first")
-    links = materialize(verified(materialize(sketch_filter(first, chosen, percent), "kept"), docs, percent / 100), "links").select("a", "b")
+    links = materialize(verified(materialize(wide_filter(materialize(sketch_filter(first, chosen, percent), "kept"), chosen, percent), "kept"), docs, percent / 100), "links").select("a", "b")
     label = components(links)
 
     marked = buckets.join(label.withColumnRenamed("node", "doc"), "doc", "left").select("key", "doc", F.coalesce("label", "doc").alias("label"))
     marked = materialize(marked, "marked")
     sizes = marked.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     open_ = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("labels"), F.max_by("label", F.struct("n", "label")).alias("main")).where("labels > 1")
-    others = marked.join(open_, "key").join(chosen.withColumnRenamed("doc_id", "doc"), "doc")
+    others = marked.join(open_, "key").join(chosen.drop("wide").withColumnRenamed("doc_id", "doc"), "doc")
     outside, inside = others.where("label <> main").alias("x"), others.alias("y")
     crossed = outside.join(inside, F.expr(f"x.key = y.key and x.label <> y.label and {_near(percent)}"))
-    crossed = crossed.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
+    crossed = crossed.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b"), F.greatest("x.n", "y.n").alias("n")).distinct()
     second = materialize(crossed.join(first, ["a", "b"], "left_anti"), "kept")
+    second = materialize(wide_filter(second, chosen, percent), "kept")
     if not second.isEmpty():
         links = links.unionByName(verified(second, docs, percent / 100).select("a", "b"))
         label = components(links)

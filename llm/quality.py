@@ -24,22 +24,27 @@ MIN_WORDS, MAX_REPEAT = 10, 20
 #: Trusted ids are broadcast up to this many, and joined by a shuffle beyond it.
 BROADCAST_IDS = 1_000_000
 _SPACES = "\t\n\x0b\x0c\r"
-_SYMBOLS = "#*$%&|<>"
+_WORD, _SYMBOLS = r"[^\x20\x09-\x0D]", r"[#*$%&|<>]"
 
 
 def split_words(df: DataFrame) -> DataFrame:
-    """Add _text, _words and _h, the words' 64-bit hashes."""
-    flat = F.translate(F.col("_text"), _SPACES, " " * len(_SPACES))
+    """Add _text, _words, _h (the words' 64-bit hashes) and _b (the bigrams')."""
+    flat = F.col("_text")
+    for c in _SPACES:
+        flat = F.replace(flat, F.lit(c), F.lit(" "))
     df = df.withColumn("_text", F.coalesce("text", F.lit(""))).withColumn("_words", F.array_remove(F.split(flat, " "), ""))
-    return df.withColumn("_h", F.transform("_words", lambda w: F.xxhash64(w)))
+    df = df.withColumn("_h", F.transform("_words", lambda w: F.xxhash64(w)))
+    return df.withColumn("_b", _pairs(F.col("_h"), F.col("_h"), 1, F.size("_h") - 1))
 
 
-def _bigrams(h: Column) -> Column:
-    return F.zip_with(F.slice(h, 1, F.greatest(F.size(h) - 1, F.lit(0))), F.slice(h, 2, F.greatest(F.size(h) - 1, F.lit(0))), lambda a, b: F.xxhash64(a, b))
+def _pairs(a: Column, b: Column, ahead: int, n: Column) -> Column:
+    """Hashes of (a[i], b[i + ahead]) for i < n."""
+    n = F.greatest(n, F.lit(0))
+    return F.zip_with(F.slice(a, 1, n), F.slice(b, ahead + 1, n), lambda x, y: F.xxhash64(x, y))
 
 
-def _buckets(h: Column, buckets: int) -> Column:
-    return F.concat(F.transform(h, lambda x: F.pmod(x, F.lit(buckets)).cast("int")), F.transform(_bigrams(h), lambda x: F.pmod(x, F.lit(buckets)).cast("int")))
+def _bucket(x: Column, buckets: int) -> Column:
+    return F.pmod(x, F.lit(buckets)).cast("int")
 
 
 def fit_ratio(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS, smooth: float = SMOOTH) -> list[float]:
@@ -48,7 +53,7 @@ def fit_ratio(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS, s
     if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     marked = docs.select("doc_id", "text").join(ids, "doc_id", "left")
-    grams = split_words(marked).select(F.explode(_buckets(F.col("_h"), buckets)).alias("b"), "_trusted")
+    grams = split_words(marked).select(F.explode(F.concat("_h", "_b")).alias("g"), "_trusted").select(_bucket(F.col("g"), buckets).alias("b"), "_trusted")
     found = grams.groupBy("b").agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("trusted")).collect()  # up to `buckets` rows
     raw, trusted = {r.b: r.raw for r in found}, {r.b: r.trusted for r in found}
     n_raw, n_trusted = sum(raw.values()), sum(trusted.values())
@@ -61,11 +66,11 @@ def fit_ratio(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS, s
 
 
 def base_counts(df: DataFrame) -> DataFrame:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, from _text, _words and _h."""
-    flat = F.translate(F.col("_text"), _SPACES, " " * len(_SPACES))
-    lines = F.filter(F.split("_text", "\n"), lambda x: F.trim(F.translate(x, _SPACES, " " * len(_SPACES))) != "")
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, from _text, _words, _h and _b."""
+    lines = F.filter(F.split("_text", "\n"), lambda x: x.rlike(_WORD))
     n = F.size("_h")
-    windows = F.when(n >= 5, F.transform(F.sequence(F.lit(1), n - 4), lambda i: F.xxhash64(*[F.get("_h", i - 1 + k) for k in range(5)]))).otherwise(F.array().cast("array<bigint>"))
+    four = _pairs(F.col("_b"), F.col("_b"), 2, n - 3)
+    windows = _pairs(four, F.col("_h"), 4, n - 4)
     df = df.withColumns({"_lines": lines, "_win": windows})
     repeats = F.size(F.array_distinct("_win")) < F.size("_win")
     placed = F.when(repeats, F.array_sort(F.transform("_win", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
@@ -80,8 +85,8 @@ def base_counts(df: DataFrame) -> DataFrame:
     )
     return df.withColumns({
         "n_words": n.cast("long"),
-        "word_chars": F.length(F.replace(flat, F.lit(" "), F.lit(""))).cast("long"),
-        "n_symbols": (F.length("_text") - F.length(F.translate("_text", _SYMBOLS, ""))).cast("long"),
+        "word_chars": F.length(F.array_join("_words", "")).cast("long"),
+        "n_symbols": F.regexp_count("_text", F.lit(_SYMBOLS)).cast("long"),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
         "n_repeat_words": F.coalesce(F.when(F.size("_again") > 0, cover), F.lit(0)).cast("long"),
     })
@@ -92,9 +97,10 @@ def quality(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS, thr
     ratio = fit_ratio(docs, trusted_ids, buckets)
     table = F.split(F.lit(",".join(map(repr, ratio))), ",").cast("array<double>")  # folded to one constant
     made = base_counts(split_words(docs))
-    total = F.aggregate(_buckets(F.col("_h"), buckets), F.lit(0.0), lambda s, b: s + F.get(table, b))
+    summed = lambda c: F.aggregate(c, F.lit(0.0), lambda s, g: s + F.get(table, _bucket(g, buckets)))
+    total = summed("_h") + summed("_b")
     grams = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
     made = made.withColumn("llr", total / grams)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
     made = made.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
-    return made.drop("_text", "_words", "_h", "_lines", "_win", "_placed", "_again")
+    return made.drop("_text", "_words", "_h", "_b", "_lines", "_win", "_placed", "_again")

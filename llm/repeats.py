@@ -163,7 +163,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     mixed = met.where("mixed")
     kinds = materialize(mixed.groupBy("s", "t").agg(F.least(F.count(F.lit(1)), F.lit(2)).alias("c"), F.min(F.struct(*_PLACE)).alias("one")), "kinds")
     found = found.unionByName(mixed.join(kinds.where("c > 1").select("s", "t"), ["s", "t"]).select("doc_id", "mark", "lo", "hi"))
-    edges = kinds.join(kinds.where("c = 1").select("s").distinct(), "s").select("one.*", "s", "c")
+    edges = kinds.join(small_side(kinds.where("c = 1").select("s").distinct()), "s").select("one.*", "s", "c")
 
     for block in (BLOCK, 1):
         units = materialize(_expanded(_listed(own, edges), block), "units")
@@ -174,7 +174,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         found = found.unionByName(units.where("c = 1").join(twice, [*key, "t"]).select("doc_id", "mark", "lo", "hi"))
         if block > 1:
             unsure = kinds.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("least")).where("n > 1 and least = 1").select(*key)
-            edges = kinds.join(unsure, key).select("one.*", "s", "c")
+            edges = kinds.join(small_side(unsure), key).select("one.*", "s", "c")
     return found
 
 
