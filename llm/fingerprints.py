@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import text as T
-from llm.common import partitions
+from llm.common import partitions, small_batches
 
 HASHES, BANDS, BAND_ROWS = 128, 25, 5
 _A = np.random.Generator(np.random.PCG64(1)).integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -112,6 +112,7 @@ def with_edits(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    small_batches(spark)
     n = 2 * partitions(spark)
     bounds = np.array(_bounds(rows, n), np.float64)
 

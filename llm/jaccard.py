@@ -29,14 +29,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm import text as T
-from llm.common import materialize, with_ids
+from llm.common import materialize, small_batches, with_ids
 from llm.components import components
 
 SMALL_BAND, SMALL_CELLS = 6, 1 << 12
 #: Words of the short bit sketch; sets above WIDE shingles also have a sketch of four to eight bits a shingle.
 LANES, WIDE = 8, 600
 #: A cell seen in this many different sets of one task, and this many in all, is common; so many are put last.
-COMMON_HERE, COMMON, HINTS = 8, 32, 1 << 18
+COMMON_HERE, COMMON, HINTS = 3, 16, 1 << 20
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0x3C6EF372FE94F82A], np.uint64)
 
@@ -137,7 +137,7 @@ def summaries(docs: DataFrame) -> DataFrame:
                 n = np.diff(ptr)
                 held.append(np.unique(cells_of(values, ptr, _fresh(k1, k2, seen))[0], return_counts=True))
                 held_n += len(held[-1][0])
-                if held_n > 1 << 21:
+                if held_n > 1 << 18:
                     held, held_n = [_merged(held)], 0
                 none = pa.nulls(hi - lo, pa.int64())
                 sketch = _sketches(values, ptr)
@@ -147,6 +147,7 @@ def summaries(docs: DataFrame) -> DataFrame:
             key, count = key[count >= COMMON_HERE], count[count >= COMMON_HERE]
             none = pa.nulls(len(key), pa.int64())
             yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(key), pa.array(count), *[none] * LANES, pa.nulls(len(key), pa.binary())], names)
+        T.release()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", "n", "k1", "k2", "key", "count", *lanes)) + ", wide binary")
 
@@ -184,6 +185,7 @@ def prefix_cells(docs: DataFrame, common: np.ndarray) -> DataFrame:
                 place = np.arange(len(group)) - np.maximum.accumulate(np.where(first, np.arange(len(group)), 0)) if len(group) else group
                 keep = place <= np.diff(ptr)[doc] // 4
                 yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(ids[lo:hi][doc[keep]].astype(np.int64))], ["key", "doc_id"])
+        T.release()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "key long, doc_id long")
 
@@ -196,16 +198,17 @@ def _near(percent: int) -> str:
 
 def sketch_filter(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose sizes and sketches allow a similarity of percent / 100; info: doc_id, n, h0..."""
-    lean = info.drop("wide")
-    met = pairs.join(lean.withColumnRenamed("doc_id", "a").alias("x"), "a").join(lean.withColumnRenamed("doc_id", "b").alias("y"), "b")
+    met = pairs.join(info.withColumnRenamed("doc_id", "a").alias("x"), "a").join(info.withColumnRenamed("doc_id", "b").alias("y"), "b")
     return met.where(_near(percent)).select("a", "b", F.greatest("x.n", "y.n").alias("n"))
 
 
 def wide_filter(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b, n) with a large set, those whose wide sketches allow the similarity; all others pass."""
-    wide = info.where("wide is not null").select("doc_id", "n", "wide")
+    large = pairs.where(f"n > {WIDE}").select("a", "b")
+    ids = large.select(F.col("a").alias("doc_id")).union(large.select("b")).distinct()
+    wide = with_ids(info.where("wide is not null").select("doc_id", "n", "wide"), ids)
     side = lambda c: wide.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), F.col("wide").alias(f"w{c}"))
-    met = pairs.where(f"n > {WIDE}").select("a", "b").join(side("a"), "a", "left").join(side("b"), "b", "left").select("a", "b", "na", "nb", "wa", "wb")
+    met = large.join(side("a"), "a", "left").join(side("b"), "b", "left").select("a", "b", "na", "nb", "wa", "wb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
@@ -255,15 +258,17 @@ def near_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id: connected components of the links, complete for percent >= 80."""
     if percent < 80:
         raise ValueError("the cells are laid out for a similarity of 80 % or more")
+    small_batches(docs.sparkSession)
     seen = materialize(summaries(docs), "sets")
     common = seen.where("key is not null").groupBy("key").agg(F.sum("count").alias("n")).where(f"n >= {COMMON}")
-    common = np.array([r.key for r in common.orderBy(F.desc("n"), "key").limit(HINTS).collect()], np.int64)
+    common = common.orderBy(F.desc("n"), "key").limit(HINTS).select("key").toArrow().column(0).to_numpy()
     lanes = [f"h{i}" for i in range(LANES)]
     info = seen.where("key is null").select("doc_id", "n", "k1", "k2", *lanes, "wide")
     classes = materialize(info.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("class")), "classes")
-    full = info.where("n > 0 and doc_id is not null").join(classes, ["k1", "k2"])
-    of = materialize(full.select("doc_id", "class").distinct(), "class-of")  # of every document with a set
-    chosen = materialize(full.where("doc_id = class").select("doc_id", "n", *lanes, "wide").dropDuplicates(["doc_id"]), "chosen")
+    known = info.where("n > 0 and doc_id is not null")
+    of = materialize(known.select("doc_id", "k1", "k2").join(classes, ["k1", "k2"]).select("doc_id", "class").distinct(), "class-of")  # of every document with a set
+    chosen = known.drop("wide").join(of.where("doc_id = class").select("doc_id"), "doc_id").select("doc_id", "n", *lanes)
+    chosen = materialize(chosen.dropDuplicates(["doc_id"]), "chosen")
 
     # buckets of two documents or more; then of two classes or more, with the least class of each
     ends = lambda c: {"hub": F.min(c).over(Window.partitionBy("key")), "last": F.max(c).over(Window.partitionBy("key"))}
@@ -272,19 +277,19 @@ def near_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
     buckets = materialize(met.withColumns(ends("doc")).where("hub < last").select("key", "doc", "hub"), "buckets")
 
     first = materialize(buckets.where("hub < doc").select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct(), "first")
-    links = materialize(verified(materialize(wide_filter(materialize(sketch_filter(first, chosen, percent), "kept"), chosen, percent), "kept"), docs, percent / 100), "links").select("a", "b")
+    links = materialize(verified(materialize(wide_filter(materialize(sketch_filter(first, chosen, percent), "kept"), known, percent), "kept"), docs, percent / 100), "links").select("a", "b")
     label = components(links)
 
     marked = buckets.join(label.withColumnRenamed("node", "doc"), "doc", "left").select("key", "doc", F.coalesce("label", "doc").alias("label"))
     marked = materialize(marked, "marked")
     sizes = marked.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     open_ = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("labels"), F.max_by("label", F.struct("n", "label")).alias("main")).where("labels > 1")
-    others = marked.join(open_, "key").join(chosen.drop("wide").withColumnRenamed("doc_id", "doc"), "doc")
+    others = marked.join(open_, "key").join(chosen.withColumnRenamed("doc_id", "doc"), "doc")
     outside, inside = others.where("label <> main").alias("x"), others.alias("y")
     crossed = outside.join(inside, F.expr(f"x.key = y.key and x.label <> y.label and {_near(percent)}"))
     crossed = crossed.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b"), F.greatest("x.n", "y.n").alias("n")).distinct()
     second = materialize(crossed.join(first, ["a", "b"], "left_anti"), "kept")
-    second = materialize(wide_filter(second, chosen, percent), "kept")
+    second = materialize(wide_filter(second, known, percent), "kept")
     if not second.isEmpty():
         links = links.unionByName(verified(second, docs, percent / 100).select("a", "b"))
         label = components(links)

@@ -67,7 +67,15 @@ def mix_plan(docs: DataFrame, keep: Sequence[str] = (), weights=WEIGHTS, slopes=
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: the documents' own columns, one row for each copy taken, range-sorted by training position."""
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "source", "text")
-    plan = mix_plan(own, keep=["_row"], **options)
-    return plan.select("_row", "doc_id", F.explode("positions").alias("_at")).orderBy("_at", "doc_id").select("_row.*")
+    """The mix itself: the documents' own columns, one row for each copy taken, range-sorted by training position.
+
+    Positions are found without the texts and joined back by a hash of the row; rows that are alike in all columns are
+    numbered, so each has positions of its own.
+    """
+    own = docs.withColumns({"_h1": F.xxhash64(*docs.columns), "_h2": F.xxhash64(F.lit(7), *docs.columns)})
+    alike = Window.partitionBy("_h1", "_h2")
+    plan = mix_plan(own, keep=["_h1", "_h2"], **options).select("_h1", "_h2", "positions")
+    plan = plan.withColumn("_n", F.row_number().over(alike.orderBy("positions")))
+    rows = own.withColumn("_n", F.row_number().over(alike.orderBy("_h1")))
+    taken = rows.join(plan, ["_h1", "_h2", "_n"]).select(*[F.col(f"`{c}`") for c in docs.columns], F.explode("positions").alias("_at"))
+    return taken.orderBy("_at", "doc_id").drop("_at")

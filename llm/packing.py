@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import text as T
+from llm.common import small_batches
 
 WINDOW, END = 4096, 2
 SENTENCE, INSIDE, STEP = 4, 64, 64
@@ -177,6 +178,7 @@ def candidates(length: int, doc_ends: np.ndarray, sentence_ends: np.ndarray) ->
 
 def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFrame:
     """One row for each piece: doc_id, start, length, ids (binary, little-endian uint32), doc_tokens, sequence_id, offset."""
+    small_batches(docs.sparkSession)
     names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
     def solved(queue: list[list], last: bool, number: int) -> tuple[list[tuple], list[list], int]:

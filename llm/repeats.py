@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm import text as T
-from llm.common import materialize, small_side, with_ids
+from llm.common import materialize, small_batches, small_side, with_ids
 
 LENGTH, GRAM, AHEAD, BLOCK = 400, 16, 320, 16
 CORE = LENGTH - AHEAD
@@ -156,6 +156,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     """(doc_id, mark, lo, hi): runs of window starts whose window is also elsewhere; mark is a hash of the document's text."""
     text = F.coalesce("text", F.lit(""))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash(text).alias("mark"), text.alias("text")).where(f"octet_length(text) >= {LENGTH}")
+    small_batches(docs.sparkSession)
     cores = _anchored(own, False).groupBy("s").agg(F.count(F.lit(1)).alias("n"), (F.min("t") < F.max("t")).alias("mixed")).where("n > 1").select("s", "mixed")
     met = materialize(_anchored(own, True).join(cores, "s"), "shared")
     found = met.where("not mixed").select("doc_id", "mark", "lo", "hi")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import text as T
-from llm.common import materialize, with_ids
+from llm.common import materialize, small_batches, with_ids
 
 BITS, STRENGTH, DRIFT, STEMS = 18, 10.0, 0.5, (4, 5)
 SIGNIFICANT = 1.0  # expected number of chance segments below which a segment counts
@@ -134,6 +134,7 @@ def _logistic(hist: list[tuple[float, int, int]]) -> tuple[float, float]:
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on the rows of docs that have a label (doc_id, toxic)."""
+    small_batches(docs.sparkSession)
     one = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     train = with_ids(docs.select("doc_id", "text"), one).select("toxic", "text")
 
