@@ -93,7 +93,7 @@ def base_counts(df: DataFrame) -> DataFrame:
 
 
 def quality(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents with the base counts, llr (mean log ratio), base_failed and kept."""
+    """The documents with the base counts, llr (mean log ratio), base_failed and kept, in place of columns so named."""
     ratio = fit_ratio(docs, trusted_ids, buckets)
     table = F.split(F.lit(",".join(map(repr, ratio))), ",").cast("array<double>")  # folded to one constant
     made = base_counts(split_words(docs))
@@ -102,5 +102,7 @@ def quality(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS, thr
     grams = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
     made = made.withColumn("llr", total / grams)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
-    made = made.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
-    return made.drop("_text", "_words", "_h", "_b", "_lines", "_win", "_placed", "_again")
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "llr"]
+    verdict = F.struct(*counts, failed.alias("base_failed"), (~failed & (F.col("llr") >= threshold)).alias("kept"))
+    # generated columns: a later filter on them isn't unfolded into the whole chain of expressions
+    return made.select(*[F.col(f"`{c}`") for c in docs.columns if c not in (*counts, "base_failed", "kept")], F.inline(F.array(verdict)))

@@ -95,6 +95,21 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op3_jaccard_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0) x
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), links AS (
+            SELECT a, b FROM (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id) p
+            JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)
+        ), reach AS (
+            SELECT doc_id AS node, doc_id AS r FROM documents UNION SELECT reach.node, links.b FROM reach JOIN links ON reach.r = links.a
+        )
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id FROM documents d
+        LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT node, min(r) AS component_id FROM reach GROUP BY node) c ON c.node = d.doc_id""",
     "op6_chat_formatting": r"""
         WITH said AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -388,3 +388,30 @@ def test_pipeline(spark, sf):
     for i, raw in whole.items():
         assert 0 <= len(kept[2][i].encode()) - (len(raw) - spans[i]) <= 6 * (1 + spans[i] // 400)
     assert corpus_pipeline.run(spark, sf).count() > 0
+
+
+def test_induced_sorting():
+    from llm.suffixes import suffixes
+
+    r = random.Random(1)
+    for _ in range(1500):
+        t = [r.randint(0, r.choice([0, 1, 2, 5])) for _ in range(r.randint(0, 40))]
+        order = sorted(range(len(t)), key=lambda i: t[i:])
+
+        def common(a, b):
+            k = 0
+            while a + k < len(t) and b + k < len(t) and t[a + k] == t[b + k]:
+                k += 1
+            return k
+
+        want = order, [0] * bool(t) + [common(a, b) for a, b in zip(order, order[1:])]
+        assert suffixes(t, limit=r.choice([1, 3, 1000])) == want
+
+
+def test_repeats_against_suffix_order(spark, rows):
+    from llm.suffixes import repeated_bytes
+
+    rows = rows[:40]
+    want = repeated_bytes([(t or "").encode() for _, t, _ in rows], 400, limit=5000)
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in repeats.without_repeats(docs_frame(spark, rows)).collect()}
+    assert got == {i: w for (i, _, _), w in zip(rows, want)}
