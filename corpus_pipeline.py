@@ -28,7 +28,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte runs that repeat elsewhere leave the texts; whole characters only. n_chars follows the text."""
     cut = repeats.without_repeats(docs, whole_chars=True)
-    text = F.when(F.size("spans") > 0, F.decode("kept", F.lit("UTF-8"))).otherwise(F.col("text"))
+    text = F.when(F.size("spans") > 0, F.decode("kept", "UTF-8")).otherwise(F.col("text"))
     cut = cut.withColumn("text", text)
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
