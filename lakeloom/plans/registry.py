@@ -705,3 +705,113 @@ def stream_fraud(lake: Lake) -> DataFrame:
     table, alerts = SnapshotTable(lake.spark, f"{path}/scores"), SnapshotTable(lake.spark, f"{path}/alerts")
     jobs.fraud_alerts(jobs.fraud_scores(events), table, alerts, f"{path}/ck", f"fraud{uuid.uuid4().hex}").awaitTermination()
     return table.read().select("event_id", "fraud_score", "fraud_signals")
+
+
+# ---- the rest of the inventory
+
+
+@query("build_orders", f"SELECT order_id, CASE WHEN cdc_op = 'd' THEN 'deleted' ELSE status END AS status, total_amount_usd, cdc_lsn, changed_at AS effective_from, true AS is_current, 1 AS record_version FROM ({CHANGES_DUCK}) c WHERE v = 0")
+def build_orders(lake: Lake) -> DataFrame:
+    """First versions: change rows as current history rows."""
+    empty = lake.spark.createDataFrame([], "order_id STRING, user_id STRING, status STRING, total_amount_usd DOUBLE, cdc_lsn BIGINT, effective_from TIMESTAMP_NTZ, effective_to TIMESTAMP_NTZ, is_current BOOLEAN, record_version INT, prev_status STRING")
+    body = ["order_id", "user_id", "status", "total_amount_usd", "cdc_op", "cdc_lsn", "changed_at"]
+    return merge.scd2(empty, lake.sql(CHANGES).where("v = 0").select(*body)).select("order_id", "status", "total_amount_usd", "cdc_lsn", "effective_from", "is_current", "record_version")
+
+
+@query("feat_features", "SELECT event_id, user_id, event_type, geo_country, device_type, product_price_usd, product_quantity, fraud_score, CAST(hour(event_ts) AS INT) AS event_hour, ab_cohort FROM bronze")
+def feat_features(lake: Lake) -> DataFrame:
+    """The request features of a scoring call, one struct per event, opened again; the hour is the event's, not the clock's."""
+    named = F.struct("user_id", "event_type", "geo_country", "device_type", "product_price_usd", "product_quantity", "fraud_score", F.hour("event_ts").alias("event_hour"), "ab_cohort")
+    return lake.view("bronze").select("event_id", named.alias("request")).select("event_id", "request.*")
+
+
+@query("global_counts", "SELECT (SELECT count(*) FROM bronze_dup) AS read, (SELECT count(*) FROM silver) AS kept")
+def global_counts(lake: Lake) -> DataFrame:
+    """Counts of a chain's steps from one run of it: observed while the rows pass, not by extra jobs."""
+    from pyspark.sql import Observation
+
+    first, last = Observation(f"read{uuid.uuid4().hex}"), Observation(f"kept{uuid.uuid4().hex}")
+    rows = lake.view("bronze_dup").observe(first, F.count(F.lit(1)).alias("n"))
+    silver.refine(rows, domain.SALT).observe(last, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    return lake.spark.range(1).select(F.lit(first.get["n"]).alias("read"), F.lit(last.get["n"]).alias("kept"))
+
+
+query("bookmark", "SELECT 2 AS snapshot_id, 0 AS fresh")(lambda lake: _marked(lake))
+
+
+def _marked(lake: Lake) -> DataFrame:
+    """A job's second run finds nothing new: same schema, no rows."""
+    table, _ = _two(lake)
+    mark = Bookmark(lake.spark, f"{table.path}-bookmark")
+    table.read_between(mark.get()).write.format("noop").mode("overwrite").save()
+    mark.put(table.current_id())
+    return table.read_between(mark.get()).agg(F.count(F.lit(1)).cast("int").alias("fresh")).withColumn("snapshot_id", F.lit(mark.get()))
+
+
+@query("compaction", "SELECT count(*) AS n, 1 AS n_files FROM bronze")
+def compaction(lake: Lake) -> DataFrame:
+    table, _ = _two(lake)
+    table.compact()
+    return table.read().agg(F.count(F.lit(1)).alias("n")).withColumn("n_files", F.lit(len(table.head()["files"])))
+
+
+@query("snk_dbt_table", "SELECT sku, price_band FROM dim_products")
+def snk_dbt_table(lake: Lake) -> DataFrame:
+    table = SnapshotTable(lake.spark, _folder(lake))
+    for _ in range(2):  # a full refresh replaces all rows
+        table.overwrite(lake.sql("SELECT sku, price_band FROM dim_products"))
+    return table.read()
+
+
+@query("snk_dbt_inc", "SELECT metric_date, CASE WHEN metric_date >= DATE '2024-01-29' THEN total_orders ELSE -1 END AS total_orders FROM order_days")
+def snk_dbt_inc(lake: Lake) -> DataFrame:
+    """Incremental model: whole dates of the lookback are computed anew and merged by key."""
+    table = SnapshotTable(lake.spark, _folder(lake))
+    days = lake.sql("SELECT metric_date, total_orders FROM order_days")
+    table.append(days.withColumn("total_orders", F.lit(-1).cast("long")))
+    table.merge(days.where("metric_date >= DATE'2024-01-29'"), ["metric_date"])
+    return table.read()
+
+
+query("src_view", "SELECT count(*) AS n FROM stg_orders")(lambda lake: lake.sql("SELECT count(*) AS n FROM stg_orders"))
+
+
+@query("src_feature", "SELECT user_id_hashed, order_count_90d FROM features WHERE user_id_hashed = (SELECT min(user_id_hashed) FROM features)")
+def src_feature(lake: Lake) -> DataFrame:
+    table = SnapshotTable(lake.spark, _folder(lake))
+    rows = lake.view("features")
+    table.overwrite(rows.withColumn("feature_timestamp", F.lit(domain.AS_OF).cast("timestamp")))
+    return connectors.feature_get(table, rows.agg(F.min("user_id_hashed")).first()[0]).select("user_id_hashed", "order_count_90d")
+
+
+@query("src_csv", "SELECT count(*) AS n, sum(churned_30d) AS positive FROM features")
+def src_csv(lake: Lake) -> DataFrame:
+    path = _folder(lake)
+    silver.preprocess(lake.view("features")).select(*C.MODEL_FEATURES, "churned_30d").write.csv(path)
+    return connectors.model_csv(lake.spark, path).agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positive"))
+
+
+@query("snk_s3", "SELECT CAST(event_ts AS DATE) AS event_date, CAST(hour(event_ts) AS INT) AS event_hour, count(*) AS n FROM bronze GROUP BY ALL")
+def snk_s3(lake: Lake) -> DataFrame:
+    """Files by date and hour; readers prune by both."""
+    path, events = _event_stream(lake, "bronze", "event_id, event_ts")
+    made = events.withColumns({"event_date": F.to_date("event_ts"), "event_hour": F.hour("event_ts")})
+    connectors.partitioned_sink(made, f"{path}/out", f"{path}/ck").trigger(availableNow=True).start().awaitTermination()
+    return lake.spark.read.parquet(f"{path}/out").groupBy("event_date", "event_hour").agg(F.count(F.lit(1)).alias("n"))
+
+
+HOPS = f"SELECT b.user_id, b.event_ts AS signal_ts, b.event_id AS signal_id FROM bronze b JOIN ({FRAUD_SQL}) x ON b.event_id = x.event_id WHERE x.fraud_score >= 0.7"
+
+
+@query("join_stream_stream", f"SELECT s.signal_id, e.event_id FROM ({HOPS}) s JOIN bronze e ON s.user_id = e.user_id AND e.event_ts <= s.signal_ts AND e.event_ts >= s.signal_ts - INTERVAL 15 MINUTE")
+def join_stream_stream(lake: Lake) -> DataFrame:
+    path, events = _event_stream(lake, "bronze", "user_id, event_id, event_ts")
+    hot = fraud.alerts(fraud.score(lake.view("bronze"))).select("user_id", F.col("event_ts").cast("timestamp").alias("signal_ts"), F.col("event_id").alias("signal"))
+    hot.coalesce(1).write.parquet(f"{path}/signals")
+    signals = lake.spark.readStream.schema(hot.schema).parquet(f"{path}/signals")
+    made = jobs.signals_with_events(signals, events).writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/ck")
+    made.trigger(availableNow=True).start().awaitTermination()
+    return lake.spark.read.parquet(f"{path}/out").select(F.col("signal").alias("signal_id"), "event_id")
+
+
+query("lookup_remote", "SELECT count(*) AS n FROM bronze")(lambda lake: churn_enrich(lake).agg(F.count(F.lit(1)).alias("n")))
