@@ -48,7 +48,7 @@ def _least_ahead(x: np.ndarray, w: int) -> np.ndarray:
 
 def slices(offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
     """(begin, end, offsets of documents within) of pieces of the data; a long document comes in overlapping pieces."""
-    for lo, hi in T.chunks(offsets):
+    for lo, hi in T.chunks(offsets, min(T.CHUNK_BYTES, SLICE)):
         a, b = int(offsets[lo]), int(offsets[hi])
         if b - a <= SLICE:
             yield a, b, offsets[lo : hi + 1] - a
