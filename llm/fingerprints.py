@@ -1,7 +1,7 @@
 """Operator 1: document fingerprints by MinHash.
 
 A fingerprint holds, for each of K multiply-shift hash functions, the least hash of the document's 5-word shingles,
-cut to 16 bits. Near duplicates are found by joining bands of the fingerprint in Spark and verifying the Jaccard
+mixed and then cut to 16 bits (the top bits of the least hash itself would shrink as texts grow). Near duplicates are found by joining bands of the fingerprint in Spark and verifying the Jaccard
 similarity of the shingle sets.
 
 Defined cases: a null text is empty; a text of one to four words has one shingle, its whole sequence; a text
@@ -26,7 +26,7 @@ from llm.common import partitions, small_batches
 HASHES, BANDS, BAND_ROWS = 128, 25, 5
 _A = np.random.Generator(np.random.PCG64(1)).integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = np.random.Generator(np.random.PCG64(2)).integers(1, 1 << 63, HASHES, dtype=np.uint64)
-_TOP = np.uint64(48)
+_TOP, _NONE = np.uint64(48), 65535
 _BLOCK = 1 << 15
 
 
@@ -48,7 +48,9 @@ def signatures(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
                 np.multiply(part, _A[k], out=buf)
                 buf += _B[k]
                 out[docs, k] = np.minimum(out[docs, k], np.minimum.reduceat(buf, at))
-    return (out >> _TOP).astype(np.uint16)
+    sig = np.minimum(T.mix(out) >> _TOP, np.uint64(_NONE - 1)).astype(np.uint16)
+    sig[np.diff(ptr) == 0] = _NONE
+    return sig
 
 
 def of_texts(texts: list[bytes]) -> np.ndarray:

@@ -79,6 +79,30 @@ def test_small_tables(spark, given):
     assert html.extract(spark.createDataFrame([(x[0], None, x[1]) for x in given], "page_id long, url string, html string")).count() == n
 
 
+@pytest.mark.parametrize("n", [50_000, 500_000])
+def test_fingerprints_of_long_texts(spark, n):
+    """Likeness follows the exact Jaccard similarity whatever the length."""
+    r = random.Random(n)
+    own = [" ".join(f"{r.randrange(1 << 20):x}" for _ in range(n)) for _ in range(2)]
+    texts = {3: own[0], 2: own[0][: len(own[0]) // 2] + own[1][len(own[1]) // 2 :], 1: own[1]}
+    got = {x.doc_id: x for x in fingerprints.with_edits(docs_frame(spark, [(i, t, "s") for i, t in texts.items()])).collect()}
+
+    def true(x, y):
+        x, y = ({tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (x.split(), y.split()))
+        return len(x & y) / len(x | y)
+
+    for i, after in ((3, 2), (2, 1), (1, 3)):
+        t, nxt = texts[i], texts[after]
+        edited = t[: len(t) - len(t) // 2] + nxt[: len(t) // 2]
+        assert abs(got[i].near_next - true(t, nxt)) < 0.17  # four standard errors of 128 slots
+        assert abs(got[i].near_edited - true(t, edited)) < 0.17
+
+
+def test_fingerprint_without_words_stands_apart():
+    sig = fingerprints.of_texts([b"", b" \n", *[f"w{k}".encode() for k in range(3000)]])
+    assert (sig[:2] == 65535).all() and (sig[2:] != 65535).all()
+
+
 def test_banded_near_duplicates(spark):
     r = random.Random(3)
     base = [[f"w{r.randrange(500)}" for _ in range(200)] for _ in range(6)]
