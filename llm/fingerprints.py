@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import text as T
-from llm.common import partitions, small_batches
+from llm.common import materialize, partitions, small_batches
 
 HASHES, BANDS, BAND_ROWS = 128, 25, 5
 _A = np.random.Generator(np.random.PCG64(1)).integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -85,18 +85,45 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fingerprint string, bands array<long>")
 
 
-def banded_pairs(docs: DataFrame) -> DataFrame:
-    """Candidate pairs (a < b): every document of a band bucket with the bucket's least doc_id, so that pairs grow with rows."""
-    keyed = fingerprints(docs).select("doc_id", F.posexplode("bands").alias("band", "key"))
+def banded_pairs(keyed: DataFrame) -> DataFrame:
+    """Candidate pairs (a < b) of rows (band, key, doc_id): every document of a bucket with the bucket's least, so that pairs grow with rows."""
     hubs = keyed.groupBy("band", "key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("_last")).where("a < _last")
     return keyed.join(hubs, ["band", "key"]).where("a < doc_id").select("a", F.col("doc_id").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """Verified pairs a, b, jaccard of exact shingle sets, from the banded candidates."""
-    from llm.jaccard import verified
+    """Verified pairs a, b, jaccard of exact shingle sets, that join whatever similar documents share a band.
 
-    return verified(banded_pairs(docs), docs, similarity)
+    Documents with equal sets are one class, its least doc_id, tied to each of its others. Classes are paired by their
+    bucket's least; then the classes of a bucket that are still in different components are paired with each other,
+    with the bounds of op3's sketches inside the join. So a similar pair that shares a bucket is verified or already in one component.
+    """
+    from llm.components import components
+    from llm.jaccard import LANES, _near, summaries, verified
+
+    percent = round(100 * similarity)
+    lanes = [f"h{i}" for i in range(LANES)]
+    info = materialize(summaries(docs).where("key is null and n > 0 and doc_id is not null").select("doc_id", "n", "k1", "k2", *lanes).dropDuplicates(["doc_id", "k1", "k2"]), "sets")
+    classes = info.groupBy("k1", "k2").agg(F.min("doc_id").alias("class"))
+    of = materialize(info.select("doc_id", "k1", "k2").join(classes, ["k1", "k2"]).select("doc_id", "class"), "class-of")
+    copies = of.where("class < doc_id").select(F.col("class").alias("a"), F.col("doc_id").alias("b"), F.lit(1.0).alias("jaccard"))
+    chosen = info.join(classes, ["k1", "k2"]).where("doc_id = class").select("doc_id", "n", *lanes)
+
+    keyed = fingerprints(docs).select("doc_id", F.posexplode("bands").alias("band", "key")).join(of, "doc_id")
+    buckets = materialize(keyed.select("band", "key", F.col("class").alias("doc_id")).distinct(), "buckets")
+    first = materialize(banded_pairs(buckets), "first")
+    links = materialize(verified(first, docs, similarity).unionByName(copies).distinct(), "links")
+
+    label = components(links.select("a", "b")).withColumnRenamed("node", "doc_id")
+    marked = materialize(buckets.join(label, "doc_id", "left").select("band", "key", "doc_id", F.coalesce("label", "doc_id").alias("label")), "marked")
+    sizes = marked.groupBy("band", "key", "label").agg(F.count(F.lit(1)).alias("size"))
+    # pairs within the largest component of a bucket aren't needed, so one side of a pair lies outside it
+    open_ = sizes.groupBy("band", "key").agg(F.count(F.lit(1)).alias("labels"), F.max_by("label", F.struct("size", "label")).alias("main")).where("labels > 1")
+    others = marked.join(open_, ["band", "key"]).join(chosen, "doc_id")
+    outside, inside = others.where("label <> main").alias("x"), others.alias("y")
+    crossed = outside.join(inside, F.expr(f"x.band = y.band and x.key = y.key and x.label <> y.label and {_near(percent)}"))
+    second = crossed.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    return links.unionByName(verified(materialize(second, "second"), docs, similarity))
 
 
 def _bounds(docs: DataFrame, n: int) -> list[float]:

@@ -118,6 +118,37 @@ def test_banded_near_duplicates(spark):
     assert all(linked[i] == 10 * (i // 10) for i, _, _ in rows)
 
 
+def test_banded_pairs_behind_an_unrelated_hub(spark):
+    """Pairs that meet only in buckets whose least document is less similar than 0.8 are still joined."""
+    r = random.Random(7)
+    word = lambda: f"v{r.randrange(10**6)}"
+    texts, last = [], []
+    for _ in range(3):
+        base = [word() for _ in range(300)]
+
+        def version(edits):
+            v = list(base)  # noqa: B023
+            for k in r.sample(range(10, 290, 10), edits):
+                v[k] = word()
+            return " ".join(v)
+
+        texts += [version(6) for _ in range(40)]
+        last += [version(2) for _ in range(2)]
+    rows = [(k, t, "s") for k, t in enumerate([*texts, *last, last[0].replace(" ", "  "), last[1]])]
+    docs = docs_frame(spark, rows)
+    pairs = fingerprints.near_duplicates(docs).collect()
+    sets = {i: brute.shingle_set(t) for i, t, _ in rows}
+    true = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    assert all(p.a < p.b and p.jaccard == pytest.approx(true(p.a, p.b)) and p.jaccard >= 0.8 for p in pairs)
+    bands = {x.doc_id: set(enumerate(x.bands)) for x in fingerprints.fingerprints(docs).collect()}
+    want = [(a, b) for a in sets for b in sets if a < b and bands[a] & bands[b] and true(a, b) >= 0.8]
+    least = {}
+    for i in sorted(bands, reverse=True):
+        least |= dict.fromkeys(bands[i], i)
+    assert any(all(least[k] not in (a, b) and true(least[k], b) < 0.8 for k in bands[a] & bands[b]) for a, b in want)  # the case is there
+    assert brute.components(sets, [(p.a, p.b) for p in pairs]) == brute.components(sets, want)
+
+
 def test_quality_counts(spark, rows):
     docs = docs_frame(spark, rows)
     got = {r.doc_id: r for r in quality.quality(docs, docs.where("doc_id % 2 = 0").select("doc_id"), buckets=64, threshold=0.0).collect()}
