@@ -1,10 +1,11 @@
 """Operator 4: main text of HTML pages.
 
 The standard library's streaming parser turns a page into blocks (the page's lines). Each block has a text-to-tag
-ratio; the ratios are smoothed by a Gaussian along the page, and blocks whose smoothed ratio reaches a threshold
-between the two clusters form the content regions. Blocks that the page itself marks as furniture (navigation, header,
-footer, aside, forms, adverts, notices, comments, and their like) never enter; when a page marks its article, the
-regions are looked for inside it alone, and short blocks between or beside content there (titles, list items) belong to it.
+ratio; the logarithms of the ratios are smoothed by a Gaussian along the page, and blocks whose smoothed ratio reaches
+a threshold between the two clusters form the content regions. This decides on every page. What a page marks itself is a
+weight on the smoothed ratio: 6 within an article, 4 within a main, 1 elsewhere, and 0 for furniture (navigation,
+header, footer, aside, forms, adverts, notices, comments, and their like), which therefore never enters. The
+clusters are those of the ratios before weighting, and furniture's 0 is among them, so a page of content alone isn't split. No part of a page is left out for its place alone.
 
 Defined cases: a null, empty or text-free page gives ''; unclosed tags end with their parent or with the page; a page cut
 off in a tag loses that tag only; repeated rows are pages of their own; an empty table gives an empty result; pages
@@ -34,6 +35,8 @@ MARKED = re.compile(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu alertdialog".split())
 KINDS = {"article": 2, "main": 1}
+#: Weights on the smoothed ratio by level; the threshold is never above CLEAR, the ratio of undoubted prose.
+WEIGHTS, CLEAR = (1.0, 4.0, 6.0), math.log1p(40)
 _SPACE = re.compile(r"\s+")
 
 
@@ -139,19 +142,13 @@ def main_text(html: str | None) -> str:
     parser.feed(html or "")
     parser.close()
     parser.flush()
-    level = max((b[3] for b in parser.blocks), default=0)
-    blocks = [b for b in parser.blocks if b[3] == level]
+    blocks = parser.blocks
     if not blocks:
         return ""
     prose = [math.log1p(max(0, len(t) - linked) / (1 + tags)) for t, tags, linked, _ in blocks]
-    kept = blocks
-    if not level:  # nothing marks the content: find it by the ratio alone
-        ratio = smooth(prose)
-        cut = min(two_means(ratio), math.log1p(40))
-        kept = [b for b, r in zip(blocks, ratio, strict=True) if r >= cut] or blocks
-    else:  # inside a marked article only runs of links are no content
-        ratio = smooth(prose)
-        kept = [b for b, r in zip(blocks, ratio, strict=True) if r >= math.log1p(2) or b[2] < len(b[0])] or blocks
+    ratio = smooth(prose)
+    cut = min(two_means([0.0, *ratio]), CLEAR)
+    kept = [b for b, r in zip(blocks, ratio, strict=True) if r * WEIGHTS[b[3]] >= cut]
     return "\n\n".join(b[0] for b in kept)
 
 

@@ -232,6 +232,19 @@ def test_pages():
     assert html.main_text("<article><p>cut off <b>he") == "cut off he"
 
 
+def test_pages_where_marks_are_not_the_whole_content():
+    """The ratio decides on marked pages too: text outside a teaser's article stays, link runs inside an article go."""
+    prose = [f"{'long prose goes here ' * 12}{k}" for k in range(6)]
+    links = "<div><a href=1>One</a><a href=2>Two</a></div>" * 4
+    teaser = "<article><h2>Card</h2><p>Read about the card here, it is short.</p></article>"
+    divs, paragraphs = "".join(f"<div>{t}</div>" for t in prose), "".join(f"<p>{t}</p>" for t in prose)
+    for page in (links + divs + links + teaser, f"{links}<main>{paragraphs}</main>{teaser}", f"{teaser}<main>{paragraphs}{teaser}</main>{links}"):
+        got = html.main_text(page)
+        assert all(t in got for t in prose) and "about the card" in got and "One" not in got
+    got = html.main_text(f"<article><h1>Title here</h1>{paragraphs}<ul><li>first item</li><li>second item</li></ul>{links}</article><div>Some stray line</div>{links}")
+    assert all(t in got for t in [*prose, "Title here", "first item", "second item"]) and got.count("One") <= 2  # of eight; smoothing reaches over the edge
+
+
 def test_segments_scan():
     def slow(s):
         best = None
