@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm import jaccard, mixing, packing, quality, repeats
-from llm.common import materialize, table
+from llm.common import materialize, partitions, table
 from llm.queries import tokenizer_path
 
 
@@ -41,8 +41,15 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of windows of 4096 tokens, with their ids."""
-    return packing.pack(docs, tokenizer_path())
+    """Pieces of windows of 4096 tokens, with their ids; sequence_id and offset follow the order of training positions.
+
+    The mix is stored in files whose numbers follow that order, but a reader deals them out by size: so rows go to
+    ranges of (file, row) and are sorted there. Longer file names have higher numbers.
+    """
+    place = [F.length("_metadata.file_name").alias("_digits"), F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    keys = ["_digits", "_file", "_row"]
+    ordered = docs.select("doc_id", "text", *place).repartitionByRange(partitions(spark), *keys).sortWithinPartitions(*keys)
+    return packing.pack(ordered, tokenizer_path())
 
 
 STAGES = [
