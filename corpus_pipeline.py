@@ -26,8 +26,11 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte runs that repeat elsewhere leave the texts; whole characters only. n_chars follows the text."""
-    cut = repeats.without_repeats(docs, whole_chars=True)
+    """Passages of 50 words that repeat elsewhere (repeats.PASSAGE bytes and more) leave the texts; whole characters only.
+
+    n_chars follows the text.
+    """
+    cut = repeats.without_repeats(docs, repeats.PASSAGE, whole_chars=True)
     text = F.when(F.size("spans") > 0, F.decode("kept", "UTF-8")).otherwise(F.col("text"))
     cut = cut.withColumn("text", text)
     if "n_chars" in docs.columns:

@@ -30,9 +30,34 @@ def shared_dir(spark: SparkSession) -> str:
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write the rows as a Parquet table in the shared folder and read them back."""
+    return df.sparkSession.read.schema(df.schema).parquet(_written(df, name))
+
+
+def _written(df: DataFrame, name: str) -> str:
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return path
+
+
+class Scratch:
+    """Tables for the length of a `with` block: materialised inside it and deleted when it ends without an error.
+
+    What leaves the block has to be materialised by then, so that a lost executor's work is redone from tables that exist.
+    """
+
+    def __enter__(self) -> Scratch:
+        self.made: list[tuple[SparkSession, str]] = []
+        return self
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        path = _written(df, name)
+        self.made.append((df.sparkSession, path))
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, kind: type | None, *_: object) -> None:
+        for spark, path in self.made if kind is None else []:
+            found = spark._jvm.org.apache.hadoop.fs.Path(path)
+            found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -61,6 +86,21 @@ def small_side(ids: DataFrame, limit: int = 1_000_000) -> DataFrame:
     return F.broadcast(ids) if ids.limit(limit + 1).count() <= limit else ids
 
 
+def join_shared(rows: DataFrame, keys: DataFrame, on: list[str], limit: int = 1_000_000, hottest: int = 10_000, salts: int = 64) -> DataFrame:
+    """rows joined to keys (distinct `on`, and n: how many rows have the key) without one task for a key that many rows share.
+
+    Up to `limit` keys are broadcast (counted here). Beyond it the `hottest` keys by n, a broadcast of that size, are dealt
+    to `salts` tasks each, so that no task has more than its share of them; the others meet in a shuffle.
+    """
+    if keys.limit(limit + 1).count() <= limit:
+        return rows.join(F.broadcast(keys), on)
+    hot = F.broadcast(keys.orderBy(F.desc("n"), *on).limit(hottest).select(*on, F.lit(True).alias("_hot")))
+    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    spread = keys.join(hot, on, "left").withColumn("_salt", F.explode(every)).drop("_hot")
+    own = F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    return rows.join(hot, on, "left").withColumn("_salt", own).drop("_hot").join(spread, [*on, "_salt"]).drop("_salt")
+
+
 def with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """docs joined to a table of distinct doc_id: by broadcast if it is small, else by a shuffle."""
     return docs.join(small_side(ids), "doc_id")

@@ -56,10 +56,11 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    made = repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), passage=repeats.PASSAGE)
     return made.select(
         "doc_id", "n_bytes", repeats.removed(F.col("spans")).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        repeats.removed(F.col("passages")).alias("n_passage_bytes"),
     )
 
 

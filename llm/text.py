@@ -63,10 +63,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of all texts of an Arrow string column, and where each begins and ends; null is empty."""
+    """Bytes of all texts of an Arrow string or binary column, and where each begins and ends; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column, "").cast(pa.large_string())
+    column = pc.fill_null(column.cast(pa.large_binary()), b"")
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     buf = column.buffers()[2]
     data = np.frombuffer(buf, np.uint8) if buf is not None and buf.size else np.empty(0, np.uint8)

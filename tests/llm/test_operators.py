@@ -1,5 +1,7 @@
+import glob
 import hashlib
 import math
+import os
 import random
 import zlib
 
@@ -8,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from llm import chat, components, fingerprints, html, jaccard, mixing, packing, quality, queries, ranks, repeats, sharding, text, toxicity
+from llm import chat, common, components, fingerprints, html, jaccard, mixing, packing, quality, queries, ranks, repeats, sharding, text, toxicity
 from llm.common import table
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, rank long, `key` string, n int, size int, before int, hub int, label int"
@@ -325,6 +327,39 @@ def test_repeats_in_slices(spark, monkeypatch):
     assert sorted(got) == sorted(want)
 
 
+@pytest.mark.parametrize("limit", [0, 1_000_000])
+def test_repeats_within_shorter_ones(spark, rows, limit, monkeypatch):
+    """Found within shorter repeats, the long ones are the same; the short ones are those of their own length.
+
+    Also with keys joined by shuffle, a third of all rows sharing one passage, null ids and clashing columns.
+    """
+    if limit == 0:
+        monkeypatch.setattr(repeats, "join_shared", lambda rows, keys, on: common.join_shared(rows, keys, on, limit=0, hottest=3, salts=4))
+    own = random.Random(5)
+    passage = lambda n: "".join(own.choice("abcdefgh ") for _ in range(n))
+    parts = {n: passage(n) for n in (249, 250, 300, 399, 400, 800)}
+    rows = rows + [(1000 + k, passage(90) + parts[n] + passage(90), None) for k, n in enumerate([*parts] * 2)]
+    rows += [(2000 + k, passage(40) + parts[300] + passage(40), None) for k in range(len(rows) // 2)]
+    rows += [(None, passage(300), None), (None, parts[800], None), (None, None, None)]
+    docs = docs_frame(spark, rows, extra=False).withColumns({c: F.lit(1) for c in ("n_bytes", "spans", "kept", "mark", "base", "runs", "_row", "_id", "s", "t")})
+    made = repeats.without_repeats(docs, passage=250)
+    assert made.columns == ["doc_id", "text", "lang", "source", "n_chars", "mark", "base", "runs", "_row", "_id", "s", "t", "n_bytes", "spans", "kept", "passages"]
+    got = [(r.doc_id, r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), hashlib.sha256(r.kept).hexdigest(), sum(s.end - s.start for s in r.passages)) for r in made.collect()]
+    texts = [(i, t) for i, t, _ in rows]
+    want = [(*x, y[2]) for x, y in zip(brute.without_repeats(texts), brute.without_repeats(texts, 250), strict=True)]
+    key = lambda x: (x[0] is None, x[0] or 0, x[1:])
+    assert sorted(got, key=key) == sorted(want, key=key)
+    by = {x[0]: x for x in got}
+    for k, n in enumerate([*parts] * 2):
+        assert (by[1000 + k][2] >= n) == (n >= 400) and (by[1000 + k][5] >= n) == (n >= 250)
+
+
+def test_scratch_tables_go(spark, rows):
+    before = set(glob.glob(f"{common.shared_dir(spark)}/*"))
+    assert repeats.without_repeats(docs_frame(spark, rows), passage=250).count() == len(rows)
+    assert {os.path.basename(x).split("-")[0] for x in set(glob.glob(f"{common.shared_dir(spark)}/*")) - before} == {"runs"}
+
+
 def test_packing(spark, rows):
     from tokenizers import Tokenizer
 
@@ -452,9 +487,9 @@ def test_pipeline(spark, sf):
     groups = brute.near_groups(kept[0].items())
     assert set(kept[1]) == {c for _, c in groups.values()}
     whole = {i: t.encode() for i, t in kept[1].items()}
-    spans = {i: n for i, _, n, _, _ in brute.without_repeats(kept[1].items())}
+    spans = {i: n for i, _, n, _, _ in brute.without_repeats(kept[1].items(), repeats.PASSAGE)}
     for i, raw in whole.items():
-        assert 0 <= len(kept[2][i].encode()) - (len(raw) - spans[i]) <= 6 * (1 + spans[i] // 400)
+        assert 0 <= len(kept[2][i].encode()) - (len(raw) - spans[i]) <= 6 * (1 + spans[i] // repeats.PASSAGE)
     assert corpus_pipeline.run(spark, sf).count() > 0
 
 
