@@ -30,7 +30,7 @@ from llm import text as T
 from llm.common import materialize, small_batches, with_ids
 
 BITS, STRENGTH, DRIFT, STEMS = 18, 10.0, 0.5, (4, 5)
-SIGNIFICANT = 1.0  # expected number of chance segments below which a segment counts
+SIGNIFICANT = 0.01  # a segment counts when fewer than this many of its score are expected in its document by chance
 EVIDENCE = (-15.0, 60.0)
 _SIZE = 1 << BITS
 _BREAK = np.array([not (chr(i).isalnum() or i >= 128) for i in range(256)])

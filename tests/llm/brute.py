@@ -1,6 +1,7 @@
 """Plain versions of the operators' definitions, for small inputs."""
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -78,3 +79,23 @@ def base_counts(text):
             hit.update(range(i, i + 5))
     lines = [x for x in text.split("\n") if words(x)]
     return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(hit))
+
+
+def content(blocks):
+    """Blocks (text, tags, linked, level, heading) whose smoothed and weighted ratio reaches the cut between two clusters."""
+    if not blocks:
+        return []
+    raw = [math.log(1 + max(0, len(t) - k) / (1 + n)) for t, n, k, _, _ in blocks]
+    weight = lambda d: math.exp(-d * d / 2) if d <= 3 else 0.0
+    ratio = [sum(v * weight(abs(i - j)) for j, v in enumerate(raw)) / sum(weight(abs(i - j)) for j in range(len(raw))) for i in range(len(raw))]
+    values = [0.0, *ratio]
+    centres = min(values), max(values)
+    for _ in range(50):
+        far = [v for v in values if v > sum(centres) / 2]
+        near = [v for v in values if v <= sum(centres) / 2]
+        if not far:
+            break
+        centres = sum(near) / len(near), sum(far) / len(far)
+    cut = min(sum(centres) / 2, math.log(41))
+    kept = [v * (1, 4, 6)[b[3]] > cut - 1e-12 for v, b in zip(ratio, blocks)]
+    return [b[0] for i, b in enumerate(blocks) if kept[i] or any(all(x[4] for x in blocks[i:j]) and kept[j] for j in range(i + 1, len(blocks)))]

@@ -3,6 +3,7 @@ import hashlib
 import math
 import os
 import random
+import time
 import zlib
 
 import brute
@@ -247,6 +248,52 @@ def test_pages_where_marks_are_not_the_whole_content():
     assert all(t in got for t in [*prose, "Title here", "first item", "second item"]) and got.count("One") <= 2  # of eight; smoothing reaches over the edge
 
 
+def test_pages_keep_what_names_only_seem_to_mark():
+    prose = [f"{'long prose goes here ' * 12}{k}" for k in range(3)]
+    sections = f'<section class="legal-history"><p>{prose[0]}</p></section><div class="share-holders"><p>{prose[1]}</p></div>'
+    got = html.main_text(f'<article><h1>T</h1>{sections}<div class="ad-slot-2 big"><p>Buy this long thing now</p></div><p class="comments">Nice</p><p>{prose[2]}</p></article>')
+    assert got == "\n\n".join(["T", *prose])
+    got = html.main_text(f"<nav><a>x</a></nav><h2>Title</h2><p>{prose[0]}</p><p><![CDATA[{prose[1]}]]></p>" + "<ul><li><a href=1>one</a></li><li><a href=2>two</a></li></ul>" * 3)
+    assert got == f"Title\n\n{prose[0]}\n\n{prose[1]}"
+
+
+@pytest.mark.parametrize("page", ["<p>" + "<b>" * 50_000 + "x" + "</i>" * 50_000, "<i><p>" + "<b>" * 50_000 + "</i>" * 50_000 + "x", "<div>" * 50_000 + "x" + "</p>" * 50_000])
+def test_stray_tags_take_time_in_proportion(page):
+    """100,000 tags cost about what parsing them does: a scan of the open elements for each would take minutes."""
+    best = math.inf
+    for _ in range(3):
+        began = time.process_time()
+        assert html.main_text(page) == "x"
+        best = min(best, time.process_time() - began)
+    assert best < 3
+
+
+def test_pages_against_a_slow_version():
+    """Pages made from a known list of blocks: the parser finds just those, and the choice is that of plain formulas."""
+    r = random.Random(3)
+    for _ in range(60):
+        page, blocks = [], []
+
+        def put(n, level, hidden):
+            for _ in range(n):
+                word = lambda: "".join(r.choice("abc é&") for _ in range(r.randint(1, 9)))
+                text = " ".join(word() for _ in range(r.choice([1, 3, 60])))
+                plain = " ".join(text.split())
+                tag, link, bold = r.choice(["p", "div", "li", "h2"]), r.random() < 0.3, r.randint(0, 3)
+                inner = "<b>" * bold + text.replace("&", "&amp;") + "</b>" * bold
+                page.append(f"<{tag}>" + (f"<a href='#'>{inner}</a>" if link else inner) + f"</{tag}>")
+                if plain and not hidden:
+                    blocks.append((plain, 2 + 2 * bold + 2 * link, len(text) if link else 0, level, tag == "h2"))
+
+        for _ in range(r.randint(1, 6)):
+            name, level, hidden = r.choice([("div", 0, False), ("main", 1, False), ("article", 2, False), ("nav", 0, True), ("div class='cookie-banner'", 0, True)])
+            page.append(f"<{name}>")
+            put(r.randint(0, 8), level, hidden)
+            page.append(f"</{name.split()[0]}>")
+        assert html.blocks_of("".join(page)) == blocks
+        assert html.chosen(blocks) == brute.content(blocks)
+
+
 def test_segments_scan():
     def slow(s):
         best = None
