@@ -1,8 +1,8 @@
 """Operator 1: document fingerprints by MinHash.
 
 A fingerprint holds, for each of K multiply-shift hash functions, the least hash of the document's 5-word shingles,
-mixed and then cut to 16 bits (the top bits of the least hash itself would shrink as texts grow). Near duplicates are found by joining bands of the fingerprint in Spark and verifying the Jaccard
-similarity of the shingle sets.
+mixed and then cut to 16 bits (the top bits of the least hash itself would shrink as texts grow). Near duplicates are
+found by joining bands of the fingerprint in Spark and verifying the Jaccard similarity of the shingle sets.
 
 Defined cases: a null text is empty; a text of one to four words has one shingle, its whole sequence; a text
 without words has a fingerprint of its own kind, like that of every such text and unlike all others; equal texts have
@@ -136,8 +136,9 @@ def with_edits(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text ends with the beginning of the next document in descending doc_id (the last one's next is the first).
-    Documents go to ranges of doc_id, sorted; the head of each range is copied to the end of the range above, so that
-    each task sees the next text of every row it owns. Null ids come last; rows with equal ids are ordered by text.
+    Documents go to ranges of doc_id, one to a task, and are sorted there; the head of each range is copied to the end of
+    the range above, so that each task sees the next text of every row it owns. Null ids come last, in a range of
+    their own; rows with equal ids are ordered by text.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -195,6 +196,6 @@ def with_edits(docs: DataFrame) -> DataFrame:
                 ], names)
 
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    made = rows.mapInArrow(dealt, "p long, ghost boolean, doc_id long, text string").repartition(partitions(spark), "p")
+    made = rows.mapInArrow(dealt, "p long, ghost boolean, doc_id long, text string").repartitionById(len(bounds) + 2, F.col("p").cast("int"))
     made = made.sortWithinPartitions("p", "ghost", F.col("doc_id").desc_nulls_last(), "text")
     return made.mapInArrow(fingerprinted, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")

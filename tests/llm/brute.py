@@ -99,3 +99,24 @@ def content(blocks):
     cut = min(sum(centres) / 2, math.log(41))
     kept = [v * (1, 4, 6)[b[3]] > cut - 1e-12 for v, b in zip(ratio, blocks)]
     return [b[0] for i, b in enumerate(blocks) if kept[i] or any(all(x[4] for x in blocks[i:j]) and kept[j] for j in range(i + 1, len(blocks)))]
+
+
+def minhash(text, byte, base, mult, short, a, b):
+    """The fingerprint of a text in plain integers: least of a[k] * shingle + b[k], mixed, its top 16 bits, as hex."""
+    full = (1 << 64) - 1
+
+    def mix(x):
+        x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & full
+        x = ((x ^ x >> 27) * 0x94D049BB133111EB) & full
+        return x ^ x >> 31
+
+    words_ = [w.encode() for w in words(text)]
+    hashed = [mix((sum(byte[c] * pow(base, i, 1 << 64) for i, c in enumerate(w)) + len(w) * short) & full) for w in words_]
+    if not hashed:
+        return "ffff" * len(a)
+    if len(hashed) < 5:
+        shingles = [mix((sum(h * m for h, m in zip(hashed, mult)) + len(hashed) * short) & full)]
+    else:
+        shingles = [mix(sum(h * m for h, m in zip(hashed[i : i + 5], mult)) & full) for i in range(len(hashed) - 4)]
+    least = [min((x * s + y) & full for s in shingles) for x, y in zip(a, b)]
+    return b"".join(min(mix(v) >> 48, 65534).to_bytes(2, "little") for v in least).hex()
