@@ -66,10 +66,12 @@ def bronze(d: Spark) -> str:
 
 
 def bronze_dup(d: Spark) -> str:
-    return "SELECT * FROM bronze UNION ALL SELECT * REPLACE (ingested_at + INTERVAL 30 SECOND AS ingested_at) FROM bronze WHERE k % 10 = 0" if d.name == "duck" else (
-        "SELECT * FROM bronze UNION ALL SELECT event_id, user_id, event_type, event_ts, ingested_at + INTERVAL 30 SECOND AS ingested_at, product_price_usd, product_quantity, product_sku, device_type, "
-        "geo_country, geo_city, ab_cohort, is_bot, is_internal, dq_flag, page_referrer, fraud_score, k, seq FROM bronze WHERE k % 10 = 0"
-    )
+    """Bronze with every tenth event delivered once more, half a minute later."""
+    if d.name == "duck":
+        return "SELECT * FROM bronze UNION ALL SELECT * REPLACE (ingested_at + INTERVAL 30 SECOND AS ingested_at) FROM bronze WHERE k % 10 = 0"
+    cols = "event_id, user_id, event_type, event_ts, {}, product_price_usd, product_quantity, product_sku, device_type, geo_country, geo_city, ab_cohort, is_bot, is_internal, dq_flag, page_referrer, fraud_score, k, seq"
+    again = "LATERAL VIEW explode(CASE WHEN k % 10 = 0 THEN array(0, 30) ELSE array(0) END) copies AS late"
+    return f"SELECT {cols.format('ingested_at + make_interval(0, 0, 0, 0, 0, 0, late) AS ingested_at')} FROM bronze {again}"
 
 
 def silver(d: Spark) -> str:

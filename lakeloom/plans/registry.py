@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Container
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from lakeloom.functions import constants as C
 from lakeloom.functions import core
 from lakeloom.operators import fraud, ingest, merge, quality, sessions, silver
-from lakeloom.plans import domain, gold
+from lakeloom.plans import domain, gold, stored
 from lakeloom.plans.dialect import DUCK, SPARK, Spark
 from lakeloom.session import shared_dir
 from lakeloom.sources import connectors
@@ -26,14 +26,15 @@ ORACLE: dict[str, str] = {}
 NOW = gold.NOW
 
 
-def _uses(text: str) -> list[str]:
-    """Views that a text needs, in an order that defines each before its use."""
+def _uses(text: str, stop: Container[str] = (), dialect: Spark = DUCK) -> list[str]:
+    """Views that a text needs, in an order that defines each before its use; those in stop need no others."""
     out: list[str] = []
 
     def visit(t: str) -> None:
         for name in VIEWS:
             if name not in out and re.search(rf"(?i)\b(from|join)\s+{name}\b", t):
-                visit(VIEWS[name](SPARK))
+                if name not in stop:
+                    visit(VIEWS[name](dialect))
                 if name not in out:
                     out.append(name)
 
@@ -41,6 +42,10 @@ def _uses(text: str) -> list[str]:
     return out
 
 
+#: Tables written so far: by application, folder and state of its files, the path of each. Every entry can be made anew.
+_WRITTEN: dict[tuple, dict[str, str]] = {}
+
+
 class Lake:
     """Views over one folder of tables."""
 
@@ -51,17 +56,48 @@ class Lake:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def sql(self, text: str) -> DataFrame:
-        views = _uses(text)
-        every = " ".join([text, *[VIEWS[v](SPARK) for v in views]])
+        made = {*stored.MODELS, *stored.TABLES}
+        views = _uses(text, made, SPARK)
+        every = " ".join([text, *[VIEWS[v](SPARK) for v in views if v not in made]])
+        frames = {v: self.view(v) for v in views if v in made}  # these register views of their own, so they come first
         for name in domain.TABLES:
             if re.search(rf"(?i)\b(from|join)\s+{name}\b", every):
                 self.table(name).createOrReplaceTempView(name)
         for v in views:
-            self.spark.sql(VIEWS[v](SPARK)).createOrReplaceTempView(v)
+            (frames[v] if v in frames else self.spark.sql(VIEWS[v](SPARK))).createOrReplaceTempView(v)
         return self.spark.sql(text)
 
     def view(self, name: str) -> DataFrame:
-        return self.sql(f"SELECT * FROM {name}")
+        return self._stored(name) if name in stored.TABLES else self._made(name)
+
+    def _made(self, name: str) -> DataFrame:
+        if name in stored.MODELS:
+            return stored.MODELS[name](self.view)
+        return self.sql(VIEWS[name](SPARK)) if name in stored.TABLES else self.sql(f"SELECT * FROM {name}")
+
+    def _state(self) -> tuple:
+        """Which source files there are, and when they were written: tables made from others are not taken."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        root = path(self.sf_dir)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = [f for t in domain.TABLES for f in fs.globStatus(path(f"{self.sf_dir}/{t}.parquet{{,/*}}"))]
+        return tuple(sorted((str(f.getPath()), f.getLen(), f.getModificationTime()) for f in found))
+
+    def _stored(self, name: str) -> DataFrame:
+        """A table of the chain, written when it is first asked for and read from then on."""
+        known = _WRITTEN.setdefault((self.spark.sparkContext.applicationId, self._state()), {})
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        done = path(f"{known[name]}/_SUCCESS") if name in known else None
+        if done is None or not done.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(done):
+            rows, day = self._made(name), stored.TABLES[name]
+            known[name] = f"{shared_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
+            (rows.hint("rebalance", F.col(day)).write.partitionBy(day) if day else rows.write).parquet(known[name])
+            _SCHEMAS[known[name]] = rows.schema
+        schema = _SCHEMAS[known[name]]
+        return self.spark.read.schema(schema).parquet(known[name]).select(*schema.names)
+
+
+_SCHEMAS: dict[str, T.StructType] = {}
 
 
 def oracle(text: str) -> str:
