@@ -1,15 +1,22 @@
 """Operator 2: quality rules. Native DataFrame operations only.
 
 Base rules count words, symbols, repeated lines and repeated 5-word windows of the whole text. The method's verdict
-is a hashed n-gram log-likelihood ratio: unigrams and bigrams fall into a fixed number of buckets, two multinomials
-are fitted over all documents (one over the trusted ones, one over the raw corpus), and a document is kept when the mean
-log ratio of its n-grams reaches a fixed threshold.
+is a hashed n-gram log-likelihood ratio: unigrams and bigrams fall into buckets, two multinomials are fitted over all
+documents (one over the trusted ones, one over the raw corpus), and a document is kept when the mean log ratio of its
+n-grams reaches a fixed threshold.
 
-The fitted table has `buckets` numbers, whatever the input; it is the only thing that leaves the executors.
+The number of buckets follows the corpus, a power of two with about BYTES_PER_BUCKET bytes of text each, so that a bucket
+holds as many n-grams in a large corpus as in a small one and ratios don't fade as it grows. The ratios stay a table: up to
+BROADCAST_BUCKETS of them are broadcast to where n-grams are, beyond it n-grams are counted by document and bucket and
+both are shuffled. The results are the same.
+
+A verdict is one of the text, so it is made once for equal texts and joined back by two numbers of the text (a 64-bit
+hash and its length). Copies are summed where they are read; no group of copies meets in one task.
 
 Defined cases: null or blank text has no words, fails the base rules and has ratio 0; without a trusted document every
 ratio is 0; repeated rows are judged alike, each on its own row; a document whose id is trusted in any label row is
-trusted; an empty table gives an empty result; other columns pass through.
+trusted; an empty table gives an empty result; very long texts are split whole, one row at a time; other columns pass
+through, whatever their names, but for those named like the new ones, which are replaced.
 """
 
 from __future__ import annotations
@@ -17,14 +24,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 1 << 14
+from llm.common import materialize, small_side
+
+BYTES_PER_BUCKET, LEAST_BUCKETS = 1 << 14, 1 << 14
+BROADCAST_BUCKETS = 1 << 22
 THRESHOLD = -0.1
 SMOOTH = 0.5
 MIN_WORDS, MAX_REPEAT = 10, 20
-#: Trusted ids are broadcast up to this many, and joined by a shuffle beyond it.
-BROADCAST_IDS = 1_000_000
 _SPACES = "\t\n\x0b\x0c\r"
 _WORD, _SYMBOLS = r"[^\x20\x09-\x0D]", r"[#*$%&|<>]"
+_COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def split_words(df: DataFrame) -> DataFrame:
@@ -43,26 +52,27 @@ def _pairs(a: Column, b: Column, ahead: int, n: Column) -> Column:
     return F.zip_with(F.slice(a, 1, n), F.slice(b, ahead + 1, n), lambda x, y: F.xxhash64(x, y))
 
 
+def buckets_for(docs: DataFrame) -> int:
+    """A power of two that grows with the bytes of all texts."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(LEAST_BUCKETS, 1 << max(0, -(-size // BYTES_PER_BUCKET) - 1).bit_length())
+
+
 def _bucket(x: Column, buckets: int) -> Column:
-    return F.pmod(x, F.lit(buckets)).cast("int")
+    return F.pmod(x, F.lit(buckets).cast("long"))
 
 
-def fit_ratio(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS, smooth: float = SMOOTH) -> list[float]:
-    """log(p_trusted / p_raw) of every bucket, from the n-grams of all documents."""
+def fit_ratio(docs: DataFrame, trusted_ids: DataFrame, buckets: int, smooth: float = SMOOTH) -> DataFrame:
+    """(bucket, ratio): log(p_trusted / p_raw) of every bucket that an n-gram of docs falls into."""
     ids = trusted_ids.select("doc_id").where("doc_id is not null").distinct().withColumn("_trusted", F.lit(1))
-    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    marked = docs.select("doc_id", "text").join(ids, "doc_id", "left")
-    grams = split_words(marked).select(F.explode(F.concat("_h", "_b")).alias("g"), "_trusted").select(_bucket(F.col("g"), buckets).alias("b"), "_trusted")
-    found = grams.groupBy("b").agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("trusted")).collect()  # up to `buckets` rows
-    raw, trusted = {r.b: r.raw for r in found}, {r.b: r.trusted for r in found}
-    n_raw, n_trusted = sum(raw.values()), sum(trusted.values())
-    if not n_trusted:
-        return [0.0] * buckets
-    import math
-
-    part = lambda c, n: math.log((c + smooth) / (n + smooth * buckets))
-    return [part(trusted.get(b, 0), n_trusted) - part(raw.get(b, 0), n_raw) for b in range(buckets)]
+    marked = docs.select("doc_id", "text").join(small_side(ids), "doc_id", "left")
+    grams = split_words(marked).select(F.explode(F.concat("_h", "_b")).alias("g"), "_trusted").select(_bucket(F.col("g"), buckets).alias("bucket"), "_trusted")
+    counts = materialize(grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("trusted")), "buckets")
+    n = counts.agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")).first()
+    if not n.trusted:
+        return counts.select("bucket", F.lit(0.0).alias("ratio"))
+    part = lambda c, total: F.log((F.col(c) + smooth) / (total + smooth * buckets))
+    return counts.select("bucket", (part("trusted", n.trusted) - part("raw", n.raw)).alias("ratio"))
 
 
 def base_counts(df: DataFrame) -> DataFrame:
@@ -92,17 +102,39 @@ def base_counts(df: DataFrame) -> DataFrame:
     })
 
 
-def quality(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents with the base counts, llr (mean log ratio), base_failed and kept, in place of columns so named."""
-    ratio = fit_ratio(docs, trusted_ids, buckets)
-    table = F.split(F.lit(",".join(map(repr, ratio))), ",").cast("array<double>")  # folded to one constant
-    made = base_counts(split_words(docs))
-    summed = lambda c: F.aggregate(c, F.lit(0.0), lambda s, g: s + F.get(table, _bucket(g, buckets)))
-    total = summed("_h") + summed("_b")
-    grams = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
-    made = made.withColumn("llr", total / grams)
+def _key() -> list[Column]:
+    text = F.coalesce("text", F.lit(""))
+    return [F.xxhash64(text).alias("_k"), F.octet_length(text).alias("_n")]
+
+
+def verdicts(docs: DataFrame, ratio: DataFrame, buckets: int, threshold: float = THRESHOLD) -> DataFrame:
+    """One row for each different text: its key, the base counts, llr (mean log ratio), base_failed and kept."""
+    worded = split_words(docs.select("text", *_key()))
+    grams = F.explode_outer(F.concat("_h", "_b"))
+    key = ["_k", "_n"]
+    highest = [F.max(c).alias(c) for c in _COUNTS]  # equal for equal texts
+    mean = F.round(F.coalesce(F.avg("ratio"), F.lit(0.0)), 10).alias("llr")
+    if buckets <= BROADCAST_BUCKETS:
+        placed = base_counts(worded).select(*key, *_COUNTS, grams.alias("g")).withColumn("bucket", _bucket(F.col("g"), buckets))
+        made = placed.join(F.broadcast(ratio), "bucket", "left").groupBy(*key).agg(*highest, mean)
+    else:
+        counted = worded.select(*key, grams.alias("g")).groupBy(*key, _bucket(F.col("g"), buckets).alias("bucket")).agg(F.count("g").alias("times"))
+        weighed = (F.sum(F.col("times") * F.col("ratio")) / F.sum("times")).alias("ratio")
+        llr = counted.join(ratio, "bucket", "left").groupBy(*key).agg(weighed).select(*key, F.round(F.coalesce("ratio", F.lit(0.0)), 10).alias("llr"))
+        made = base_counts(worded).groupBy(*key).agg(*highest).join(llr, key)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
-    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "llr"]
-    verdict = F.struct(*counts, failed.alias("base_failed"), (~failed & (F.col("llr") >= threshold)).alias("kept"))
-    # generated columns: a later filter on them isn't unfolded into the whole chain of expressions
-    return made.select(*[F.col(f"`{c}`") for c in docs.columns if c not in (*counts, "base_failed", "kept")], F.inline(F.array(verdict)))
+    return made.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("llr") >= threshold))
+
+
+def quality(docs: DataFrame, trusted_ids: DataFrame, buckets: int | None = None, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents with the base counts, llr, base_failed and kept, in place of columns so named."""
+    buckets = buckets or buckets_for(docs)
+    made = materialize(verdicts(docs, fit_ratio(docs, trusted_ids, buckets), buckets, threshold), "verdicts")
+    new = [*_COUNTS, "llr", "base_failed", "kept"]
+    carried = [F.col(f"`{c}`") for c in docs.columns if c not in new]
+    names = ["_k", "_n"]
+    while set(names) & set(docs.columns):
+        names = [f"_{n}" for n in names]
+    made = made.withColumnsRenamed(dict(zip(["_k", "_n"], names, strict=True)))
+    keyed = docs.select(*carried, *[c.alias(n) for c, n in zip(_key(), names, strict=True)])
+    return keyed.join(small_side(made), names).select(*carried, *new)

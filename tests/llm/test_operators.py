@@ -180,9 +180,11 @@ def test_quality_counts(spark, rows):
         assert r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words)
 
 
-def test_quality_ratio_against_brute_force(spark, rows):
+@pytest.mark.parametrize("broadcast", [1 << 22, 1])
+def test_quality_against_brute_force(spark, rows, broadcast, monkeypatch):
     import xxhash
 
+    monkeypatch.setattr(quality, "BROADCAST_BUCKETS", broadcast)
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     raw = lambda v: (v & ((1 << 64) - 1)).to_bytes(8, "little")
 
@@ -192,8 +194,11 @@ def test_quality_ratio_against_brute_force(spark, rows):
         return [x % 64 for x in h + pairs]
 
     trusted = {i for i, _, _ in rows if i % 2 == 0}
-    docs = docs_frame(spark, rows)
-    got = {r.doc_id: r.llr for r in quality.quality(docs, docs.where("doc_id % 2 = 0").select("doc_id"), buckets=64).collect()}
+    docs = docs_frame(spark, rows).withColumns({c: F.lit(1) for c in ("_text", "_words", "_h", "_b", "_k", "_n", "g", "bucket", "llr", "kept")})
+    made = quality.quality(docs, docs.where("doc_id % 2 = 0").select("doc_id"), buckets=64, threshold=0.001)
+    assert [c for c in made.columns if c in docs.columns] == made.columns[: len(docs.columns) - 2] + ["llr", "kept"]
+    full = {r.doc_id: r for r in made.collect()}
+    got = {i: r.llr for i, r in full.items()}
     counts = np.zeros((2, 64))
     for i, t, _ in rows:
         for b in grams(t):
@@ -202,7 +207,33 @@ def test_quality_ratio_against_brute_force(spark, rows):
     ratio = np.log(p[1]) - np.log(p[0])
     for i, t, _ in rows:
         g = grams(t)
-        assert got[i] == pytest.approx(sum(ratio[b] for b in g) / max(1, len(g)), abs=1e-9)
+        want = sum(ratio[b] for b in g) / max(1, len(g))
+        assert got[i] == pytest.approx(want, abs=1e-9)
+        assert full[i].text == t and full[i].kept == (not full[i].base_failed and want >= 0.001)
+    assert {r.kept for r in full.values() if not r.base_failed} == {True, False}
+
+
+def test_quality_buckets_grow(spark):
+    docs = docs_frame(spark, [(1, "x" * 1000, "s"), (2, None, "s")])
+    assert quality.buckets_for(docs) == quality.buckets_for(docs.where("false")) == quality.LEAST_BUCKETS
+    long = docs.where("doc_id = 1").select("doc_id", F.repeat("text", 1000).alias("text")).join(spark.range(300))
+    assert quality.buckets_for(long) == 1 << 15  # 300 MB
+
+
+def test_verdicts_are_stable_as_the_corpus_grows(spark):
+    """The same documents among eight times as many alike ones keep their verdicts."""
+    r = random.Random(2)
+    good, junk = [f"good{k}" for k in range(12)], [f"junk{k}" for k in range(12)]
+    made = lambda k: (k, " ".join(r.choice(junk if k % 5 == 0 else good) for _ in range(60)), "s")
+    rows = [made(k) for k in range(8000)]
+    kept = []
+    for n, buckets in ((1000, 1 << 7), (8000, 1 << 10)):  # in proportion to the text
+        docs = docs_frame(spark, rows[:n])
+        found = quality.quality(docs, docs.where("doc_id % 10 = 1").select("doc_id"), buckets)
+        kept.append({x.doc_id for x in found.where("kept and doc_id < 1000").collect()})
+    assert all(k % 5 for k in kept[1]) and len(kept[0] ^ kept[1]) <= 20
+
+
 
 
 def test_jaccard_groups(spark, rows):

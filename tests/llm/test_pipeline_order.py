@@ -99,7 +99,7 @@ def test_stages_against_brute_force(spark, sf):
     rows = [(r.doc_id, r.text or "", r.source) for r in docs.collect()]
     trusted = {r.doc_id for r in table(spark, sf, "labels").where("quality = 1").collect()}
     first = corpus_pipeline.quality_rules(spark, docs, sf)
-    assert sorted(r.doc_id for r in first.collect()) == sorted(brute_quality([r[:2] for r in rows], trusted, quality.BUCKETS))
+    assert sorted(r.doc_id for r in first.collect()) == sorted(brute_quality([r[:2] for r in rows], trusted, quality.buckets_for(docs)))
 
     mixed = materialize(corpus_pipeline.mix_sources(spark, docs.repartition(7), sf), "mixed")
     stored = mixed.select("doc_id", "text", "_metadata.file_name", "_metadata.row_index").collect()
