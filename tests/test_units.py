@@ -3,6 +3,7 @@
 import hashlib
 import hmac
 import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 import pytest
@@ -12,7 +13,7 @@ from lakeloom.functions import constants as C
 from lakeloom.functions import core
 from lakeloom.operators import fraud, ingest, merge, quality, sessions, silver
 from lakeloom.sources import connectors
-from lakeloom.sources.tables import Bookmark, SnapshotTable
+from lakeloom.sources.tables import Bookmark, Conflict, SnapshotTable
 from lakeloom.streaming import jobs
 
 T0 = datetime(2024, 1, 15, 14)
@@ -185,14 +186,59 @@ def test_snapshot_table(spark, tmp_path):
     assert mark.get() == 8
 
 
-def test_lost_race_raises(spark, tmp_path):
+def test_reads_between_survive_maintenance(spark, tmp_path):
+    rows = lambda lo, hi: spark.range(lo, hi).select(F.col("id").alias("k"), (F.col("id") % 2).alias("day"))
+    keys = lambda df: sorted(r.k for r in df.collect())
+    for name, maintain in (("c", lambda t: t.compact()), ("m", lambda t: t.merge(rows(0, 4), ["k"])), ("a", lambda t: t.add_column("w", "int"))):
+        t = SnapshotTable(spark, str(tmp_path / name))
+        first = t.append(rows(0, 2), partition_by=["day"])
+        t.append(rows(2, 5), partition_by=["day"])
+        maintain(t)
+        last = t.append(rows(5, 6), partition_by=["day"])
+        assert keys(t.read_between(first)) == [2, 3, 4, 5] and keys(t.read_between(first, last - 1)) == [2, 3, 4] and keys(t.read()) == [0, 1, 2, 3, 4, 5], name
+        assert all(f["parts"] == ["day"] for f in t.head()["files"])
+    now = [0]
+    t = SnapshotTable(spark, str(tmp_path / "e"), clock=lambda: now[0])
+    first = t.append(rows(0, 1))
+    t.append(rows(1, 2))
+    now[0] += 10 * 86400
+    t.append(rows(2, 3))
+    t.expire(5)
+    with pytest.raises(ValueError, match="expired"):
+        t.read_between(first)
+
+
+def test_two_writers(spark, tmp_path):
+    """Appends that race are both kept; a merge that another commit came before raises and changes nothing."""
+    path = str(tmp_path / "t")
+    SnapshotTable(spark, path).append(spark.range(5))
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: SnapshotTable(spark, path).append(spark.range(10 * k, 10 * k + 3)), range(1, 7)))
+    t = SnapshotTable(spark, path)
+    assert t.read().count() == 5 + 6 * 3 and t._numbers() == list(range(1, 8))
+    plain = t._write
+
+    def slow(*given):
+        SnapshotTable(spark, path).append(spark.range(100, 102))  # another writer, while this one writes
+        return plain(*given)
+
+    t._write = slow
+    for change in (lambda: t.merge(spark.range(3), ["id"]), lambda: t.overwrite(spark.range(1)), t.compact):
+        before = SnapshotTable(spark, path).read().count()
+        with pytest.raises(Conflict):
+            change()
+        assert SnapshotTable(spark, path).read().count() == before + 2
+
+
+def test_merge_scans_once(spark, tmp_path):
+    """Jobs of a merge don't grow with the folders."""
     t = SnapshotTable(spark, str(tmp_path / "t"))
-    df = spark.range(3)
-    t.append(df)
-    stale = t._numbers
-    t._numbers = lambda: stale()[:-1] or []
-    with pytest.raises(Exception, match="exist"):
-        t.append(df)
+    for k in range(8):
+        t.append(spark.range(10 * k, 10 * k + 10))
+    parts = t._scan(t.head(), t.head()["files"])._jdf.queryExecution().executedPlan().toString()
+    assert parts.count("FileScan parquet") == 1
+    t.merge(spark.range(35, 45).select("id"), ["id"])
+    assert sorted(r.id for r in t.read().collect()) == list(range(80)) and len(t.head()["files"]) == 7
 
 
 def test_feature_store_skips_repeats(spark, tmp_path):
