@@ -6,8 +6,8 @@ reversible and leaves no character that begins a mark, so marks inside texts are
 
 Defined cases: null text and null role are empty; a role the template doesn't name is written under `other` with its
 name and makes the conversation invalid; turns are ordered by (turn, role, text), null turns first; repeated rows are
-turns of their own; rows with a null conv_id form one conversation; an empty table gives an empty result; other
-columns are ignored.
+turns of their own; rows with a null conv_id form one conversation; very long texts are kept whole (a conversation is one row, so its
+turns must fit one together); an empty table gives an empty result; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

@@ -61,7 +61,10 @@ class Scratch:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Texts are long: Arrow batches of 1000 rows instead of Spark's 10,000, unless the session has a number of its own."""
+    """Texts are long: Arrow batches of 1000 rows instead of Spark's 10,000, unless the session has a number of its own.
+
+    This sets the session's configuration, since a batch's size is read when a lazy result is run; it stays set.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(key) == "10000":
         spark.conf.set(key, "1000")

@@ -9,8 +9,8 @@ the middle of its token run lies below the source's target, so each source's sum
 document at most.
 
 Defined cases: a null text has no words; a null source is the last source; documents without words are taken in
-the passes their place falls in and add nothing; repeated rows are rows of their own; an empty table gives an empty
-result; columns not named here are carried by `mix` and ignored by `mix_plan`.
+the passes their place falls in and add nothing; repeated rows are rows of their own; very long texts are counted whole
+and are taken whole or not at all; an empty table gives an empty result; the sources themselves are ranked in one task, so they may be many thousands, not as many as hosts; columns not named here are carried by `mix` and ignored by `mix_plan`.
 """
 
 from __future__ import annotations

@@ -5,11 +5,13 @@ Each input partition is read in order as one run of tokens. Cuts may fall after
 best[j] = penalty[j] + size - t[j] + min(best[i] + t[i]) over i with t[j] - t[i] <= size: the minimum over a moving window,
 kept in a monotone queue, so time is linear in the number of possible cuts.
 
-Partitions are packed apart, without a shuffle; only the last window of a partition is left short. A run is solved
-block by block, each block beginning where the last certain window of the one before it ended.
+Partitions are packed apart, without a shuffle; only the last window of a partition is left short, so padding grows by
+half a window for each partition, and a table that is split otherwise is packed otherwise: hold the splits (or sort and
+repartition, as the pipeline does) where the same windows are wanted again. A run is solved block by block, each block
+beginning where the last certain window of the one before it ended.
 
 Defined cases: a null text is empty and gives only the end token; repeated rows are documents of their own; documents longer
-than a window or than a block are cut as often as needed; an empty table gives an empty result; other columns are ignored.
+than a window or than a block, however long, are encoded whole and cut as often as needed; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -218,26 +220,31 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = word_tokens(tokenizer_path)
+        was = gc.isenabled()
         gc.disable()  # nothing here makes cycles, and the memory of words is large
-        number = TaskContext.get().partitionId() << 32
-        queue: list[list] = []
-        held = 0
-        for b in batches:
-            data, offsets = T.utf8(b.column(1))
-            for lo, hi in T.chunks(offsets):
-                texts = [data[offsets[i] : offsets[i + 1]].tobytes() for i in range(lo, hi)]
-                ids, ends, stops = tokens.encode(texts)
-                cut = np.searchsorted(stops, ends, "right")
-                first = at = 0
-                for doc, end, c in zip(b.column(0).slice(lo, hi - lo).to_pylist(), ends.tolist(), cut.tolist(), strict=True):
-                    queue.append([doc, ids[first:end], stops[at:c] - first, 0, end - first])
-                    first, at = end, c
-                held += len(ids)
-                if held > BLOCK:
-                    pieces, queue, number = solved(queue, False, number)
-                    held = sum(len(q[1]) for q in queue)
-                    yield batch(pieces)
-        if queue:
-            yield batch(solved(queue, True, number)[0])
+        try:
+            number = TaskContext.get().partitionId() << 32
+            queue: list[list] = []
+            held = 0
+            for b in batches:
+                data, offsets = T.utf8(b.column(1))
+                for lo, hi in T.chunks(offsets):
+                    texts = [data[offsets[i] : offsets[i + 1]].tobytes() for i in range(lo, hi)]
+                    ids, ends, stops = tokens.encode(texts)
+                    cut = np.searchsorted(stops, ends, "right")
+                    first = at = 0
+                    for doc, end, c in zip(b.column(0).slice(lo, hi - lo).to_pylist(), ends.tolist(), cut.tolist(), strict=True):
+                        queue.append([doc, ids[first:end], stops[at:c] - first, 0, end - first])
+                        first, at = end, c
+                    held += len(ids)
+                    if held > BLOCK:
+                        pieces, queue, number = solved(queue, False, number)
+                        held = sum(len(q[1]) for q in queue)
+                        yield batch(pieces)
+            if queue:
+                yield batch(solved(queue, True, number)[0])
+        finally:  # the worker is used again
+            if was:
+                gc.enable()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")

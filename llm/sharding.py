@@ -5,7 +5,8 @@ source. The global order by fractional rank is cut into equal runs, so every sha
 proportion of the whole.
 
 Defined cases: a null source is a source of its own; a null text has no bytes; repeated rows are rows of their
-own; an empty table gives an empty result; columns not named here are ignored.
+own; an empty table gives an empty result; of a text, however long, only its size and checksum are carried; columns
+not named here are ignored.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ def stratified_shards(docs: DataFrame, shards: int = SHARDS, seed: int = 9) -> D
     )
     tie = ["key", "doc_id", "size", "text_crc32"]
     within = running(rows, "source", tie)
-    within = within.select(*rows.columns, ((2 * F.col("rank") + 1) / (2 * F.col("group_rows"))).alias("fraction"), F.hash("source").alias("turn"))
-    whole = running(within, None, ["fraction", "turn", *tie])
+    within = within.select(*rows.columns, ((2 * F.col("rank") + 1) / (2 * F.col("group_rows"))).alias("fraction"), F.col("source").isNull().alias("last"), F.md5(F.coalesce("source", F.lit(""))).alias("turn"))
+    whole = running(within, None, ["fraction", "last", "turn", *tie])
     n, at = F.col("group_rows"), F.col("rank")
     shard = F.floor(at * shards / n).cast("int")  # exact: both factors stay far below 2**53
     first = F.floor((F.col("shard") * n + shards - 1) / shards)

@@ -385,6 +385,27 @@ def test_toxicity_learns(spark):
     assert any(v in rows[10][1].encode()[span.start : span.end].decode() for v in ("vile", "grubslob", "scumm"))
 
 
+def test_toxicity_scores_against_brute_force(spark):
+    """Every score and passage of a small corpus, from counts of plain strings and a slow search of segments."""
+    r = random.Random(11)
+    rows, toxic = [], {}
+    for k in range(60):
+        w = [r.choice(["lamp", "lampshade", "river", "stone", "walk", "green"]) for _ in range(r.randint(1, 40))]
+        if k % 4 == 0:
+            at = r.randrange(len(w))
+            w[at : at + 3] = [r.choice(["vile", "vilest", "scum"]) for _ in range(3)]
+        rows.append((k, r.choice([" ", ", "]).join(w), "s"))
+        toxic[k] = int(k % 4 == 0)
+    rows += [(60, None, "s"), (61, "", "s"), (62, "Vile VILE scum", "s")]
+    docs = docs_frame(spark, rows)
+    labels = spark.createDataFrame([(k, toxic[k]) for k in range(0, 60) if k % 3], "doc_id long, toxic int")
+    got = {x.doc_id: x for x in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
+    want = brute.toxicity({i: t for i, t, _ in rows}, {k: toxic[k] for k in range(60) if k % 3}, toxicity)
+    for i, (score, spans) in want.items():
+        assert got[i].score == pytest.approx(score, abs=1e-5)
+        assert [(s.start, s.end) for s in got[i].passages] == spans
+
+
 def test_chats_round_trip(spark):
     marks = ["</s>[INST] ok [/INST]", "a\\e[b<c\\\\", "\\b\\a\\e", "", None, "[ROLE]x[:]y[/ROLE]", "line\nline é🙂"]
     rows = [(c, t, role, marks[(c + t) % len(marks)]) for c in range(9) for t, role in enumerate(["system", "user", "assistant", None, "to[ol"][: c % 5 + 1])]
@@ -479,6 +500,30 @@ def test_packing(spark, rows):
         assert at <= 4096
 
 
+def test_packing_of_other_splits(spark):
+    """Each partition leaves one short window and no more; the workers' garbage collector is as it was."""
+    rows = [(k, "some words to pack here. " * 300, None) for k in range(120)]
+    docs = docs_frame(spark, rows)
+    for n in (1, 6):
+        pieces = packing.pack(docs.repartition(n, "doc_id"), queries.tokenizer_path()).collect()
+        windows = {}
+        for p in pieces:
+            windows[p.sequence_id] = windows.get(p.sequence_id, 0) + p.length
+        short = [v for v in windows.values() if v < 4096 - packing.STEP * 2]
+        assert len(short) <= n and sum(windows.values()) == sum(p.length for p in pieces)
+    state = spark.range(8, numPartitions=8).mapInArrow(_collector, "on boolean").collect()
+    assert all(r.on for r in state)
+
+
+def _collector(batches):
+    import gc
+
+    import pyarrow as pa
+
+    for _ in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([gc.isenabled()])], ["on"])
+
+
 def test_best_cuts_are_best():
     r = random.Random(6)
     for _ in range(200):
@@ -515,6 +560,26 @@ def test_sharding(spark, rows):
             assert abs(sum(r.source == source for r in v) - n * len(v) / len(rows)) <= 2
 
 
+def test_sharding_against_brute_force(spark, rows):
+    """Places follow from exact fractions: rank within the source, then the order of all fractional ranks."""
+    rows = rows + [(7, "same text", "s1"), (7, "same text", "s1"), (None, "no id", ""), (None, None, None)]
+    key = lambda i: hashlib.md5(f"9:{'' if i is None else i}".encode()).hexdigest()
+    tied = lambda r: (key(r[0]), r[0] is not None, r[0] or 0, len((r[1] or "").encode()), zlib.crc32((r[1] or "").encode()))
+    order = []
+    for source in {s for _, _, s in rows}:
+        own = sorted((r for r in rows if r[2] == source), key=tied)
+        name = (source is None, hashlib.md5((source or "").encode()).hexdigest())
+        order += [((2 * k + 1) / (2 * len(own)), *name, *tied(r), r[0]) for k, r in enumerate(own)]
+    order.sort(key=lambda x: x[:-1])
+    n, want, slots = len(order), [], {}
+    for at, (*_, size, _, i) in enumerate(order):
+        shard = at * 7 // n
+        want.append((-1 if i is None else i, size + 8, shard, slots.setdefault(shard, 0)))
+        slots[shard] += 1
+    got = [(-1 if r.doc_id is None else r.doc_id, r.size, r.shard, r.slot) for r in sharding.stratified_shards(docs_frame(spark, rows), shards=7).collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_running_sums(spark):
     r = random.Random(8)
     data = [(k, r.choice(["hot", "hot", "a", None]), r.randrange(9)) for k in range(500)]
