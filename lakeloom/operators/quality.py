@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeloom.session import stored
+
 
 @dataclass(frozen=True)
 class Expect:
@@ -84,3 +86,31 @@ def freshness(df: DataFrame, column: str, as_of: Column, warn_minutes: int = 30,
     age = (F.unix_seconds(as_of.cast("timestamp")) - F.unix_seconds(F.max(column).cast("timestamp"))) / 60
     made = df.agg(age.alias("age_minutes"))
     return made.withColumn("state", F.when(F.col("age_minutes").isNull() | (F.col("age_minutes") > error_minutes), "error").when(F.col("age_minutes") > warn_minutes, "warn").otherwise("pass"))
+
+
+def classifier_metrics(scored: DataFrame, ranges: int = 64) -> DataFrame:
+    """auc, precision_at_half, recall_at_half, error and average_precision of rows (s: score, y: 0 or 1).
+
+    Rows are counted per distinct score first. Ranks are running counts over scores: within ranges of scores, and over the
+    ranges' totals, which are the only rows that one task sees together. The ranges are written, so that both see the same.
+    """
+    by = scored.groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("p"))
+    by = stored(by.repartitionByRange(ranges, "s").withColumn("_range", F.spark_partition_id()), "scores")
+    totals = by.groupBy("_range").agg(F.sum("n").alias("_n"), F.sum("p").alias("_p"))
+    below = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    totals = totals.select("_range", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_n0"), F.coalesce(F.sum("_p").over(below), F.lit(0)).alias("_p0"), F.sum("_n").over(whole).alias("all_n"), F.sum("_p").over(whole).alias("all_p"))
+    here = Window.partitionBy("_range").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    run = lambda c: F.coalesce(F.sum(c).over(here), F.lit(0))
+    local = by.select("*", run("n").alias("_n1"), run("p").alias("_p1")).join(F.broadcast(totals), "_range")  # as many totals as ranges
+    rank = F.col("_n0") + F.col("_n1") + (F.col("n") + 1) / 2
+    above, found = F.col("all_n") - F.col("_n0") - F.col("_n1"), F.col("all_p") - F.col("_p0") - F.col("_p1")
+    hot = F.col("s") >= 0.5
+    t = local.agg(
+        F.sum(rank * F.col("p")).alias("rs"), F.sum("p").alias("p"), F.sum("n").alias("n"), F.sum(F.when(hot, F.col("p"))).alias("tp"), F.sum(F.when(hot, F.col("n"))).alias("hot"),
+        F.sum(F.col("p") * found / above).alias("ap"),
+    )
+    return t.selectExpr(
+        "round((rs - p * (p + 1) / 2.0D) / (p * (n - p)), 6) AS auc", "round(tp / CAST(hot AS DOUBLE), 6) AS precision_at_half", "round(tp / CAST(p AS DOUBLE), 6) AS recall_at_half",
+        "round((hot - tp + p - tp) / CAST(n AS DOUBLE), 6) AS error", "round(ap / p, 6) AS average_precision",
+    )

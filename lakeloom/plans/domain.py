@@ -154,4 +154,20 @@ def products(d: Spark) -> str:
         FROM part"""
 
 
-VIEWS = {f.__name__: f for f in (bronze, bronze_dup, silver, stitched, sessions, silver_sessions, web_orders, stg_orders, silver_orders, products)}
+def checked_events(d: Spark) -> str:
+    """Bronze events with the wire columns that suites look at; some break the rules."""
+    return f"""
+        SELECT *, {d.hmac("user_id", SALT)} AS user_id_hashed, CASE WHEN k % 61 <> 0 THEN concat('s', CAST(k % 97 AS STRING)) END AS session_id,
+            CASE WHEN k % 53 <> 0 THEN event_id END AS raw_payload, k * 700 - 50 AS page_load_ms, CASE WHEN k % 9 <> 0 THEN 'agent' END AS user_agent
+        FROM bronze_dup"""
+
+
+def checked_orders(d: Spark) -> str:
+    """Orders with the history columns that suites look at; some break the rules."""
+    return f"""
+        SELECT *, created_at AS effective_from, {d.pick("item_count", [None, "c", "u", "d", "z"])} AS cdc_op, CASE WHEN item_count <> 3 THEN item_count = 1 END AS is_current,
+            item_count * 15 - 14 AS record_version, CAST(item_count - 2 AS BIGINT) AS cdc_lsn, CASE WHEN item_count <> 2 THEN updated_at END AS processed_at
+        FROM stg_orders"""
+
+
+VIEWS = {f.__name__: f for f in (checked_events, checked_orders, bronze, bronze_dup, silver, stitched, sessions, silver_sessions, web_orders, stg_orders, silver_orders, products)}

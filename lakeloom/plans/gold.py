@@ -8,45 +8,45 @@ from lakeloom.plans.domain import AS_OF, _case, _in, band_case, region_case, sou
 
 NOW = f"DATE '{AS_OF}'"
 # Country, name, region, sub-region, currency.
-COUNTRY_ROWS = """
-US|United States|AMER|Northern America|USD
-CA|Canada|AMER|Northern America|CAD
-MX|Mexico|LATAM|Central America|MXN
-BR|Brazil|LATAM|South America|BRL
-AR|Argentina|LATAM|South America|ARS
-CO|Colombia|LATAM|South America|COP
-GB|United Kingdom|EMEA|Northern Europe|GBP
-DE|Germany|EMEA|Western Europe|EUR
-FR|France|EMEA|Western Europe|EUR
-IT|Italy|EMEA|Southern Europe|EUR
-ES|Spain|EMEA|Southern Europe|EUR
-NL|Netherlands|EMEA|Western Europe|EUR
-SE|Sweden|EMEA|Northern Europe|SEK
-NO|Norway|EMEA|Northern Europe|NOK
-DK|Denmark|EMEA|Northern Europe|DKK
-FI|Finland|EMEA|Northern Europe|EUR
-PL|Poland|EMEA|Eastern Europe|PLN
-AT|Austria|EMEA|Western Europe|EUR
-CH|Switzerland|EMEA|Western Europe|CHF
-ZA|South Africa|EMEA|Southern Africa|ZAR
-NG|Nigeria|EMEA|West Africa|NGN
-KE|Kenya|EMEA|East Africa|KES
-EG|Egypt|EMEA|North Africa|EGP
-GH|Ghana|EMEA|West Africa|GHS
-TZ|Tanzania|EMEA|East Africa|TZS
-IN|India|APAC|South Asia|INR
-CN|China|APAC|East Asia|CNY
-JP|Japan|APAC|East Asia|JPY
-AU|Australia|APAC|Oceania|AUD
-SG|Singapore|APAC|Southeast Asia|SGD
-ID|Indonesia|APAC|Southeast Asia|IDR
-TH|Thailand|APAC|Southeast Asia|THB
-MY|Malaysia|APAC|Southeast Asia|MYR
-PH|Philippines|APAC|Southeast Asia|PHP
-VN|Vietnam|APAC|Southeast Asia|VND
-KR|South Korea|APAC|East Asia|KRW
-NZ|New Zealand|APAC|Oceania|NZD
-"""
+COUNTRY_ROWS = (
+    ("US", "United States", "AMER", "Northern America", "USD"),
+    ("CA", "Canada", "AMER", "Northern America", "CAD"),
+    ("MX", "Mexico", "LATAM", "Central America", "MXN"),
+    ("BR", "Brazil", "LATAM", "South America", "BRL"),
+    ("AR", "Argentina", "LATAM", "South America", "ARS"),
+    ("CO", "Colombia", "LATAM", "South America", "COP"),
+    ("GB", "United Kingdom", "EMEA", "Northern Europe", "GBP"),
+    ("DE", "Germany", "EMEA", "Western Europe", "EUR"),
+    ("FR", "France", "EMEA", "Western Europe", "EUR"),
+    ("IT", "Italy", "EMEA", "Southern Europe", "EUR"),
+    ("ES", "Spain", "EMEA", "Southern Europe", "EUR"),
+    ("NL", "Netherlands", "EMEA", "Western Europe", "EUR"),
+    ("SE", "Sweden", "EMEA", "Northern Europe", "SEK"),
+    ("NO", "Norway", "EMEA", "Northern Europe", "NOK"),
+    ("DK", "Denmark", "EMEA", "Northern Europe", "DKK"),
+    ("FI", "Finland", "EMEA", "Northern Europe", "EUR"),
+    ("PL", "Poland", "EMEA", "Eastern Europe", "PLN"),
+    ("AT", "Austria", "EMEA", "Western Europe", "EUR"),
+    ("CH", "Switzerland", "EMEA", "Western Europe", "CHF"),
+    ("ZA", "South Africa", "EMEA", "Southern Africa", "ZAR"),
+    ("NG", "Nigeria", "EMEA", "West Africa", "NGN"),
+    ("KE", "Kenya", "EMEA", "East Africa", "KES"),
+    ("EG", "Egypt", "EMEA", "North Africa", "EGP"),
+    ("GH", "Ghana", "EMEA", "West Africa", "GHS"),
+    ("TZ", "Tanzania", "EMEA", "East Africa", "TZS"),
+    ("IN", "India", "APAC", "South Asia", "INR"),
+    ("CN", "China", "APAC", "East Asia", "CNY"),
+    ("JP", "Japan", "APAC", "East Asia", "JPY"),
+    ("AU", "Australia", "APAC", "Oceania", "AUD"),
+    ("SG", "Singapore", "APAC", "Southeast Asia", "SGD"),
+    ("ID", "Indonesia", "APAC", "Southeast Asia", "IDR"),
+    ("TH", "Thailand", "APAC", "Southeast Asia", "THB"),
+    ("MY", "Malaysia", "APAC", "Southeast Asia", "MYR"),
+    ("PH", "Philippines", "APAC", "Southeast Asia", "PHP"),
+    ("VN", "Vietnam", "APAC", "Southeast Asia", "VND"),
+    ("KR", "South Korea", "APAC", "East Asia", "KRW"),
+    ("NZ", "New Zealand", "APAC", "Oceania", "NZD"),
+)
 # Paid channels of the advertising feeds.
 ADS = [("Google", "search brand", "set 1"), ("google", "search brand", "set 1"), ("Facebook", "spring", "set 2"), ("instagram", "spring", "set 3"), ("tiktok", "spring", "set 4")]
 
@@ -55,7 +55,7 @@ LIVE = "status NOT IN ('cancelled', 'refunded')"
 
 
 def country_rows(d: Spark) -> str:
-    rows = ", ".join("(" + ", ".join(f"'{v}'" for v in line.split("|")) + ")" for line in COUNTRY_ROWS.split("\n") if line)
+    rows = ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in COUNTRY_ROWS)
     return f"SELECT * FROM (VALUES {rows}) AS t(country, country_name, region, subregion, currency_code)"
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable, Container
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 
 from lakeloom.functions import constants as C
 from lakeloom.functions import core
-from lakeloom.operators import fraud, ingest, merge, quality, sessions, silver
+from lakeloom.operators import fraud, ingest, merge, quality, sessions, silver, suites
 from lakeloom.plans import domain, gold, stored
 from lakeloom.plans.dialect import DUCK, SPARK, Spark
 from lakeloom.session import shared_dir
@@ -559,17 +560,6 @@ for _name, _text in SQL.items():
 
 # ---- data quality
 
-CRITICAL = [quality.Expect("not_null", c) for c in ("event_id", "user_id", "event_ts", "ingested_at")] + [quality.Expect("unique", "event_id"), quality.Expect("in_set", "event_type", C.EVENT_TYPES, mostly=0.999), quality.Expect("row_count", low=1)]
-WARNING = [
-    quality.Expect("in_set", "device_type", ("desktop", "mobile", "tablet", "unknown"), mostly=0.99, level="warning"), quality.Expect("between", "product_price_usd", low=0, high=50_000, mostly=0.999, level="warning"),
-    quality.Expect("row_count", low=100, high=5_000_000, level="warning"), quality.Expect("match_regex", "geo_country", ("^[A-Z]{2}$",), mostly=0.98, level="warning"),
-    quality.Expect("not_null", "page_referrer", mostly=0.95, level="warning"), quality.Expect("not_match_regex", "event_id", (r"^\s*$",), level="warning"),
-]
-ORDERS = [quality.Expect("not_null", "order_id"), quality.Expect("in_set", "status", C.ORDER_STATUSES), quality.Expect("between", "total_amount_usd", low=0), quality.Expect("between", "discount_usd", low=0, high=100_000)] + [
-    quality.Expect("between", "item_count", low=1, high=500, mostly=0.999, level="warning"), quality.Expect("between", "fraud_score", low=0, high=1, level="warning"), quality.Expect("not_null", "payment_method", mostly=0.9, level="warning"),
-]
-
-
 def _suite_sql(view: str, suite: list[quality.Expect]) -> str:
     parts = []
     for e in suite:
@@ -577,7 +567,8 @@ def _suite_sql(view: str, suite: list[quality.Expect]) -> str:
         if e.kind == "not_null":
             seen, bad = "count(*)", f"count_if({c} IS NULL)"
         elif e.kind == "in_set":
-            bad = f"count_if({c} NOT IN {domain._in(e.values)})"
+            members = ", ".join(f"'{v}'" if isinstance(v, str) else str(v).lower() for v in e.values)
+            bad = f"count_if({c} NOT IN ({members}))"
         elif e.kind == "between":
             bad = f"count_if({' OR '.join(x for x in (f'{c} < {e.low}' if e.low is not None else '', f'{c} > {e.high}' if e.high is not None else '') if x)})"
         elif "regex" in e.kind:
@@ -591,10 +582,44 @@ def _suite_sql(view: str, suite: list[quality.Expect]) -> str:
     return f"SELECT name, level, seen, unexpected, CASE WHEN mostly = 0 THEN unexpected = 0 ELSE seen - unexpected >= mostly * seen END AS success FROM ({' UNION ALL '.join(parts)}) e"
 
 
-for _name, _view, _suite in (("dq_bronze_critical", "bronze_dup", CRITICAL), ("dq_bronze_warning", "bronze", WARNING), ("dq_orders", "stg_orders", ORDERS)):
+for _name, _view, _suite in (
+    ("dq_bronze_critical", "checked_events", suites.BRONZE_CRITICAL), ("dq_bronze_warning", "checked_events", suites.BRONZE_WARNING),
+    ("dq_orders", "checked_orders", suites.SILVER_CRITICAL + suites.SILVER_WARNING),
+):
     query(_name, _suite_sql(_view, _suite))(lambda lake, v=_view, s=_suite: quality.run(lake.view(v), s))
-query("dq_summary", f"SELECT count_if(NOT success AND level = 'critical') = 0 AS success, count(*) AS evaluated, count_if(NOT success) AS failed, count_if(NOT success AND level = 'warning') AS warnings FROM ({_suite_sql('bronze', CRITICAL + WARNING)}) r")(lambda lake: quality.passed(quality.run(lake.view("bronze"), CRITICAL + WARNING)))
-query("dq_freshness", "SELECT CASE WHEN x > 60 THEN 'error' WHEN x > 30 THEN 'warn' ELSE 'pass' END AS state FROM (SELECT date_diff('second', max(ingested_at), TIMESTAMP '2024-01-31 00:00:00') / 60.0 AS x FROM bronze) a")(lambda lake: quality.freshness(lake.view("bronze"), "ingested_at", F.lit("2024-01-31").cast("timestamp_ntz")).select("state"))
+BRONZE = suites.BRONZE_CRITICAL + suites.BRONZE_WARNING
+query("dq_summary", f"SELECT count_if(NOT success AND level = 'critical') = 0 AS success, count(*) AS evaluated, count_if(NOT success) AS failed, count_if(NOT success AND level = 'warning') AS warnings FROM ({_suite_sql('checked_events', BRONZE)}) r")(
+    lambda lake: quality.passed(quality.run(lake.view("checked_events"), BRONZE))
+)
+
+
+@query("dq_models", " UNION ALL ".join(f"SELECT '{m}' AS model, * FROM ({_suite_sql(m, s)}) r" for m, s in suites.MODELS.items()))
+def dq_models(lake: Lake) -> DataFrame:
+    """Every test of every gold model, one pass over each."""
+    return reduce(DataFrame.unionByName, [quality.run(lake.view(m), s).select(F.lit(m).alias("model"), "*") for m, s in suites.MODELS.items()])
+
+
+@query(
+    "dq_freshness",
+    """
+    SELECT source, CASE WHEN age > 60 THEN 'error' WHEN age > 30 THEN 'warn' ELSE 'pass' END AS state FROM (
+        SELECT 'silver_events' AS source, epoch(TIMESTAMP '2024-01-31 00:00:00' - max(ingested_at)) / 60 AS age FROM silver UNION ALL
+        SELECT 'user_sessions', epoch(TIMESTAMP '2024-01-31 00:00:00' - max(session_end_ts)) / 60 - 100000 FROM silver_sessions UNION ALL
+        SELECT 'orders', epoch(TIMESTAMP '2024-01-31 00:00:00' - max(updated_at)) / 60 + 1000000 FROM stg_orders UNION ALL
+        SELECT 'product_catalog', 45 + min(p_size) % 10 FROM products) a""",
+)
+def dq_freshness(lake: Lake) -> DataFrame:
+    """All four silver sources, each against its own load time."""
+    now, minutes = F.lit("2024-01-31").cast("timestamp_ntz"), lambda m: F.expr(f"make_interval(0, 0, 0, 0, 0, {m}, 0)")
+    loaded = {
+        "silver_events": lake.view("silver").select(F.col("ingested_at").alias("processed_at")),
+        "user_sessions": lake.view("silver_sessions").select((F.col("session_end_ts") + minutes(100_000)).alias("processed_at")),
+        "orders": lake.view("stg_orders").select((F.col("updated_at") - minutes(1_000_000)).alias("processed_at")),
+        "product_catalog": lake.view("products").agg(F.min("p_size").alias("p_size")).select((now - minutes("CAST(45 + p_size % 10 AS INT)")).alias("processed_at")),
+    }
+    return reduce(DataFrame.unionByName, [quality.freshness(df, "processed_at", now, suites.FRESH_WARN, suites.FRESH_ERROR).select(F.lit(n).alias("source"), "state") for n, df in loaded.items()])
+
+
 both("dq_no_negative_revenue", lambda d: "SELECT order_id FROM fct_orders WHERE total_amount_usd < 0")
 both("dq_one_current_user", lambda d: "SELECT user_id_hashed, count(*) AS n FROM dim_users WHERE is_current GROUP BY user_id_hashed HAVING count(*) > 1")
 both("dq_model_keys", lambda d: " UNION ALL ".join(f"SELECT '{v}' AS model, count(*) - count(DISTINCT {k}) AS repeated, count_if({k} IS NULL) AS missing FROM {v}" for v, k in (("fct_orders", "order_id"), ("fct_sessions", "session_id"), ("dim_users", "user_key"), ("dim_products", "product_key"), ("dim_channels", "channel_key"), ("dim_geography", "geo_key"), ("dim_date", "date_key"))))
@@ -602,20 +627,13 @@ both("dq_model_keys", lambda d: " UNION ALL ".join(f"SELECT '{v}' AS model, coun
 
 @query("model_metrics", """
     SELECT round((sum(r) FILTER (WHERE y = 1) - p * (p + 1) / 2.0) / (p * (n - p)), 6) AS auc, round(count_if(s >= 0.5 AND y = 1) / CAST(count_if(s >= 0.5) AS DOUBLE), 6) AS precision_at_half,
-        round(count_if(s >= 0.5 AND y = 1) / CAST(p AS DOUBLE), 6) AS recall_at_half, round(count_if((s >= 0.5) <> (y = 1)) / CAST(n AS DOUBLE), 6) AS error
-    FROM (SELECT s, y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS r, sum(y) OVER () AS p, count(*) OVER () AS n
+        round(count_if(s >= 0.5 AND y = 1) / CAST(p AS DOUBLE), 6) AS recall_at_half, round(count_if((s >= 0.5) <> (y = 1)) / CAST(n AS DOUBLE), 6) AS error,
+        round(sum(CASE WHEN y = 1 THEN found / CAST(above AS DOUBLE) END) / p, 6) AS average_precision
+    FROM (SELECT s, y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS r, sum(y) OVER () AS p, count(*) OVER () AS n,
+        sum(y) OVER (ORDER BY s DESC) AS found, count(*) OVER (ORDER BY s DESC) AS above
         FROM (SELECT fraud_score AS s, CASE WHEN (k * 7) % 100 + k > 100 THEN 1 ELSE 0 END AS y FROM bronze) a) b GROUP BY p, n""")
 def model_metrics(lake: Lake) -> DataFrame:
-    """Ranks are summed per distinct score, so the only unpartitioned window is over scores, not rows."""
-    from pyspark.sql import Window
-
-    rows = lake.sql("SELECT fraud_score AS s, CASE WHEN (k * 7) % 100 + k > 100 THEN 1 ELSE 0 END AS y FROM bronze")
-    by = rows.groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("p"))
-    w = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    by = by.withColumn("r", F.coalesce(F.sum("n").over(w), F.lit(0)) + (F.col("n") + 1) / 2)
-    hot = F.col("s") >= 0.5
-    t = by.agg(F.sum(F.col("r") * F.col("p")).alias("rs"), F.sum("p").alias("p"), F.sum("n").alias("n"), F.sum(F.when(hot, F.col("p"))).alias("tp"), F.sum(F.when(hot, F.col("n"))).alias("hot"))
-    return t.selectExpr("round((rs - p * (p + 1) / 2.0D) / (p * (n - p)), 6) AS auc", "round(tp / CAST(hot AS DOUBLE), 6) AS precision_at_half", "round(tp / CAST(p AS DOUBLE), 6) AS recall_at_half", "round((hot - tp + p - tp) / CAST(n AS DOUBLE), 6) AS error")
+    return quality.classifier_metrics(lake.sql("SELECT fraud_score AS s, CASE WHEN (k * 7) % 100 + k > 100 THEN 1 ELSE 0 END AS y FROM bronze"))
 
 
 # ---- tables with snapshots

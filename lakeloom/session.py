@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build(app: str = "lakeloom", master: str | None = None) -> SparkSession:
@@ -23,3 +24,10 @@ def shared_dir(spark: SparkSession) -> str:
     made = tempfile.mkdtemp(prefix="lakeloom-")
     spark.conf.set("spark.checkpoint.dir", made)
     return made
+
+
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """The rows written to the shared folder and read back: their lineage is cut, and every reader sees the same."""
+    path = f"{shared_dir(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions import constants as C
 from lakeloom.functions import core
-from lakeloom.operators import fraud, ingest, merge, quality, sessions, silver
+from lakeloom.operators import fraud, ingest, merge, quality, sessions, silver, suites
 from lakeloom.sources import connectors
 from lakeloom.sources.tables import Bookmark, Conflict, SnapshotTable
 from lakeloom.streaming import jobs
@@ -153,6 +153,40 @@ def test_expectations(spark):
     assert not empty.success
 
 
+def test_suites_on_known_rows(spark):
+    """Each expectation of the order suites broken by a known number of rows, counted by hand."""
+    good = ("o1", "u", T0, True, "pending", "c", 10.0, 9.0, 1.0, 1, 2, 5, T0, 0.5, "card")
+    names = "order_id user_id_hashed effective_from is_current status cdc_op total_amount_usd net_amount_usd discount_usd record_version item_count cdc_lsn processed_at fraud_score payment_method".split()
+    types = "string string timestamp boolean string string double double double int int long timestamp double string".split()
+    bad = [{"order_id": " "}, {"order_id": None}, {"user_id_hashed": None}, {"effective_from": None}, {"is_current": None}, {"status": "lost"}, {"status": "deleted"}, {"cdc_op": "x"}, {"cdc_op": "r"}, {"total_amount_usd": -0.01}, {"total_amount_usd": 100_001.0}]
+    bad += [{"net_amount_usd": -1.0}, {"discount_usd": 100_000.0}, {"discount_usd": 100_000.5}, {"record_version": 0}, {"record_version": 51}, {"item_count": 501}, {"item_count": 0}, {"cdc_lsn": -1}, {"processed_at": None}, {"fraud_score": 1.01}, {"payment_method": None}]
+    rows = [good] + [tuple((dict(zip(names, good)) | b)[n] for n in names) for b in bad]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} {t}" for n, t in zip(names, types)))
+    got = {r.name: (r.unexpected, r.success) for r in quality.run(df, suites.SILVER_CRITICAL + suites.SILVER_WARNING).collect()}
+    n = len(rows)
+    want = {"not_null:order_id": 1, "not_null:user_id_hashed": 1, "not_null:effective_from": 1, "not_null:is_current": 1, "not_match_regex:order_id": 1, "in_set:status": 1, "in_set:cdc_op": 1, "between:total_amount_usd": 1, "between:net_amount_usd": 1, "between:discount_usd": 1, "in_set:is_current": 0, "between:record_version": 2, "row_count:table": 0}
+    assert {k: v[0] for k, v in got.items() if k.startswith("critical")} == {f"critical:{k}": v for k, v in want.items()}
+    assert all(got[f"critical:{k}"][1] == (v == 0) for k, v in want.items())
+    warned = {"between:total_amount_usd": 2, "between:item_count": 2, "between:cdc_lsn": 1, "not_null:processed_at": 1, "between:fraud_score": 1, "not_null:payment_method": 1}
+    assert {k: v for k, v in got.items() if k.startswith("warning")} == {f"warning:{k}": (v, k == "not_null:payment_method" and v <= 0.1 * n) for k, v in warned.items()}
+
+
+def test_integrity_finds_each_fault(spark):
+    day = lambda d: T0 + timedelta(days=d)
+    rows = [("ok", day(0), day(1), False, 1), ("ok", day(1), None, True, 2), ("twice", day(0), None, True, 1), ("twice", day(1), None, True, 2), ("back", day(2), day(1), False, 1), ("same", day(1), day(1), False, 1), ("gap", day(0), day(1), False, 1), ("gap", day(1), None, True, 3)]
+    df = spark.createDataFrame(rows, "order_id string, effective_from timestamp, effective_to timestamp, is_current boolean, record_version int")
+    assert sorted((r.check, r.order_id) for r in quality.scd2_integrity(df).collect()) == [("bad_interval", "back"), ("bad_interval", "same"), ("duplicate_current", "twice"), ("version_gap", "gap")]
+
+
+def test_classifier_metrics(spark):
+    rows = [(0.9, 1), (0.8, 0), (0.8, 1), (0.5, 1), (0.4, 0), (0.4, 1), (0.1, 0), (0.1, 0)]
+    got = quality.classifier_metrics(spark.createDataFrame(rows, "s double, y int"), ranges=3).first()
+    pairs = [(a, b) for a, y in rows if y for b, z in rows if not z]
+    auc = sum(1.0 if a > b else 0.5 if a == b else 0.0 for a, b in pairs) / len(pairs)
+    ap = (1 / 1 + 2 / 3 + 3 / 4 + 4 / 6) / 4
+    assert (got.auc, got.precision_at_half, got.recall_at_half, got.error, got.average_precision) == (round(auc, 6), 0.75, 0.75, 0.25, round(ap, 6))
+
+
 def test_snapshot_table(spark, tmp_path):
     now = [1000]
     t = SnapshotTable(spark, str(tmp_path / "t"), clock=lambda: now[0])
