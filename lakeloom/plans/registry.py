@@ -319,8 +319,15 @@ def anti_not_in(lake: Lake) -> DataFrame:
 
 @query("src_rest_catalog", "SELECT sku FROM products WHERE p_partkey % 4 = 0 ORDER BY sku")
 def src_rest_catalog(lake: Lake) -> DataFrame:
-    feed = lake.sql("SELECT sku, price_usd, name, 1 AS stock, is_active, p_partkey FROM products")
-    known = feed.withColumn("content_hash", core.content_hash(F.col("sku"), F.when(F.col("p_partkey") % 4 == 0, -1.0).otherwise(F.col("price_usd")), F.col("name"), F.col("stock"), F.col("is_active")))
+    """Pages of the catalogue by cursor, then only the products whose content is new."""
+    path, page = _folder(lake), F.floor(F.col("p_partkey") / 500)
+    rows = lake.sql("SELECT sku, price_usd, name, 1 AS stock, is_active, p_partkey FROM products").withColumn("page", page)
+    last = rows.agg(F.max("page")).first()[0]
+    listed = rows.groupBy("page").agg(F.collect_list(F.struct("sku", "price_usd", "name", "stock", "is_active")).alias("products"))  # a page has up to 500
+    body = F.to_json(F.struct("products", F.when(F.col("page") < last, (F.col("page") + 1).cast("string")).alias("next_cursor")))
+    listed.select(body.alias("value"), F.when(F.col("page") > 0, F.col("page").cast("string")).otherwise("first").alias("cursor")).write.partitionBy("cursor").text(path)
+    feed = connectors.catalog_feed(lake.spark, connectors.folder_pages(path))
+    known = rows.withColumn("content_hash", core.content_hash(F.col("sku"), F.when(F.col("p_partkey") % 4 == 0, -1.0).otherwise(F.col("price_usd")), F.col("name"), F.col("stock"), F.col("is_active")))
     return connectors.changed_products(feed, known).select("sku")
 
 
@@ -652,7 +659,9 @@ def src_incremental(lake: Lake) -> DataFrame:
     table, first = _two(lake)
     mark = Bookmark(lake.spark, f"{table.path}-bookmark")
     mark.put(first)
-    return table.read_between(mark.get()).select("event_id", "k")
+    table.compact()
+    table.merge(lake.sql("SELECT event_id, ingested_at, -1.0D AS price, k FROM bronze WHERE k % 10 = 3"), ["event_id"])
+    return table.read_between(mark.get()).select("event_id", "k")  # what the second append brought, whatever came after it
 
 
 query("src_table", "SELECT event_id, k FROM bronze")(lambda lake: _two(lake)[0].read().select("event_id", "k"))
@@ -721,23 +730,47 @@ def snk_feature(lake: Lake) -> DataFrame:
 
 
 def _stream(lake: Lake) -> tuple[str, DataFrame]:
+    """Raw lines as files by time of arrival, two to a batch."""
     path = _folder(lake)
-    raw_lines(lake).select("value").coalesce(1).write.text(f"{path}/in")
-    return path, connectors.file_source(lake.spark, f"{path}/in", 1000)
+    raw_lines(lake).repartitionByRange(6, "ingested_at").select("value").write.text(f"{path}/in")
+    return path, connectors.file_source(lake.spark, f"{path}/in", 2)
+
+
+BRONZE_OUT = f"""
+    SELECT 'bronze' AS sink, event_id, coalesce({FLAG}, CASE WHEN k % 4 = 3 THEN 'WARNING' END) AS note FROM ({ODD}) o WHERE k % 10 <> 0 AND {FLAG} IS DISTINCT FROM 'CRITICAL' UNION ALL
+    SELECT 'dead letters', NULL, CASE WHEN k % 10 = 0 THEN 'malformed JSON' ELSE {REASON} END FROM ({ODD}) o WHERE k % 10 = 0 OR {FLAG} = 'CRITICAL'"""
 
 
-@query("stream_bronze", f"SELECT event_id, {FLAG} AS dq_flag FROM ({ODD}) o WHERE k % 10 <> 0 AND k % 4 <> 3 AND {FLAG} IS DISTINCT FROM 'CRITICAL'")
+@query("stream_bronze", BRONZE_OUT)
 def stream_bronze(lake: Lake) -> DataFrame:
+    """Everything that both sinks hold after the replay in several batches."""
     path, stream = _stream(lake)
     table, dead = SnapshotTable(lake.spark, f"{path}/bronze"), SnapshotTable(lake.spark, f"{path}/dead")
     jobs.bronze(stream, table, dead, f"{path}/ck", f"bronze{uuid.uuid4().hex}", F.timestamp_seconds(F.lit(1706659200))).awaitTermination()
-    return table.read().where("event_ts <> timestamp_seconds(1706659200)").select("event_id", "dq_flag")
+    kept = table.read().select(F.lit("bronze").alias("sink"), "event_id", F.col("dq_flag").alias("note"))
+    return kept.unionByName(dead.read().select(F.lit("dead letters").alias("sink"), F.lit(None).cast("string").alias("event_id"), F.col("reason").alias("note")))
+
+
+@query("late_data", f"SELECT event_id, k % 2 = 1 AS late FROM ({ODD}) o WHERE k % 10 <> 0 AND {FLAG} IS DISTINCT FROM 'CRITICAL' AND event_id NOT IN (SELECT event_id FROM bronze WHERE is_bot)")
+def late_data(lake: Lake) -> DataFrame:
+    """Events that arrive days after others of their time: bronze keeps them, and the next increment brings them to silver."""
+    path = _folder(lake)
+    lines = raw_lines(lake).repartitionByRange(4, "ingested_at")
+    bronze, dead, refined = (SnapshotTable(lake.spark, f"{path}/{n}") for n in ("bronze", "dead", "silver"))
+    mark = Bookmark(lake.spark, f"{path}/bookmark")
+    for late in (0, 1):  # the second delivery is of the same days
+        lines.where(F.col("k") % 2 == late).select("value").write.mode("append").text(f"{path}/in")
+        jobs.bronze(connectors.file_source(lake.spark, f"{path}/in", 100), bronze, dead, f"{path}/ck", f"late{uuid.uuid4().hex}", F.timestamp_seconds(F.lit(1706659200))).awaitTermination()
+        fresh = silver.drop_unwanted(bronze.read_between(mark.get()).withColumn("is_internal", F.lit(False))).select("event_id", "ingested_at", F.lit(late == 1).alias("late"))
+        refined.merge(silver.latest(fresh, ["event_id"], [F.desc("ingested_at")]), ["event_id"], F.col("new.ingested_at") > F.col("cur.ingested_at"))
+        mark.put(bronze.current_id())
+    return refined.read().select("event_id", "late")
 
 
 def _event_stream(lake: Lake, view: str, cols: str) -> tuple[str, DataFrame]:
     path = _folder(lake)
     rows = lake.sql(f"SELECT {cols} FROM {view}").withColumn("event_ts", F.col("event_ts").cast("timestamp"))
-    rows.coalesce(1).write.parquet(f"{path}/in")
+    rows.repartitionByRange("event_ts").write.parquet(f"{path}/in")
     return path, lake.spark.readStream.schema(rows.schema).parquet(f"{path}/in")
 
 
@@ -861,11 +894,25 @@ HOPS = f"SELECT b.user_id, b.event_ts AS signal_ts, b.event_id AS signal_id FROM
 def join_stream_stream(lake: Lake) -> DataFrame:
     path, events = _event_stream(lake, "bronze", "user_id, event_id, event_ts")
     hot = fraud.alerts(fraud.score(lake.view("bronze"))).select("user_id", F.col("event_ts").cast("timestamp").alias("signal_ts"), F.col("event_id").alias("signal"))
-    hot.coalesce(1).write.parquet(f"{path}/signals")
+    hot.write.parquet(f"{path}/signals")
     signals = lake.spark.readStream.schema(hot.schema).parquet(f"{path}/signals")
     made = jobs.signals_with_events(signals, events).writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/ck")
     made.trigger(availableNow=True).start().awaitTermination()
     return lake.spark.read.parquet(f"{path}/out").select(F.col("signal").alias("signal_id"), "event_id")
 
 
-query("lookup_remote", "SELECT count(*) AS n FROM bronze")(lambda lake: churn_enrich(lake).agg(F.count(F.lit(1)).alias("n")))
+@query(
+    "lookup_remote",
+    """SELECT event_id, s AS churn_score, CASE WHEN s < 0.2 THEN 'stable' WHEN s < 0.5 THEN 'monitor' WHEN s < 0.75 THEN 'at_risk' WHEN s < 1.01 THEN 'high_churn' END AS churn_segment
+    FROM (SELECT event_id, CASE WHEN CAST(substr(user_id, 2) AS BIGINT) % 7 <> 0 THEN CAST(CAST(substr(user_id, 2) AS BIGINT) % 100 AS DOUBLE) / 100 END AS s FROM bronze) b""",
+)
+def lookup_remote(lake: Lake) -> DataFrame:
+    """A lookup for each event, from a stand-in endpoint that fails for some users: those events pass with no score."""
+    return jobs.lookup_scores(lake.view("bronze").select("event_id", "user_id", "event_type", "device_type"), _endpoint).select("event_id", "churn_score", "churn_segment")
+
+
+def _endpoint(features: dict) -> float:
+    number = int(features["user_id"][1:])
+    if number % 7 == 0:
+        raise ConnectionError("no answer")
+    return number % 100 / 100

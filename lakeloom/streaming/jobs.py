@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+import time
+from collections import OrderedDict
+from collections.abc import Callable, Iterator
+from zoneinfo import ZoneInfo
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lakeloom.functions import constants as C
@@ -45,6 +51,14 @@ _STATE = "n LONG, last LONG, country STRING, viewed LONG"
 _IN = ("event_id", "event_ts", "event_type", "geo_country", "product_quantity", "seq")
 
 
+def _local_hour(at: pd.Timestamp, zone: str | None) -> int:
+    """As functions.core.local_hour: the hour in an IANA zone; unknown and missing zones count as UTC."""
+    if isinstance(zone, str) and re.fullmatch(r"[A-Za-z]+(/[A-Za-z0-9_+\-]+)*", zone):
+        at = at.tz_localize("UTC") if at.tzinfo is None else at
+        return at.tz_convert(ZoneInfo(zone)).hour
+    return at.hour
+
+
 def fraud_scores(events: DataFrame, user: str = "user_id") -> DataFrame:
     """user, event_id, fraud_score, fraud_signals (joined by comma), scored in event order within a batch.
 
@@ -69,7 +83,7 @@ def fraud_scores(events: DataFrame, user: str = "user_id") -> DataFrame:
             hits = {
                 "VELOCITY_SPIKE": n > 20 and at - last < 60_000,
                 "GEO_HOP": bool(country and here and country != here),
-                "UNUSUAL_HOUR": r.event_type == "purchase" and r.event_ts.hour in (2, 3),
+                "UNUSUAL_HOUR": r.event_type == "purchase" and _local_hour(r.event_ts, getattr(r, "geo_timezone", None)) in (2, 3),
                 "RAPID_PURCHASE": r.event_type == "purchase" and viewed is not None and at - viewed < 30_000,
                 "CART_OVERFLOW": r.event_type == "add_to_cart" and quantity > 50,
             }
@@ -80,7 +94,8 @@ def fraud_scores(events: DataFrame, user: str = "user_id") -> DataFrame:
         state.setTimeoutTimestamp(max(last + gap, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(out, columns=[user, "event_id", "fraud_score", "fraud_signals"])
 
-    marked = events.withWatermark("event_ts", WATERMARK).select(user, *_IN)
+    zone = [c for c in ("geo_timezone",) if c in events.columns]
+    marked = events.withWatermark("event_ts", WATERMARK).select(user, *_IN, *zone)
     return marked.groupBy(user).applyInPandasWithState(score, f"{user} STRING, event_id STRING, fraud_score DOUBLE, fraud_signals STRING", _STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
@@ -100,6 +115,46 @@ def enrich_scores(events: DataFrame, scores: DataFrame, user: str = "user_id") -
     return joined.withColumn("churn_segment", churn_segment(F.col("churn_score")))
 
 
+def lookup_scores(events: DataFrame, endpoint: Callable[[dict], float], user: str = "user_id", capacity: int = 50_000, ttl_s: float = 300) -> DataFrame:
+    """A score from a remote endpoint for each event, batch or stream: churn_score and churn_segment.
+
+    endpoint(features of an event) is asked once for a user while a task remembers the answer: the `capacity` users last
+    seen, for `ttl_s` seconds. It fails open: without an answer, or without a user, both columns are null, and it is asked
+    again at the user's next batch.
+    """
+    names = events.columns
+    segment = F.when(F.col("churn_score").isNotNull(), churn_segment(F.col("churn_score")))
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory: OrderedDict[str, tuple[float, float]] = OrderedDict()
+
+        def score(who: str, first: dict) -> float | None:
+            known = memory.get(who)
+            if known and time.monotonic() <= known[1]:
+                memory.move_to_end(who)
+                return known[0]
+            try:
+                value = float(endpoint(first))
+            except Exception:  # noqa: BLE001  whatever went wrong, the event goes on
+                return None
+            memory[who] = (value, time.monotonic() + ttl_s)
+            memory.move_to_end(who)
+            if len(memory) > capacity:
+                memory.popitem(last=False)
+            return value
+
+        for b in batches:
+            users = b.column(names.index(user)).dictionary_encode()
+            places = users.indices.to_pylist()
+            first = {p: i for i, p in reversed(list(enumerate(places))) if p is not None}
+            found = [score(who, b.slice(first[p], 1).to_pylist()[0]) if who else None for p, who in enumerate(users.dictionary.to_pylist())]
+            scores = pa.array([None if p is None else found[p] for p in places], pa.float64())
+            yield pa.RecordBatch.from_arrays([*b.columns, scores], [*names, "churn_score"])
+
+    schema = T.StructType([*events.schema.fields, T.StructField("churn_score", T.DoubleType())])
+    return events.mapInArrow(look_up, schema).withColumn("churn_segment", segment)
+
+
 def signals_with_events(signals: DataFrame, events: DataFrame, user: str = "user_id", within: str = "15 minutes") -> DataFrame:
     """Stream-stream join of fraud signals with the user's events of the time before them; both sides are bounded by watermarks."""
     s = signals.withWatermark("signal_ts", WATERMARK).alias("s")

@@ -3,6 +3,7 @@
 import hashlib
 import hmac
 import json
+import re
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from lakeloom.functions import constants as C
 from lakeloom.functions import core
 from lakeloom.operators import fraud, ingest, merge, quality, sessions, silver, suites
+from lakeloom.plans import registry, stored
 from lakeloom.sources import connectors
 from lakeloom.sources.tables import Bookmark, Conflict, SnapshotTable
 from lakeloom.streaming import jobs
@@ -321,6 +323,74 @@ def test_fraud_stream_keeps_state_between_batches(spark, tmp_path):
     assert alerts.read().count() == sum(s >= 0.7 for s, _ in want.values())
 
 
+def test_fraud_stream_takes_the_users_hour(spark, tmp_path):
+    zones = ["America/New_York", "Asia/Tokyo", None, "not a zone", "Europe/Berlin"]
+    rows = [(f"e{h}-{z}", f"u{h}-{z}", T0.replace(hour=h), "purchase", "US", 1, h, z) for h in (1, 2, 3, 7, 17) for z in zones]
+    df = spark.createDataFrame(rows, EVENT + ", geo_timezone string")
+    df.write.parquet(str(tmp_path / "in"))
+    table, alerts = SnapshotTable(spark, str(tmp_path / "s")), SnapshotTable(spark, str(tmp_path / "a"))
+    jobs.fraud_alerts(jobs.fraud_scores(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))), table, alerts, str(tmp_path / "ck"), "hours").awaitTermination()
+    got = {r.event_id: r.fraud_signals for r in table.read().collect()}
+    assert got == {r.event_id: ",".join(r.fraud_signals) for r in fraud.score(df).collect()} and set(got.values()) == {"", "UNUSUAL_HOUR"}
+
+
+def test_lookup_remembers_and_fails_open(spark, tmp_path):
+    log = str(tmp_path / "asked")
+
+    def endpoint(features):
+        with open(log, "a") as f:
+            f.write(features["user_id"] + "\n")
+        if features["user_id"] == "down":
+            raise ConnectionError
+        return {"a": 0.1, "b": 0.6, "c": 0.9}[features["user_id"]]
+
+    rows = spark.createDataFrame([(i, u) for i, u in enumerate(["a", "b", "a", None, "", "down", "c", "a", "down", "b"])], "i int, user_id string").coalesce(1)
+    got = {r.i: (r.churn_score, r.churn_segment) for r in jobs.lookup_scores(rows, endpoint).collect()}
+    a, b, c, none = (0.1, "stable"), (0.6, "at_risk"), (0.9, "high_churn"), (None, None)
+    assert [got[i] for i in range(10)] == [a, b, a, none, none, none, c, a, none, b]
+    assert sorted(open(log).read().split()) == ["a", "b", "c", "down"]
+
+
+def test_catalogue_pages(spark):
+    pages = {None: ("t1", {"products": [{"sku": "a", "price_usd": 1.0}, {"name": "no sku"}], "next_cursor": "2"}), "2": ("t2", {"data": [{"sku": "b"}], "pagination": {"next_cursor": "3"}}), "3": ("t3", {"products": []})}
+    fetch = lambda cursor, tag: (pages[cursor][0], None if tag == pages[cursor][0] else pages[cursor][1])
+    tags = {}
+    assert [p["sku"] for p in connectors.poll_pages(fetch, tags)] == ["a", "b"]
+    assert tags == {"page:first": "t1", "page:2": "t2", "page:3": "t3"}
+    assert list(connectors.poll_pages(fetch, tags)) == []  # the first page is as it was
+    assert [p["sku"] for p in connectors.poll_pages(fetch, tags | {"page:first": "old"})] == ["a"]  # the second page is
+    got = connectors.catalog_feed(spark, fetch)
+    assert got.schema.simpleString() == "struct<sku:string,price_usd:double,name:string,stock:int,is_active:boolean>" and sorted(r.sku for r in got.collect()) == ["a", "b"]
+
+
+def test_each_table_reads_the_events_once(spark, sf):
+    """No table of the chain scans its source more than once, and models on written tables don't scan it at all."""
+    lake = registry.Lake(spark, sf)
+    for name in stored.TABLES:
+        plan = lake._made(name)._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"events\.parquet\]", plan)) == (1 if name == "silver" else 0), name
+    for name in ("features", "agg_daily", "fct_orders"):
+        plan = lake.view(name)._jdf.queryExecution().executedPlan().toString()
+        assert "events.parquet" not in plan
+    assert "PartitionFilters: [isnotnull(order_date" in lake.sql("SELECT order_id FROM fct_orders WHERE order_date = DATE'2024-01-20'")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_users_and_null_users(spark):
+    """A third of all orders and sessions under one user, and rows without a user: each order still finds its session."""
+    at = lambda m: T0 + timedelta(minutes=m)
+    visits = [(f"s{k}", "hot" if k % 3 == 0 else f"u{k}", at(k), "browse") for k in range(300)] + [("n", None, at(1), "browse"), ("z1", "tie", at(5), "a"), ("z0", "tie", at(5), "b")]
+    orders = [(f"o{k}", "hot" if k % 3 == 0 else f"u{k}", at(k + k % 50)) for k in range(300)] + [("on", None, at(2)), ("ot", "tie", at(35)), ("ol", "tie", at(36))]
+    frames = {
+        "silver_sessions": spark.createDataFrame(visits, "session_id string, user_id_hashed string, session_start_ts timestamp_ntz, funnel_stage_reached string"),
+        "stg_orders": spark.createDataFrame(orders, "order_id string, user_id_hashed string, created_at timestamp_ntz"),
+    }
+    got = {r.order_id: r.attributed_session_id for r in stored.attributed_orders(frames.__getitem__).collect()}
+    for o, u, t in orders:
+        near = [(s, -ord(i[-1]), i) for i, v, s, _ in visits if u is not None and v == u and s <= t <= s + timedelta(minutes=30)]
+        assert got[o] == (max(near)[2] if near else None), o
+    assert got["ot"] == "z0" and got["ol"] is None and got["on"] is None
+
+
 def test_stream_stream_join(spark, tmp_path):
     s = spark.createDataFrame([("u", T0, "GEO_HOP")], "user_id string, signal_ts timestamp, signal string")
     e = spark.createDataFrame([("u", "in", T0 - timedelta(minutes=5)), ("u", "old", T0 - timedelta(minutes=50)), ("v", "other", T0)], "user_id string, event_id string, event_ts timestamp")
