@@ -375,6 +375,54 @@ def test_each_table_reads_the_events_once(spark, sf):
     assert "PartitionFilters: [isnotnull(order_date" in lake.sql("SELECT order_id FROM fct_orders WHERE order_date = DATE'2024-01-20'")._jdf.queryExecution().executedPlan().toString()
 
 
+def frames(spark, **tables):
+    return {n: spark.createDataFrame(rows, schema) for n, (schema, rows) in tables.items()}.__getitem__
+
+
+def test_user_dimension_by_hand(spark):
+    """Bands at their edges (100, 300, 1000 of spend in 90 days), the latest event's place, signup by order or first visit."""
+    day = lambda n: datetime(2024, 1, 31).date() - timedelta(days=n)
+    event = "user_id_hashed string, event_type string, event_ts timestamp_ntz, event_date date, product_sku string, geo_country string, geo_region string, device_type string, seq long"
+    visit = lambda u, n, sku=None, country="US", seq=1: (u, "purchase" if sku else "page_view", T0.replace(hour=seq), day(n), sku, country, "AMER", "mobile", seq)
+    events = [visit("a", 9, "s1"), visit("a", 8, "s1", seq=2), visit("a", 5, "s2", None, seq=3), visit("a", 91, "s3"), visit("a", 91, "s3"), visit("a", 91, "s3"), visit("b", 40), visit("c", 3, "s2"), visit("c", 3, "s1"), visit("d", 1), visit("e", 1), visit(None, 1)]
+    orders = [("a", day(90), "shipped", 299.99), ("a", day(91), "shipped", 900.0), ("b", day(10), "confirmed", 300.0), ("c", day(10), "delivered", 1000.0), ("c", day(2), "cancelled", 5.0), ("d", day(1), "pending", 500.0), ("d", day(1), "confirmed", 99.99)]
+    get = frames(
+        spark, silver=(event, events), silver_orders=("user_id_hashed string, order_date date, status string, total_amount_usd double", orders),
+        products=("sku string, category string", [("s1", "books"), ("s2", "art"), ("s3", "toys")]),
+    )
+    got = {r.user_id_hashed: r for r in stored.user_dimension(get).collect()}
+    assert {u: (r.ltv_band, r.spend_90d) for u, r in got.items()} == {"a": ("silver", 299.99), "b": ("gold", 300.0), "c": ("platinum", 1000.0), "d": ("bronze", 99.99), "e": ("bronze", 0.0)}
+    assert {u: r.preferred_category for u, r in got.items()} == {"a": "books", "b": None, "c": "art", "d": None, "e": None}
+    assert {u: r.signup_date for u, r in got.items()} == {"a": day(91), "b": day(10), "c": day(10), "d": day(1), "e": day(1)}
+    assert got["a"].country is None and got["a"].last_active_date == day(5) and all(r.is_current for r in got.values())
+    assert got["a"].user_key == hashlib.sha256(b"a").hexdigest()
+
+
+def test_order_facts_and_days_by_hand(spark):
+    """Unknown keys are -1, a cancelled order without amount goes, inactive products have no key; days count each buyer once."""
+    day = lambda n: datetime(2024, 1, n).date()
+    order = "order_id string, user_id_hashed string, order_date date, total_amount_usd double, item_count int, discount_usd double, net_amount_usd double, order_tier string, days_consideration long, funnel_stage_reached string, attributed_session_id string, fraud_score double, status string, payment_method string, shipping_country string, created_at timestamp_ntz, updated_at timestamp_ntz"
+    made = lambda i, u, n, total, status="confirmed", fraud=0.1, session=None, country="US": (f"o{i}", u, day(n), total, 1, 0.0, total, "t", 0, None, session, fraud, status, "card", country, T0, T0)
+    orders = [made(1, "a", 1, 10.0, session="s1"), made(2, "a", 2, 20.0), made(3, "b", 2, 30.0, fraud=0.71), made(4, "b", 2, 0.0, "cancelled"), made(5, "b", 2, 5.0, "cancelled"), made(6, None, 2, 40.0, "pending", country="ZZ"), made(7, "b", 2, 0.0, "pending", fraud=0.7)]
+    get_one = frames(
+        spark, silver_orders=(order, orders), dim_users=("user_id_hashed string, user_key string", [("a", "A"), ("b", "B")]), dim_geography=("country string, geo_key string", [("US", "us")]),
+        dim_date=("full_date date, date_key int", [(day(1), 1), (day(2), 2)]), dim_products=("sku string, product_key string, is_active boolean", [("x", "X", True), ("y", "Y", False)]),
+        silver=("seq long, event_type string, product_sku string, product_price_usd double", [(1, "purchase", "x", 1.0), (1, "purchase", "y", 0.5), (2, "purchase", "y", 9.0), (3, "purchase", None, 9.0), (6, "page_view", "x", 1.0)]),
+        silver_sessions=("session_id string, entry_referrer string, ab_cohort string", [("s1", "https://www.google.com/", None)]),
+        dim_channels=("channel_key string, source string, medium string, ab_cohort string", [("paid", "google", "cpc", None), ("found", "google", "organic", None), ("cohort", "google", "organic", "A")]),
+    )
+    facts = stored.order_facts(get_one).cache()
+    got = {r.order_id: (r.user_key, r.product_key, r.channel_key, r.geo_key, r.date_key, r.fraud_flagged) for r in facts.collect()}
+    assert got == {
+        "o1": ("A", "X", "found", "us", 1, False), "o2": ("A", "-1", "-1", "us", 2, False), "o3": ("B", "-1", "-1", "us", 2, True), "o5": ("B", "-1", "-1", "us", 2, False),
+        "o6": ("-1", "-1", "-1", "-1", 2, False), "o7": ("B", "-1", "-1", "us", 2, False),
+    }
+    days = {r.metric_date: r for r in stored.order_days({"fct_orders": facts}.__getitem__).collect()}
+    second = days[day(2)]
+    assert (second.total_orders, second.unique_buyers, second.gross_revenue_usd, second.median_order_value_usd, second.flagged_fraud_orders, second.fraud_exposure_usd) == (4, 3, 90.0, 20.0, 1, 30.0)
+    assert (second.new_buyers, second.returning_buyers, days[day(1)].new_buyers, days[day(1)].avg_order_value_usd) == (1, 1, 1, 10.0)
+
+
 def test_hot_users_and_null_users(spark):
     """A third of all orders and sessions under one user, and rows without a user: each order still finds its session."""
     at = lambda m: T0 + timedelta(minutes=m)
