@@ -104,6 +104,22 @@ def join_shared(rows: DataFrame, keys: DataFrame, on: list[str], limit: int = 1_
     return rows.join(hot, on, "left").withColumn("_salt", own).drop("_hot").join(spread, [*on, "_salt"]).drop("_salt")
 
 
+#: Rows of either side of a bucket that one task compares with each other.
+PAIR_BLOCK = 1000
+
+
+def in_blocks(outside: DataFrame, inside: DataFrame, name: str = "doc") -> tuple[DataFrame, DataFrame]:
+    """Both sides of a bucket's comparison dealt to a grid: rows meet where their _i and _j are equal, each two of them once.
+
+    Both have `rows_out` and `rows_in`, the sizes of their bucket's sides. A bucket of any size is compared in blocks of
+    about PAIR_BLOCK by PAIR_BLOCK rows, so no task has more than one block of it; small buckets are one block.
+    """
+    cut = lambda c: F.ceil(F.col(c) / PAIR_BLOCK).cast("int")
+    place = lambda c: F.pmod(F.xxhash64(F.col(name)), cut(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), cut(c) - 1))
+    return outside.withColumn("_i", place("rows_out")).withColumn("_j", every("rows_in")), inside.withColumn("_j", place("rows_in")).withColumn("_i", every("rows_out"))
+
+
 def with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """docs joined to a table of distinct doc_id: by broadcast if it is small, else by a shuffle."""
     return docs.join(small_side(ids), "doc_id")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import text as T
-from llm.common import materialize, partitions, small_batches
+from llm.common import in_blocks, materialize, partitions, small_batches
 
 HASHES, BANDS, BAND_ROWS = 128, 25, 5
 _A = np.random.Generator(np.random.PCG64(1)).integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -118,10 +118,11 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     marked = materialize(buckets.join(label, "doc_id", "left").select("band", "key", "doc_id", F.coalesce("label", "doc_id").alias("label")), "marked")
     sizes = marked.groupBy("band", "key", "label").agg(F.count(F.lit(1)).alias("size"))
     # pairs within the largest component of a bucket aren't needed, so one side of a pair lies outside it
-    open_ = sizes.groupBy("band", "key").agg(F.count(F.lit(1)).alias("labels"), F.max_by("label", F.struct("size", "label")).alias("main")).where("labels > 1")
+    sides = [F.sum("size").alias("rows_in"), (F.sum("size") - F.max("size")).alias("rows_out")]
+    open_ = sizes.groupBy("band", "key").agg(F.count(F.lit(1)).alias("labels"), F.max_by("label", F.struct("size", "label")).alias("main"), *sides).where("labels > 1")
     others = marked.join(open_, ["band", "key"]).join(chosen, "doc_id")
-    outside, inside = others.where("label <> main").alias("x"), others.alias("y")
-    crossed = outside.join(inside, F.expr(f"x.band = y.band and x.key = y.key and x.label <> y.label and {_near(percent)}"))
+    outside, inside = in_blocks(others.where("label <> main"), others, "doc_id")
+    crossed = outside.alias("x").join(inside.alias("y"), F.expr(f"x.band = y.band and x.key = y.key and x._i = y._i and x._j = y._j and x.label <> y.label and {_near(percent)}"))
     second = crossed.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     return links.unionByName(verified(materialize(second, "second"), docs, similarity))
 

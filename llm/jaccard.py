@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm import text as T
-from llm.common import materialize, small_batches, with_ids
+from llm.common import in_blocks, materialize, small_batches, with_ids
 from llm.components import components
 
 SMALL_BAND, SMALL_CELLS = 6, 1 << 12
@@ -283,10 +283,11 @@ def near_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
     marked = buckets.join(label.withColumnRenamed("node", "doc"), "doc", "left").select("key", "doc", F.coalesce("label", "doc").alias("label"))
     marked = materialize(marked, "marked")
     sizes = marked.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    open_ = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("labels"), F.max_by("label", F.struct("n", "label")).alias("main")).where("labels > 1")
+    sides = [F.sum("n").alias("rows_in"), (F.sum("n") - F.max("n")).alias("rows_out")]
+    open_ = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("labels"), F.max_by("label", F.struct("n", "label")).alias("main"), *sides).where("labels > 1")
     others = marked.join(open_, "key").join(chosen.withColumnRenamed("doc_id", "doc"), "doc")
-    outside, inside = others.where("label <> main").alias("x"), others.alias("y")
-    crossed = outside.join(inside, F.expr(f"x.key = y.key and x.label <> y.label and {_near(percent)}"))
+    outside, inside = in_blocks(others.where("label <> main"), others)
+    crossed = outside.alias("x").join(inside.alias("y"), F.expr(f"x.key = y.key and x._i = y._i and x._j = y._j and x.label <> y.label and {_near(percent)}"))
     crossed = crossed.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b"), F.greatest("x.n", "y.n").alias("n")).distinct()
     second = materialize(crossed.join(first, ["a", "b"], "left_anti"), "kept")
     second = materialize(wide_filter(second, known, percent), "kept")

@@ -140,8 +140,10 @@ def test_banded_near_duplicates(spark):
     assert all(linked[i] == 10 * (i // 10) for i, _, _ in rows)
 
 
-def test_banded_pairs_behind_an_unrelated_hub(spark):
-    """Pairs that meet only in buckets whose least document is less similar than 0.8 are still joined."""
+@pytest.mark.parametrize("block", [1000, 3])
+def test_banded_pairs_behind_an_unrelated_hub(spark, block, monkeypatch):
+    """Pairs that meet only in buckets whose least document is less similar than 0.8 are still joined, in blocks too."""
+    monkeypatch.setattr(common, "PAIR_BLOCK", block)
     r = random.Random(7)
     word = lambda: f"v{r.randrange(10**6)}"
     texts, last = [], []
@@ -242,8 +244,10 @@ def test_jaccard_groups(spark, rows):
     assert got == want
 
 
-def test_jaccard_chain_and_hidden_links(spark):
+@pytest.mark.parametrize("block", [1000, 2])
+def test_jaccard_chain_and_hidden_links(spark, block, monkeypatch):
     """Sliding windows over one text: neighbours link, distant ones don't, and all are one component."""
+    monkeypatch.setattr(common, "PAIR_BLOCK", block)
     r = random.Random(5)
     stream = [f"t{k}" for k in range(900)]
     rows = [(k, " ".join(stream[8 * k : 8 * k + 120]), "s") for k in range(60)]
