@@ -730,10 +730,10 @@ def snk_feature(lake: Lake) -> DataFrame:
 
 
 def _stream(lake: Lake) -> tuple[str, DataFrame]:
-    """Raw lines as files by time of arrival, two to a batch."""
+    """Raw lines as files by time of arrival, three to a batch."""
     path = _folder(lake)
     raw_lines(lake).repartitionByRange(6, "ingested_at").select("value").write.text(f"{path}/in")
-    return path, connectors.file_source(lake.spark, f"{path}/in", 2)
+    return path, connectors.file_source(lake.spark, f"{path}/in", 3)
 
 
 BRONZE_OUT = f"""
