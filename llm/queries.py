@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat, fingerprints, html, jaccard, mixing, packing, quality, repeats, sharding, toxicity
+from llm import chat, fingerprints, html, jaccard, mixing, packing, pieces, quality, quantize, repeats, sharding, toxicity
 from llm.common import table
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +82,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quantize.coded(table(spark, sf_dir, "embeddings")).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_quality_rules": op2_quality_rules,
@@ -93,8 +101,43 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_sharding": op9_sharding,
     "op10_mixing": op10_mixing,
+    "op12_sentencepiece": op12_sentencepiece,
+    "op13_vector_codes": op13_vector_codes,
 }
 
+
+def _vector_codes_sql(rounds: int) -> str:
+    """Codebooks c0, c1, ... and assignments a0, a1, ... of each round; vec_id is a key of the table."""
+    away = "list_sum(list_transform(range(1, len(p.x) + 1), lambda i: (p.x[i] - c.c[i]) * (p.x[i] - c.c[i])))"
+    steps = [r"""
+        WITH k AS (
+            SELECT vec_id, label, list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda e: e IS NULL OR isnan(e) OR isinf(e))) = 0
+        ), p AS (
+            SELECT vec_id, part, v[part * (len(v) // 16) + 1 : (part + 1) * (len(v) // 16)] AS x FROM k, (SELECT unnest(range(16)) AS part) g
+        ), c0 AS (
+            SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x AS c FROM p WHERE vec_id IN (SELECT vec_id FROM k ORDER BY vec_id LIMIT 64)
+        )"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+        a{r} AS (
+            SELECT vec_id, part, any_value(x) AS x, min(64 * far + entry) % 64 AS entry, min(64 * far + entry) // 64 AS far
+            FROM (SELECT p.vec_id, p.part, p.x, c.entry, CAST({away} AS BIGINT) AS far FROM p JOIN c{r} c ON p.part = c.part) d GROUP BY vec_id, part
+        )""")
+        if r < rounds:
+            steps.append(f"""
+        c{r + 1} AS (
+            SELECT o.part, o.entry, coalesce(n.c, o.c) AS c FROM c{r} o LEFT JOIN (
+                SELECT part, entry, list((s - ((s % m) + m) % m) // m ORDER BY d) AS c
+                FROM (SELECT part, entry, d, CAST(sum(x[d]) AS BIGINT) AS s, count(*) AS m FROM (SELECT part, entry, x, unnest(range(1, len(x) + 1)) AS d FROM a{r}) u GROUP BY part, entry, d) t GROUP BY part, entry
+            ) n ON n.part = o.part AND n.entry = o.entry
+        )""")
+    return ",".join(steps) + f"""
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+            (SELECT sha256(string_agg(CAST(e AS VARCHAR), ',' ORDER BY part, entry, d)) FROM (SELECT part, entry, unnest(c) AS e, unnest(range(len(c))) AS d FROM c{rounds}) f) AS codebooks_sha256
+        FROM (SELECT vec_id, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, CAST(sum(far) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id) z JOIN k USING (vec_id)"""
+
+
 ORACLE_SQL = {
     "op3_jaccard_join": r"""
         WITH RECURSIVE w AS (
@@ -151,4 +194,5 @@ ORACLE_SQL = {
             CAST(size * ((middle < target)::INT + (source_size + middle < target)::INT) AS BIGINT) AS taken,
             CASE WHEN middle < target THEN round(2 * (middle / target) / ((1 - slope) + sqrt((1 - slope) * (1 - slope) + 4 * slope * (middle / target))), 6) END AS position
         FROM placed""",
+    "op13_vector_codes": _vector_codes_sql(rounds=2),
 }
