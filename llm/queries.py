@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat, fingerprints, html, jaccard, mixing, packing, pieces, quality, quantize, repeats, sharding, toxicity
+from llm import alignment, chat, fingerprints, html, jaccard, mixing, packing, pieces, quality, quantize, repeats, sharding, toxicity
 from llm.common import table
 
 
@@ -82,6 +82,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
@@ -101,6 +105,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_sharding": op9_sharding,
     "op10_mixing": op10_mixing,
+    "op11_alignment": op11_alignment,
     "op12_sentencepiece": op12_sentencepiece,
     "op13_vector_codes": op13_vector_codes,
 }
