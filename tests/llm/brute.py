@@ -199,3 +199,16 @@ def toxicity(texts, labels, given):
         spans = [(tokens[i][p][0], tokens[i][q - 1][1]) for p, q, s in values if log_k + math.log(len(tokens[i])) - lam * s < math.log(given.SIGNIFICANT)]
         out[i] = (1 / (1 + math.exp(-max(min(slope * e + cut, 30), -30))), spans)
     return out
+
+
+def least_cost(t, penalty, size):
+    """Least padding plus penalties of a run from t[0] to t[-1], over every way back from every cut."""
+    best = [0]
+    for j in range(1, len(t)):
+        i, least = j - 1, None
+        while i >= 0 and t[j] - t[i] <= size:
+            cost = best[i] + size - (t[j] - t[i])
+            least = cost if least is None or cost < least else least
+            i -= 1
+        best.append(least + penalty[j])
+    return best[-1]
