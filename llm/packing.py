@@ -1,22 +1,21 @@
 """Operator 8: packing documents into fixed windows, in order, by dynamic programming.
 
-Each input partition is read in order as one run of tokens. Cuts may fall after a document (free), after a sentence
-(a small penalty) or inside a sentence (a larger one, at every STEP tokens). The windows of a run have the least padding plus penalties of all
-ways to cut it there. With token positions t,
+Each input partition is read in order, as runs of RUN tokens or a little more, ended by the end of a document. Cuts may fall after a document
+(free), after a sentence (a small penalty) or inside a sentence (a larger one, at every STEP tokens). The windows of a run have the least padding
+plus penalties of all ways to cut it there. With token positions t,
 best[j] = penalty[j] + size - t[j] + min(best[i] + t[i]) over i with t[j] - t[i] <= size: the minimum over a moving window,
 kept in a monotone queue, so time is linear in the number of possible cuts.
 
-So a window may be left short in the middle of a run where that saves more in penalties than the padding costs. As filling windows up costs
-less than STEP tokens of padding and INSIDE of penalty a window, padding stays under (STEP + INSIDE) / size, 3.2 %, and one window a partition;
-on prose it is about 0.5 %. The sum counts every short window, also one whose length is a power of two.
+So a window may be left short in the middle of a run where that saves more in penalties than the padding costs, and the last one of a run is
+short. As filling windows up costs less than STEP tokens of padding and INSIDE of penalty a window, padding stays under (STEP + INSIDE) / size,
+3.2 %, and one window a run (2048 windows and more, or a partition's end); on prose it is about 0.5 %. The sum counts every short window, also
+one whose length is a power of two. A task holds one run, of whose optimum no part is certain before its end.
 
 Partitions are packed apart, without a shuffle, so a table that is split otherwise is packed otherwise: hold the splits (or sort and
-repartition, as the pipeline does) where the same windows are wanted again. A run is read in blocks, and a cut is given out as soon as every way
-on from here has it behind itself, so the windows don't hang on the blocks' size; what is undecided is held, some windows on prose, and at
-worst (a partition without any end of a sentence or document) the ids of the partition.
+repartition, as the pipeline does) where the same windows are wanted again.
 
 Defined cases: a null text is empty and gives only the end token; repeated rows are documents of their own; documents longer
-than a window or than a block, however long, are encoded whole and cut as often as needed; an empty table gives an empty result; other columns are ignored.
+than a window or than a run, however long, are encoded whole and cut as often as needed; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,9 +24,8 @@ import gc
 import os
 import re
 from collections import deque
-from collections.abc import Iterable, Iterator
-from heapq import heapify, heappop, heappush
-from itertools import repeat
+from collections.abc import Iterator, Sequence
+from itertools import batched, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +38,7 @@ from llm.common import small_batches
 
 WINDOW, END = 4096, 2
 SENTENCE, INSIDE, STEP = 4, 64, 64
-BLOCK = 1 << 20
+RUN = 1 << 23
 MEMO, PARTS = 900_000, 900_000
 #: A word of letters and trailing ASCII marks: the vocabulary splits it there, and lowers the letters one by one.
 _MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
@@ -149,59 +147,23 @@ def word_tokens(path: str) -> WordTokens:
     return _made[path]
 
 
-class Cutter:
-    """Cuts of least cost of a run whose possible cuts come in order; position 0 is the start, the last one always a cut."""
-
-    def __init__(self, size: int) -> None:
-        self.size = size
-        self.t, self.back, self.base = [0], [0], 0  # from the last settled cut on, which has the index base
-        self.queue: deque[tuple[int, int, int]] = deque([(0, 0, 0)])  # (best + t, index, t), increasing: the first is the least in reach
-
-    def add(self, t: Iterable[int], penalty: Iterable[int]) -> None:
-        queue, size, at, back = self.queue, self.size, self.t, self.back
-        j = self.base + len(at)
-        for x, p in zip(t, penalty, strict=True):
-            while x - queue[0][2] > size:
-                queue.popleft()
-            least, i, _ = queue[0]
-            value = least + p + size
-            at.append(x)
-            back.append(i)
-            while queue and queue[-1][0] >= value:
-                queue.pop()
-            queue.append((value, j, x))
-            j += 1
-
-    def settled(self, last: bool) -> list[int]:
-        """Positions of the cuts, not yet given out, that all ways to cut what may follow have in common; all if nothing follows."""
-        if last:
-            meet = self.base + len(self.t) - 1
-        else:  # whatever follows goes on from an entry of the queue: go back from the latest until all have met
-            ways = {i for _, i, _ in self.queue}
-            latest = [-i for i in ways]
-            heapify(latest)
-            while len(ways) > 1:
-                j = -heappop(latest)
-                ways.remove(j)
-                if (i := self.back[j - self.base]) not in ways:
-                    ways.add(i)
-                    heappush(latest, -i)
-            (meet,) = ways
-        cuts, j = [], meet
-        while j > self.base:
-            cuts.append(self.t[j - self.base])
-            j = self.back[j - self.base]
-        del self.t[: meet - self.base], self.back[: meet - self.base]
-        self.base = meet
-        return cuts[::-1]
-
-
 def best_cuts(t: list[int], penalty: list[int], size: int) -> list[int]:
     """Indices of the cuts of least cost; t[0] = 0 is the start, the last index always a cut."""
-    run = Cutter(size)
-    run.add(t[1:], penalty[1:])
-    place = {x: j for j, x in enumerate(t)}
-    return [place[x] for x in run.settled(True)]
+    back = [0] * len(t)
+    queue: deque[tuple[int, int]] = deque([(0, 0)])  # (best + t, index), increasing: the first is the least in reach
+    for j in range(1, len(t)):
+        while t[j] - t[queue[0][1]] > size:
+            queue.popleft()
+        least, back[j] = queue[0]
+        value = least + penalty[j] + size  # best[j] + t[j]
+        while queue and queue[-1][0] >= value:
+            queue.pop()
+        queue.append((value, j))
+    cuts, j = [], len(t) - 1
+    while j > 0:
+        cuts.append(j)
+        j = back[j]
+    return cuts[::-1]
 
 
 def candidates(length: int, doc_ends: np.ndarray, sentence_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -219,51 +181,30 @@ def candidates(length: int, doc_ends: np.ndarray, sentence_ends: np.ndarray) ->
     return t, penalty
 
 
-def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, run_tokens: int = RUN) -> DataFrame:
     """One row for each piece: doc_id, start, length, ids (binary, little-endian uint32), doc_tokens, sequence_id, offset."""
     small_batches(docs.sparkSession)
     names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
-    class Run:
-        """A partition's documents that still have tokens to give out: [doc_id, ids, start of ids, doc_tokens, place of ids in the run]."""
-
-        def __init__(self, number: int) -> None:
-            self.number, self.queue, self.cutter = number, deque(), Cutter(window)
-            self.end, self.lo, self.known = 0, 0, 0  # tokens read, given out, and in the cutter
-            self.ends: list[np.ndarray] = []
-            self.stops: list[np.ndarray] = []
-
-        def add(self, docs: list, ids: np.ndarray, ends: np.ndarray, stops: np.ndarray) -> None:
-            first = 0
-            for doc, end in zip(docs, ends.tolist(), strict=True):
-                self.queue.append([doc, ids[first:end], 0, end - first, self.end + first])
-                first = end
-            self.ends.append(ends + self.end)
-            self.stops.append(stops + self.end)
-            self.end += len(ids)
-
-        def pieces(self, last: bool) -> list[tuple]:
-            """Pieces of the windows that are settled."""
-            if self.ends:
-                t, penalty = candidates(self.end - self.known, np.concatenate(self.ends) - self.known, np.concatenate(self.stops) - self.known)
-                self.cutter.add((t[1:] + self.known).tolist(), penalty[1:].tolist())
-                self.known, self.ends, self.stops = self.end, [], []
-            out = []
-            for cut in self.cutter.settled(last):
-                at = self.lo
-                while at < cut:
-                    doc, ids, start, total, begin = rest = self.queue[0]
-                    hi = min(cut, begin + len(ids))
-                    out.append((doc, start, hi - at, ids[: hi - at].astype("<u4").tobytes(), total, self.number, at - self.lo))
-                    if hi == begin + len(ids):
-                        self.queue.popleft()
-                    else:
-                        rest[1:] = [ids[hi - at :], start + hi - at, total, hi]
-                    at = hi
-                self.lo, self.number = cut, self.number + 1
-            return out
-
-    def batch(pieces: list[tuple]) -> pa.RecordBatch:
+    def solved(docs: list, held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], number: int) -> Iterator[tuple]:
+        """Pieces of a run's windows, the first of them with the given number; held: ids, ends of documents and of sentences."""
+        begin = np.cumsum([0, *[len(ids) for ids, _, _ in held]])
+        ids = np.concatenate([h[0] for h in held])
+        ends = np.concatenate([h[1] + b for h, b in zip(held, begin, strict=False)])
+        stops = np.concatenate([h[2] + b for h, b in zip(held, begin, strict=False)])
+        t, penalty = candidates(len(ids), ends, stops)
+        cuts = t[best_cuts(t.tolist(), penalty.tolist(), window)]
+        begins, ends, lo, k = np.concatenate(([0], ends[:-1])).tolist(), ends.tolist(), 0, 0
+        for cut in cuts.tolist():
+            at = lo
+            while at < cut:
+                hi = min(cut, ends[k])
+                yield docs[k], at - begins[k], hi - at, ids[at:hi].astype("<u4").tobytes(), ends[k] - begins[k], number, at - lo
+                at = hi
+                k += hi == ends[k]
+            lo, number = cut, number + 1
+
+    def batch(pieces: Sequence[tuple]) -> pa.RecordBatch:
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*pieces, strict=True), kinds, strict=True)], names)
 
@@ -272,16 +213,33 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> DataFram
         was = gc.isenabled()
         gc.disable()  # nothing here makes cycles, and the memory of words is large
         try:
-            packed = Run(TaskContext.get().partitionId() << 32)
+            number, size = TaskContext.get().partitionId() << 32, 0
+            docs_, held = [], []
+
+            def out() -> Iterator[pa.RecordBatch]:
+                nonlocal number
+                for pieces in batched(solved(docs_, held, number), 1000):
+                    number = pieces[-1][5] + 1
+                    yield batch(pieces)
+
             for b in batches:
                 data, offsets = T.utf8(b.column(1))
                 for lo, hi in T.chunks(offsets):
-                    texts = [data[offsets[i] : offsets[i + 1]].tobytes() for i in range(lo, hi)]
-                    packed.add(b.column(0).slice(lo, hi - lo).to_pylist(), *tokens.encode(texts))
-                    if packed.end - packed.known > BLOCK and (pieces := packed.pieces(False)):
-                        yield batch(pieces)
-            if packed.queue:
-                yield batch(packed.pieces(True))
+                    names_, (ids, ends, stops) = b.column(0).slice(lo, hi - lo).to_pylist(), tokens.encode([data[offsets[i] : offsets[i + 1]].tobytes() for i in range(lo, hi)])
+                    while len(ends) and size + ends[-1] >= run_tokens:  # the run ends with the first document that fills it
+                        k = int(np.searchsorted(ends, run_tokens - size))
+                        cut, n = int(ends[k]), int(np.searchsorted(stops, ends[k], "right"))
+                        held.append((ids[:cut], ends[: k + 1], stops[:n]))
+                        docs_ += names_[: k + 1]
+                        yield from out()
+                        docs_, held, size = [], [], 0
+                        names_, ids, ends, stops = names_[k + 1 :], ids[cut:], ends[k + 1 :] - cut, stops[n:] - cut
+                    if len(ends):
+                        held.append((ids, ends, stops))
+                        docs_ += names_
+                        size += len(ids)
+            if held:
+                yield from out()
         finally:  # the worker is used again
             if was:
                 gc.enable()
