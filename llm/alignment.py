@@ -40,7 +40,7 @@ from llm.common import materialize, partitions, small_batches
 from llm.pieces import SPACE, Pieces
 
 #: Different words a worker remembers before it begins anew; words of one joined text; texts' bytes after which a group ends.
-MEMO, JOINED, GROUP_BYTES = 900_000, 256, 1 << 26
+MEMO, JOINED, GROUP_BYTES = 600_000, 256, 1 << 26
 #: Words of a group in one row, keys of a row's batch.
 ROWS = 20_000
 _B = np.int64(32)
