@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,18 +21,18 @@ def _round(edges: DataFrame) -> DataFrame:
     return moved.unionByName(small.select("m", F.col("u").alias("v"))).where("m < v").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = materialize) -> DataFrame:
     """(node, label) of every node that has an edge; label is the least node of its component.
 
     Edges are pairs a, b of longs; loops and repeats do no harm. Every round writes its edges to the shared folder, so
-    lineage stays short; rounds grow with the logarithm of the longest chain.
+    lineage stays short; `keep` writes them. Rounds grow with the logarithm of the longest chain.
     """
-    e = materialize(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "edges")
+    e = keep(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "edges")
     state = None
     while True:
         seen = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if seen == state or not seen.n:
             break
         state = seen
-        e = materialize(_round(e), "edges")
+        e = keep(_round(e), "edges")
     return e.select(F.col("b").alias("node"), F.col("a").alias("label")).unionByName(e.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct())

@@ -29,14 +29,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm import text as T
-from llm.common import in_blocks, materialize, small_batches, with_ids
+from llm.common import Scratch, in_blocks, materialize, small_batches, small_side, with_ids
 from llm.components import components
+from llm.ranks import running
 
 SMALL_BAND, SMALL_CELLS = 6, 1 << 12
 #: Words of the short bit sketch; sets above WIDE shingles also have a sketch of four to eight bits a shingle.
 LANES, WIDE = 8, 600
 #: A cell seen in this many different sets of one task, and this many in all, is common; so many are put last.
 COMMON_HERE, COMMON, HINTS = 3, 16, 1 << 20
+#: A cell that more documents have than this is dealt to several tasks.
+HOT = 1 << 12
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0x3C6EF372FE94F82A], np.uint64)
 
@@ -160,13 +163,17 @@ def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return key[count > 1], count[count > 1]
 
 
-def prefix_cells(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """(key, doc_id): the first floor(n / 4) + 1 cells of each set in each of its bands; one document a task for equal sets."""
-    shared = docs.sparkSession.sparkContext.broadcast(np.sort(common))
+def prefix_cells(docs: DataFrame, common: np.ndarray, seen_in: np.ndarray) -> DataFrame:
+    """(key, doc_id, parts): the first floor(n / 4) + 1 cells of each set in each of its bands; one document a task for equal sets.
+
+    common are cells to put last, seen_in how many sets have each; a cell that more than HOT have is to be dealt in `parts`.
+    """
+    order_ = np.argsort(common)
+    shared = docs.sparkSession.sparkContext.broadcast((common[order_], -(-seen_in[order_] // HOT)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
-        hints = shared.value
+        hints, deal = shared.value
         for b in batches:
             data, offsets = T.utf8(b.column(1))
             ids = b.column(0).to_numpy(zero_copy_only=False)
@@ -176,18 +183,20 @@ def prefix_cells(docs: DataFrame, common: np.ndarray) -> DataFrame:
                 k1, k2 = _set_keys(values, ptr)
                 k1[~known[lo:hi]] = k2[~known[lo:hi]] = 0
                 key, doc, group = cells_of(values, ptr, _fresh(k1, k2, seen))
-                late = np.zeros(len(key), bool)
+                late, parts = np.zeros(len(key), bool), np.ones(len(key), np.int64)
                 if len(hints):
-                    late = hints[np.minimum(np.searchsorted(hints, key), len(hints) - 1)] == key
+                    place = np.minimum(np.searchsorted(hints, key), len(hints) - 1)
+                    late = hints[place] == key
+                    parts[late] = deal[place[late]]
                 order = np.lexsort((key, late, group))
-                key, doc, group = key[order], doc[order], group[order]
+                key, doc, group, parts = key[order], doc[order], group[order], parts[order]
                 first = np.concatenate(([True], group[1:] != group[:-1])) if len(group) else np.empty(0, bool)
                 place = np.arange(len(group)) - np.maximum.accumulate(np.where(first, np.arange(len(group)), 0)) if len(group) else group
                 keep = place <= np.diff(ptr)[doc] // 4
-                yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(ids[lo:hi][doc[keep]].astype(np.int64))], ["key", "doc_id"])
+                yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(ids[lo:hi][doc[keep]].astype(np.int64)), pa.array(parts[keep].astype(np.int32))], ["key", "doc_id", "parts"])
         T.release()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "key long, doc_id long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "key long, doc_id long, parts int")
 
 
 def _near(percent: int) -> str:
@@ -259,29 +268,41 @@ def near_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
     if percent < 80:
         raise ValueError("the cells are laid out for a similarity of 80 % or more")
     small_batches(docs.sparkSession)
-    seen = materialize(summaries(docs), "sets")
+    with Scratch() as keep:
+        return materialize(_groups(docs, percent, keep), "groups")
+
+
+def _groups(docs: DataFrame, percent: int, keep: Scratch) -> DataFrame:
+    seen = keep(summaries(docs), "sets")
     common = seen.where("key is not null").groupBy("key").agg(F.sum("count").alias("n")).where(f"n >= {COMMON}")
-    common = common.orderBy(F.desc("n"), "key").limit(HINTS).select("key").toArrow().column(0).to_numpy()
+    common = common.orderBy(F.desc("n"), "key").limit(HINTS).toArrow()
     lanes = [f"h{i}" for i in range(LANES)]
     info = seen.where("key is null").select("doc_id", "n", "k1", "k2", *lanes, "wide")
-    classes = materialize(info.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("class")), "classes")
+    classes = keep(info.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("class")), "classes")
     known = info.where("n > 0 and doc_id is not null")
-    of = materialize(known.select("doc_id", "k1", "k2").join(classes, ["k1", "k2"]).select("doc_id", "class").distinct(), "class-of")  # of every document with a set
+    of = keep(known.select("doc_id", "k1", "k2").join(classes, ["k1", "k2"]).select("doc_id", "class").distinct(), "class-of")  # of every document with a set
     chosen = known.drop("wide").join(of.where("doc_id = class").select("doc_id"), "doc_id").select("doc_id", "n", *lanes)
-    chosen = materialize(chosen.dropDuplicates(["doc_id"]), "chosen")
+    chosen = keep(chosen.dropDuplicates(["doc_id"]), "chosen")
+
+    # buckets of two documents or more; then of two classes or more, with the least class of each. A bucket that is dealt in
+    # parts has a least class in each part, and parts of one document stay: what parts leave apart is compared below, by key
+    def bucketed(rows: DataFrame, c: str) -> DataFrame:
+        rows = rows.withColumn("part", F.pmod(F.xxhash64(c), F.col("parts")).cast("int"))
+        own = Window.partitionBy("key", "part")
+        rows = rows.repartition("key", "part").withColumns({"hub": F.min(c).over(own), "last": F.max(c).over(own)})
+        return rows.where("hub < last or parts > 1").select("key", c, "parts", "hub")
 
-    # buckets of two documents or more; then of two classes or more, with the least class of each
-    ends = lambda c: {"hub": F.min(c).over(Window.partitionBy("key")), "last": F.max(c).over(Window.partitionBy("key"))}
-    keyed = prefix_cells(docs, common).repartition("key").withColumns(ends("doc_id")).where("hub < last").select("key", "doc_id")
-    met = keyed.join(of, "doc_id").select("key", F.col("class").alias("doc")).distinct()
-    buckets = materialize(met.withColumns(ends("doc")).where("hub < last").select("key", "doc", "hub"), "buckets")
+    keyed = bucketed(prefix_cells(docs, common.column("key").to_numpy(), common.column("n").to_numpy()), "doc_id")
+    met = keyed.join(of, "doc_id").select("key", F.col("class").alias("doc"), "parts").distinct()
+    buckets = keep(bucketed(met, "doc").select("key", "doc", "hub"), "buckets")
 
-    first = materialize(buckets.where("hub < doc").select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct(), "first")
-    links = materialize(verified(materialize(wide_filter(materialize(sketch_filter(first, chosen, percent), "kept"), known, percent), "kept"), docs, percent / 100), "links").select("a", "b")
-    label = components(links)
+    first = keep(buckets.where("hub < doc").select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct(), "first")
+    close = keep(wide_filter(keep(sketch_filter(first, chosen, percent), "kept"), known, percent), "kept")
+    links = keep(verified(close, docs, percent / 100), "links").select("a", "b")
+    label = components(links, keep)
 
     marked = buckets.join(label.withColumnRenamed("node", "doc"), "doc", "left").select("key", "doc", F.coalesce("label", "doc").alias("label"))
-    marked = materialize(marked, "marked")
+    marked = keep(marked, "marked")
     sizes = marked.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     sides = [F.sum("n").alias("rows_in"), (F.sum("n") - F.max("n")).alias("rows_out")]
     open_ = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("labels"), F.max_by("label", F.struct("n", "label")).alias("main"), *sides).where("labels > 1")
@@ -289,18 +310,43 @@ def near_groups(docs: DataFrame, percent: int = 80) -> DataFrame:
     outside, inside = in_blocks(others.where("label <> main"), others)
     crossed = outside.alias("x").join(inside.alias("y"), F.expr(f"x.key = y.key and x._i = y._i and x._j = y._j and x.label <> y.label and {_near(percent)}"))
     crossed = crossed.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b"), F.greatest("x.n", "y.n").alias("n")).distinct()
-    second = materialize(crossed.join(first, ["a", "b"], "left_anti"), "kept")
-    second = materialize(wide_filter(second, known, percent), "kept")
+    second = keep(crossed.join(first, ["a", "b"], "left_anti"), "kept")
+    second = keep(wide_filter(second, known, percent), "kept")
     if not second.isEmpty():
         links = links.unionByName(verified(second, docs, percent / 100).select("a", "b"))
-        label = components(links)
+        label = components(links, keep)
 
     rows = info.join(classes, ["k1", "k2"], "left").join(label.withColumnRenamed("node", "class"), "class", "left")
     return rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "class", "doc_id").alias("component_id"))
 
 
+def _with_own_ids(rows: DataFrame) -> DataFrame:
+    """rows (row, doc_id, text) with `id`: the doc_id or, if some doc_id has unlike texts, the place of (doc_id, text) in order of doc_id.
+
+    Usually none has; then nothing but hashes is shuffled. Null ids stay null.
+    """
+    marks = {"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(7), "text")}
+    texts = rows.where("doc_id is not null").withColumns(marks).select("doc_id", "h1", "h2")
+    ends = texts.groupBy("doc_id").agg(F.min(F.struct("h1", "h2")).alias("least"), F.max(F.struct("h1", "h2")).alias("most"))
+    if ends.where("least <> most").isEmpty():
+        return rows.withColumn("id", F.col("doc_id"))
+    numbered = running(texts.distinct(), None, ["doc_id", "h1", "h2"]).select("doc_id", "h1", "h2", F.col("rank").alias("id"))
+    return rows.withColumns(marks).join(small_side(materialize(numbered, "own-ids")), ["doc_id", "h1", "h2"], "left").select("row", "doc_id", "text", "id")
+
+
 def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The documents, with one (the least doc_id) of each group of near duplicates; rows repeated under that id stay one, rows without an id all stay."""
-    least = near_groups(docs, percent).where("component_id is null or doc_id = component_id").select("doc_id").distinct()
-    known = docs.where("doc_id is not null").dropDuplicates(["doc_id"]).join(least, "doc_id", "left_semi")
-    return known.unionByName(docs.where("doc_id is null"))
+    """The documents, with one (the least doc_id) of each group of near duplicates.
+
+    A row stays or goes by its text: unlike texts under one doc_id are documents of their own, in the order of their hashes. Rows repeated under an id with one text stay one, the one with the least hash of all columns; rows without an id all stay.
+    """
+    quoted = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(F.struct(*quoted).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = _with_own_ids(rows)
+    least = near_groups(rows.select(F.col("id").alias("doc_id"), "text"), percent).where("doc_id = component_id").select(F.col("doc_id").alias("id")).distinct()
+    known = rows.where("id is not null").select("id", "row").withColumn("h", F.xxhash64("row"))
+    # which of an id's rows stays is settled by hashes; only rows alike in all columns are then compared whole
+    each = known.select("id", "h").groupBy("id", "h").agg(F.count(F.lit(1)).alias("n")).join(least, "id", "left_semi")
+    one = materialize(each.groupBy("id").agg(F.min(F.struct("h", "n")).alias("one")).select("id", "one.h", F.col("one.n").alias("n")), "chosen")
+    stay = known.join(small_side(one), ["id", "h"])
+    alike = stay.where("n > 1").dropDuplicates(["id"])
+    return stay.where("n = 1").unionByName(alike).select("row.*").unionByName(rows.where("id is null").select("row.*"))

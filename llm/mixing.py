@@ -70,12 +70,13 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: the documents' own columns, one row for each copy taken, range-sorted by training position.
 
     Positions are found without the texts and joined back by a hash of the row; rows that are alike in all columns are
-    numbered, so each has positions of its own.
+    numbered, so each has positions of its own. Columns may have any names: those used here are in a struct beside the documents' own.
     """
-    own = docs.withColumns({"_h1": F.xxhash64(*docs.columns), "_h2": F.xxhash64(F.lit(7), *docs.columns)})
-    alike = Window.partitionBy("_h1", "_h2")
-    plan = mix_plan(own, keep=["_h1", "_h2"], **options).select("_h1", "_h2", "positions")
-    plan = plan.withColumn("_n", F.row_number().over(alike.orderBy("positions")))
-    rows = own.withColumn("_n", F.row_number().over(alike.orderBy("_h1")))
-    taken = rows.join(plan, ["_h1", "_h2", "_n"]).select(*[F.col(f"`{c}`") for c in docs.columns], F.explode("positions").alias("_at"))
-    return taken.orderBy("_at", "doc_id").drop("_at")
+    quoted = [F.col(f"`{c}`") for c in docs.columns]
+    own = docs.select(F.struct(*quoted).alias("row"), F.xxhash64(*quoted).alias("h1"), F.xxhash64(F.lit(7), *quoted).alias("h2"))
+    needed = own.select(F.col("row.doc_id").alias("doc_id"), F.col("row.source").alias("source"), F.col("row.text").alias("text"), "h1", "h2")
+    alike = Window.partitionBy("h1", "h2")
+    plan = mix_plan(needed, keep=["h1", "h2"], **options).select("h1", "h2", "positions")
+    plan = plan.withColumn("n", F.row_number().over(alike.orderBy("positions")))
+    taken = own.withColumn("n", F.row_number().over(alike.orderBy("h1"))).join(plan, ["h1", "h2", "n"])
+    return taken.select("row", F.explode("positions").alias("at")).orderBy("at", "row.doc_id").select("row.*")

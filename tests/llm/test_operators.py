@@ -244,6 +244,57 @@ def test_jaccard_groups(spark, rows):
     assert got == want
 
 
+@pytest.mark.parametrize("hot", [1 << 12, 3])
+def test_jaccard_groups_of_frequent_cells(spark, hot, monkeypatch):
+    """Cells that many documents have: the same links whether a bucket is one or dealt in parts."""
+    monkeypatch.setattr(jaccard, "HOT", hot)
+    monkeypatch.setattr(jaccard, "COMMON_HERE", 1)
+    monkeypatch.setattr(jaccard, "COMMON", 2)
+    r = random.Random(8)
+    line = "this line stands in nearly every document of the table"
+    rows = []
+    for k in range(120):
+        words = [r.choice("abcdefghijklmnopqrstuvwxyz") * r.randint(1, 3) for _ in range(r.choice([0, 2, 30]))]
+        text = " ".join([line, *words]) if k % 4 else " ".join(words * 2)
+        rows += [(2 * k, text, None), (2 * k + 1, text.replace("every", "each", 1) if k % 5 == 0 else text, None)]
+    keys = []
+    prefix = jaccard.prefix_cells
+    monkeypatch.setattr(jaccard, "prefix_cells", lambda *a: keys.append(prefix(*a)) or keys[-1])
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard.near_groups(docs_frame(spark, rows)).collect()}
+    assert got == brute.near_groups([(i, t) for i, t, _ in rows])
+    assert (keys[0].agg(F.max("parts")).first()[0] > 1) == (hot == 3)
+
+
+def test_one_of_each_goes_by_text(spark):
+    """Unlike texts under one id all stay, near copies of either go; columns that clash with those used inside come back as they were."""
+    long = lambda w: " ".join(f"{w}{k}" for k in range(40))
+    rows = [(1, long("a")), (1, long("b")), (1, long("b")), (5, long("b") + " end"), (6, long("a") + " end"), (7, long("c")), (2, long("c")), (None, long("a")), (None, None), (8, None), (9, ""), (0, long("d")), (7, long("d"))]
+    made = [(i, t, 10 * k, "h", k, 2.5, [k]) for k, (i, t) in enumerate(rows)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, n int, h1 string, `row` int, id double, `one` array<int>")
+    got = jaccard.one_of_each(docs)
+    assert got.columns == docs.columns
+    kept = sorted((r.n // 10 for r in got.collect()))
+    assert kept[0] == 0 and kept[1] in (1, 2) and kept[2:] == [6, 7, 8, 9, 10, 11]
+    assert all(tuple(r) == made[r.n // 10] for r in got.collect())
+    again = [sorted(r.n for r in jaccard.one_of_each(docs.repartition(n)).collect()) for n in (1, 7)]
+    assert again[0] == again[1] == [10 * k for k in kept]  # the choice doesn't hang on the order of rows
+    repeated = docs.where("n = 0").unionByName(docs.where("n = 0"))
+    assert jaccard.one_of_each(repeated).count() == 1
+
+
+def test_mix_keeps_clashing_columns(spark, rows):
+    docs = docs_frame(spark, rows[:30], extra=False)
+    extra = {c: F.lit(k) for k, c in enumerate(["_n", "_at", "_h1", "_h2", "h1", "n", "at", "row", "size", "positions", "_key", "rank", "before"])}
+    docs = docs.withColumns(extra)
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    known = {r.doc_id: tuple(r) for r in docs.collect()}
+    got = mixed.collect()
+    assert got and all(tuple(r) == known[r.doc_id] for r in got)
+    plan = {r.doc_id: r.copies for r in mixing.mix_plan(docs).collect()}
+    assert {i: sum(r.doc_id == i for r in got) for i in plan} == plan
+
+
 @pytest.mark.parametrize("block", [1000, 2])
 def test_jaccard_chain_and_hidden_links(spark, block, monkeypatch):
     """Sliding windows over one text: neighbours link, distant ones don't, and all are one component."""
