@@ -19,7 +19,7 @@ from lakeloom.plans.dialect import DUCK, SPARK, Spark
 from lakeloom.session import shared_dir
 from lakeloom.sources import connectors
 from lakeloom.sources.tables import Bookmark, SnapshotTable
-from lakeloom.streaming import jobs
+from lakeloom.streaming import jobs, stateful
 
 VIEWS = domain.VIEWS | gold.VIEWS
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -767,11 +767,19 @@ def late_data(lake: Lake) -> DataFrame:
     return refined.read().select("event_id", "late")
 
 
-def _event_stream(lake: Lake, view: str, cols: str) -> tuple[str, DataFrame]:
+def _event_stream(lake: Lake, view: str, cols: str, batches: int = 3) -> tuple[str, DataFrame]:
+    """A view's rows as files in the order of event time, a range of it to a micro-batch, as a bus would bring them.
+
+    A file source reads files in the order of their writing, so each range of time is a job of its own; as many files as have rows enough.
+    """
     path = _folder(lake)
     rows = lake.sql(f"SELECT {cols} FROM {view}").withColumn("event_ts", F.col("event_ts").cast("timestamp"))
-    rows.repartitionByRange("event_ts").write.parquet(f"{path}/in")
-    return path, lake.spark.readStream.schema(rows.schema).parquet(f"{path}/in")
+    count, cuts = rows.agg(F.count(F.lit(1)), F.percentile_approx(F.unix_micros("event_ts"), [k / batches for k in range(1, batches)], 1000)).first()
+    files = max(1, min(int(lake.spark.conf.get("spark.sql.shuffle.partitions")), count // batches // 100_000))
+    place = reduce(lambda at, c: at + (F.unix_micros("event_ts") > c).cast("int"), cuts or [], F.lit(0))
+    for k in range(batches):
+        rows.where(place == k).repartition(files).write.mode("append").parquet(f"{path}/in")
+    return path, lake.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{path}/in")
 
 
 CLOSED = f"SELECT user_id_hashed, session_start_ts, session_end_ts, event_count, purchases, revenue_attributed_usd, funnel_stage_reached FROM ({_sessions_sql(15)}) x WHERE session_end_ts + INTERVAL 15 MINUTE <= (SELECT max(event_ts) - INTERVAL 4 HOUR FROM silver)"
@@ -786,11 +794,29 @@ def stream_sessions(lake: Lake) -> DataFrame:
     return lake.spark.read.parquet(f"{path}/out").select("user_id_hashed", ntz("session_start_ts"), ntz("session_end_ts"), "event_count", "purchases", "revenue_attributed_usd", "funnel_stage_reached")
 
 
+SESSION_VALUES = [c for c in SESSION_COLS.split(", ") if c != "user_id_hashed"]
+#: Every event with its session, and the sessions that the watermark of the last batch has closed.
+SESSION_RECORDS = f"""
+    SELECT 'event' AS record_type, user_id_hashed, {DUCK.key("user_id_hashed", "session_no")} AS session_id, event_id, event_type, {", ".join(f"NULL AS {c}" for c in SESSION_VALUES)} FROM ({domain.stitched(DUCK, 15)}) st UNION ALL
+    SELECT 'session_summary', user_id_hashed, session_id, NULL, NULL, {", ".join(SESSION_VALUES)} FROM ({_sessions_sql(15)}) x
+    WHERE session_end_ts + INTERVAL 15 MINUTE <= (SELECT max(event_ts) - INTERVAL 4 HOUR FROM silver)"""
+
+
+@query("stream_session_events", SESSION_RECORDS)
+def stream_session_events(lake: Lake) -> DataFrame:
+    """Sessions with passthrough over several micro-batches: an event leaves in its batch, a summary when its timer fires."""
+    path, events = _event_stream(lake, "silver", ", ".join(["user_id_hashed", "event_ts", *stateful.SESSION_IN]))
+    stateful.session_events(events).writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/ck").trigger(availableNow=True).start().awaitTermination()
+    ntz = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("session_start_ts", "session_end_ts")]
+    made = lake.spark.read.parquet(f"{path}/out")
+    return made.select("record_type", "user_id_hashed", "session_id", "event_id", "event_type", *ntz, *[c for c in SESSION_VALUES if not c.endswith("_ts")])
+
+
 @query("stream_fraud", FRAUD_SQL)
 def stream_fraud(lake: Lake) -> DataFrame:
-    path, events = _event_stream(lake, "bronze", "user_id, event_id, event_ts, event_type, geo_country, product_quantity, seq")
+    path, events = _event_stream(lake, "bronze", ", ".join(["user_id", "event_ts", *stateful.FRAUD_IN]))
     table, alerts = SnapshotTable(lake.spark, f"{path}/scores"), SnapshotTable(lake.spark, f"{path}/alerts")
-    jobs.fraud_alerts(jobs.fraud_scores(events), table, alerts, f"{path}/ck", f"fraud{uuid.uuid4().hex}").awaitTermination()
+    jobs.fraud_alerts(stateful.fraud_scores(events), table, alerts, f"{path}/ck", f"fraud{uuid.uuid4().hex}").awaitTermination()
     return table.read().select("event_id", "fraud_score", "fraud_signals")
 
 

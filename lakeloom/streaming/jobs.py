@@ -1,26 +1,22 @@
-"""Structured Streaming jobs: bronze ingest with dead letters, sessions, stateful fraud scores, score lookup."""
+"""Structured Streaming jobs: bronze ingest with dead letters, session windows, fraud alerts, score lookup."""
 
 from __future__ import annotations
 
-import re
 import time
 from collections import OrderedDict
 from collections.abc import Callable, Iterator
-from zoneinfo import ZoneInfo
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lakeloom.functions import constants as C
 from lakeloom.functions.core import churn_segment
-from lakeloom.operators import fraud, ingest, sessions
+from lakeloom.operators import ingest, sessions
 from lakeloom.sources.tables import SnapshotTable
+from lakeloom.streaming.stateful import WATERMARK
 
-WATERMARK = "4 hours"
 
 
 def bronze(stream: DataFrame, table: SnapshotTable, dead: SnapshotTable, checkpoint: str, query: str = "bronze", ingested_at: Column | None = None, once: bool = True):
@@ -47,58 +43,6 @@ def session_summaries(events: DataFrame, gap: str = "15 minutes", user: str = "u
     return marked.groupBy(user, F.session_window("event_ts", gap)).agg(*sessions._metrics("seq")).drop("session_window")
 
 
-_STATE = "n LONG, last LONG, country STRING, viewed LONG"
-_IN = ("event_id", "event_ts", "event_type", "geo_country", "product_quantity", "seq")
-
-
-def _local_hour(at: pd.Timestamp, zone: str | None) -> int:
-    """As functions.core.local_hour: the hour in an IANA zone; unknown and missing zones count as UTC."""
-    if isinstance(zone, str) and re.fullmatch(r"[A-Za-z]+(/[A-Za-z0-9_+\-]+)*", zone):
-        at = at.tz_localize("UTC") if at.tzinfo is None else at
-        return at.tz_convert(ZoneInfo(zone)).hour
-    return at.hour
-
-
-def fraud_scores(events: DataFrame, user: str = "user_id") -> DataFrame:
-    """user, event_id, fraud_score, fraud_signals (joined by comma), scored in event order within a batch.
-
-    State per user: events since the last gap, last time, last country, last product view. After 15 minutes of event time without
-    an event the count and the view are cleared; country and time stay.
-    """
-    gap, rules = C.SESSION_GAP_S * 1000, fraud.SIGNALS
-
-    def score(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        n, last, country, viewed = state.get if state.exists else (0, None, None, None)
-        if state.hasTimedOut:
-            state.update((0, last, country, None))
-            return
-        rows = pd.concat(list(batches)).sort_values(["event_ts", "seq"])
-        out = []
-        for r in rows.itertuples():
-            at = int(r.event_ts.value // 1_000_000)
-            if last is not None and at - last >= gap:
-                n, viewed = 0, None
-            here = r.geo_country if isinstance(r.geo_country, str) and r.geo_country else None
-            quantity = 0 if pd.isna(r.product_quantity) else r.product_quantity
-            hits = {
-                "VELOCITY_SPIKE": n > 20 and at - last < 60_000,
-                "GEO_HOP": bool(country and here and country != here),
-                "UNUSUAL_HOUR": r.event_type == "purchase" and _local_hour(r.event_ts, getattr(r, "geo_timezone", None)) in (2, 3),
-                "RAPID_PURCHASE": r.event_type == "purchase" and viewed is not None and at - viewed < 30_000,
-                "CART_OVERFLOW": r.event_type == "add_to_cart" and quantity > 50,
-            }
-            out.append((key[0], r.event_id, round(min(sum(v for k, v in rules.items() if hits[k]), 1.0), 4), ",".join(k for k in rules if hits[k])))
-            n, last, country = n + 1, at, here or country
-            viewed = at if r.event_type == "product_view" else viewed
-        state.update((n, last, country, viewed))
-        state.setTimeoutTimestamp(max(last + gap, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=[user, "event_id", "fraud_score", "fraud_signals"])
-
-    zone = [c for c in ("geo_timezone",) if c in events.columns]
-    marked = events.withWatermark("event_ts", WATERMARK).select(user, *_IN, *zone)
-    return marked.groupBy(user).applyInPandasWithState(score, f"{user} STRING, event_id STRING, fraud_score DOUBLE, fraud_signals STRING", _STATE, "append", GroupStateTimeout.EventTimeTimeout)
-
-
 def fraud_alerts(scored: DataFrame, table: SnapshotTable, alerts: SnapshotTable, checkpoint: str, query: str = "fraud", once: bool = True):
     def write(batch: DataFrame, number: int) -> None:
         batch = batch.persist()
@@ -161,5 +105,3 @@ def signals_with_events(signals: DataFrame, events: DataFrame, user: str = "user
     e = events.withWatermark("event_ts", WATERMARK).alias("e")
     near = F.expr(f"s.{user} = e.{user} AND e.event_ts <= s.signal_ts AND e.event_ts >= s.signal_ts - INTERVAL {within}")
     return s.join(e, near).select(f"s.{user}", "s.signal_ts", "s.signal", "e.event_id", "e.event_ts")
-
-

@@ -16,7 +16,7 @@ from lakeloom.operators import fraud, ingest, merge, quality, sessions, silver,
 from lakeloom.plans import registry, stored
 from lakeloom.sources import connectors
 from lakeloom.sources.tables import Bookmark, Conflict, SnapshotTable
-from lakeloom.streaming import jobs
+from lakeloom.streaming import jobs, stateful
 
 T0 = datetime(2024, 1, 15, 14)
 
@@ -317,7 +317,7 @@ def test_fraud_stream_keeps_state_between_batches(spark, tmp_path):
         spark.createDataFrame(rows[10 * part : 10 * part + 10], EVENT).coalesce(1).write.mode("append").parquet(str(tmp_path / "in" / f"p={part}"))
     stream = spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
     table, alerts = SnapshotTable(spark, str(tmp_path / "s")), SnapshotTable(spark, str(tmp_path / "a"))
-    jobs.fraud_alerts(jobs.fraud_scores(stream), table, alerts, str(tmp_path / "ck"), "fraud-test").awaitTermination()
+    jobs.fraud_alerts(stateful.fraud_scores(stream), table, alerts, str(tmp_path / "ck"), "fraud-test").awaitTermination()
     want = {r.event_id: (r.fraud_score, ",".join(r.fraud_signals)) for r in fraud.score(spark.createDataFrame(rows, EVENT)).collect()}
     assert {r.event_id: (r.fraud_score, r.fraud_signals) for r in table.read().collect()} == want
     assert alerts.read().count() == sum(s >= 0.7 for s, _ in want.values())
@@ -329,7 +329,7 @@ def test_fraud_stream_takes_the_users_hour(spark, tmp_path):
     df = spark.createDataFrame(rows, EVENT + ", geo_timezone string")
     df.write.parquet(str(tmp_path / "in"))
     table, alerts = SnapshotTable(spark, str(tmp_path / "s")), SnapshotTable(spark, str(tmp_path / "a"))
-    jobs.fraud_alerts(jobs.fraud_scores(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))), table, alerts, str(tmp_path / "ck"), "hours").awaitTermination()
+    jobs.fraud_alerts(stateful.fraud_scores(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))), table, alerts, str(tmp_path / "ck"), "hours").awaitTermination()
     got = {r.event_id: r.fraud_signals for r in table.read().collect()}
     assert got == {r.event_id: ",".join(r.fraud_signals) for r in fraud.score(df).collect()} and set(got.values()) == {"", "UNUSUAL_HOUR"}
 
