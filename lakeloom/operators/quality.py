@@ -89,7 +89,7 @@ def freshness(df: DataFrame, column: str, as_of: Column, warn_minutes: int = 30,
 
 
 def classifier_metrics(scored: DataFrame, ranges: int = 64) -> DataFrame:
-    """auc, precision_at_half, recall_at_half, error and average_precision of rows (s: score, y: 0 or 1).
+    """auc, precision_at_half, recall_at_half, error and average_precision of rows (s: score, y: 0 or 1); null where nothing is to divide by.
 
     Rows are counted per distinct score first. Ranks are running counts over scores: within ranges of scores, and over the
     ranges' totals, which are the only rows that one task sees together. The ranges are written, so that both see the same.
@@ -107,10 +107,10 @@ def classifier_metrics(scored: DataFrame, ranges: int = 64) -> DataFrame:
     above, found = F.col("all_n") - F.col("_n0") - F.col("_n1"), F.col("all_p") - F.col("_p0") - F.col("_p1")
     hot = F.col("s") >= 0.5
     t = local.agg(
-        F.sum(rank * F.col("p")).alias("rs"), F.sum("p").alias("p"), F.sum("n").alias("n"), F.sum(F.when(hot, F.col("p"))).alias("tp"), F.sum(F.when(hot, F.col("n"))).alias("hot"),
+        F.sum(rank * F.col("p")).alias("rs"), F.sum("p").alias("p"), F.sum("n").alias("n"), F.sum(F.when(hot, F.col("p")).otherwise(0)).alias("tp"), F.sum(F.when(hot, F.col("n")).otherwise(0)).alias("hot"),
         F.sum(F.col("p") * found / above).alias("ap"),
     )
     return t.selectExpr(
-        "round((rs - p * (p + 1) / 2.0D) / (p * (n - p)), 6) AS auc", "round(tp / CAST(hot AS DOUBLE), 6) AS precision_at_half", "round(tp / CAST(p AS DOUBLE), 6) AS recall_at_half",
-        "round((hot - tp + p - tp) / CAST(n AS DOUBLE), 6) AS error", "round(ap / p, 6) AS average_precision",
+        "round(try_divide(rs - p * (p + 1) / 2.0D, p * (n - p)), 6) AS auc", "round(try_divide(tp, CAST(hot AS DOUBLE)), 6) AS precision_at_half", "round(try_divide(tp, CAST(p AS DOUBLE)), 6) AS recall_at_half",
+        "round(try_divide(hot - tp + p - tp, CAST(n AS DOUBLE)), 6) AS error", "round(try_divide(ap, p), 6) AS average_precision",
     )

@@ -80,8 +80,9 @@ def preprocess(features: DataFrame) -> DataFrame:
             out[name] = F.coalesce(F.nanvl(F.col(name), F.lit(0.0)), F.lit(0.0))
         elif kind in ("int", "bigint"):
             out[name] = F.coalesce(F.col(name), F.lit(0))
-    for name in ("days_since_last_order", "days_since_last_session"):
+    for name in {"days_since_last_order", "days_since_last_session"} & set(features.columns):
         out[name] = F.least(F.coalesce(F.col(name), F.lit(999)), F.lit(999))
-    for name in ("discount_usage_rate", "cart_abandonment_rate"):
-        out[name] = F.greatest(F.least(out[name], F.lit(1.0)), F.lit(0.0))
+    for name in ("discount_usage_rate", "cart_abandonment_rate", "avg_fraud_score"):
+        if name in out:
+            out[name] = F.greatest(F.least(out[name], F.lit(1.0)), F.lit(0.0))
     return features.withColumns(out)

@@ -7,16 +7,18 @@ import uuid
 from collections.abc import Callable, Container
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.functions import constants as C
 from lakeloom.functions import core
-from lakeloom.operators import fraud, ingest, merge, quality, sessions, silver, suites
+from lakeloom.operators import churn, fraud, ingest, merge, quality, sessions, silver, suites
 from lakeloom.plans import domain, gold, stored
 from lakeloom.plans.dialect import DUCK, SPARK, Spark
 from lakeloom.session import shared_dir
+from lakeloom.session import stored as stored_rows
 from lakeloom.sources import connectors
 from lakeloom.sources.tables import Bookmark, SnapshotTable
 from lakeloom.streaming import jobs, stateful
@@ -643,6 +645,63 @@ def model_metrics(lake: Lake) -> DataFrame:
     return quality.classifier_metrics(lake.sql("SELECT fraud_score AS s, CASE WHEN (k * 7) % 100 + k > 100 THEN 1 ELSE 0 END AS y FROM bronze"))
 
 
+#: The day that customers are looked at from, with 90 days of orders after it.
+SEEN = "DATE'2001-05-01'"
+CUSTOMER_FEATURES = ("days_since_last_order", "order_count_30d", "order_count_90d", "order_frequency_30d", "avg_order_value_usd", "total_ltv_usd", "max_order_value_usd", "discount_usage_rate", "refund_count_90d")
+#: One label of the past (no order for 30 days, some in the 60 before), which the features tell, and one of the 90 days to come.
+CHURNED = ("churned_30d", "left_90d")
+#: Fewer and smaller trees than the parameters' defaults, for tables of this size.
+CHURN = churn.Params(rounds=30, depth=4)
+
+
+def customer_rows(lake: Lake) -> DataFrame:
+    """Model rows of all customers with an order before SEEN, from orders and lines."""
+    day = lambda n: F.expr(f"{SEEN} - INTERVAL {n} DAY")
+    orders = lake.table("orders").select("o_orderkey", "o_custkey", "o_totalprice", F.to_date("o_orderdate").alias("at"))
+    lines = lake.table("lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.col("l_discount") > 0.05).alias("cut"), F.count_if(F.col("l_returnflag") == "R").alias("back"))
+    past = orders.where(F.col("at") < F.expr(SEEN)).join(lines, orders.o_orderkey == lines.l_orderkey, "left").groupBy("o_custkey").agg(
+        F.datediff(F.expr(SEEN), F.max("at")).alias("days_since_last_order"), F.count_if(F.col("at") >= day(30)).alias("order_count_30d"), F.count_if(F.col("at") >= day(90)).alias("order_count_90d"),
+        F.avg("o_totalprice").alias("avg_order_value_usd"), F.sum("o_totalprice").alias("total_ltv_usd"), F.max("o_totalprice").alias("max_order_value_usd"),
+        F.try_divide(F.sum("cut").cast("double"), F.sum("lines")).alias("discount_usage_rate"), F.sum(F.when(F.col("at") >= day(90), F.col("back")).otherwise(0)).alias("refund_count_90d"),
+    )
+    later = orders.where((F.col("at") >= F.expr(SEEN)) & (F.col("at") < F.expr(f"{SEEN} + INTERVAL 90 DAY"))).select("o_custkey").distinct().withColumn("came", F.lit(1))
+    rows = past.join(later, "o_custkey", "left").withColumn("order_frequency_30d", F.col("order_count_90d") / 3.0)
+    labels = {"churned_30d": ((F.col("order_count_30d") == 0) & (F.col("order_count_90d") > 0)).cast("int"), "left_90d": F.col("came").isNull().cast("int")}
+    return rows.withColumns(labels).withColumn("customer", F.col("o_custkey").cast("string"))
+
+
+_PART = "substr(md5(concat('42:', CAST(o_custkey AS VARCHAR))), 1, 2)"
+
+
+@query("model_split", f"""
+    SELECT label, CASE WHEN {_PART} < 'b3' THEN 'train' WHEN {_PART} < 'da' THEN 'validation' ELSE 'test' END AS split, count(*) AS users,
+        CAST(sum(CASE label WHEN 'churned_30d' THEN recent ELSE gone END) AS BIGINT) AS churned, CAST(sum(least(days, 999)) AS BIGINT) AS days, CAST(sum(returned) AS BIGINT) AS returned
+    FROM (SELECT o.o_custkey, date_diff('day', max(o_orderdate), {SEEN}) AS days, sum(CASE WHEN o_orderdate >= {SEEN} - INTERVAL 90 DAY THEN coalesce(back, 0) ELSE 0 END) AS returned,
+            CASE WHEN max(o_orderdate) < {SEEN} - INTERVAL 30 DAY AND max(o_orderdate) >= {SEEN} - INTERVAL 90 DAY THEN 1 ELSE 0 END AS recent,
+            CASE WHEN o_custkey IN (SELECT o_custkey FROM orders WHERE o_orderdate >= {SEEN} AND o_orderdate < {SEEN} + INTERVAL 90 DAY) THEN 0 ELSE 1 END AS gone
+        FROM orders o LEFT JOIN (SELECT l_orderkey, count_if(l_returnflag = 'R') AS back FROM lineitem GROUP BY l_orderkey) l ON o_orderkey = l_orderkey WHERE o_orderdate < {SEEN} GROUP BY o.o_custkey) c,
+        (VALUES ('churned_30d'), ('left_90d')) n(label)
+    GROUP BY ALL""")
+def model_split(lake: Lake) -> DataFrame:
+    """The rows that the models are trained, stopped and judged on."""
+    value = lambda c: vector_to_array("x")[CUSTOMER_FEATURES.index(c)]
+    found = stored_rows(customer_rows(lake), "customers")
+    parts = [churn.model_rows(found, "customer", label, CUSTOMER_FEATURES).withColumn("name", F.lit(label)) for label in CHURNED]
+    rows = reduce(DataFrame.unionByName, parts).groupBy(F.col("name").alias("label"), "split")
+    return rows.agg(F.count(F.lit(1)).alias("users"), F.sum("label").cast("long").alias("churned"), F.sum(value("days_since_last_order")).cast("long").alias("days"), F.sum(value("refund_count_90d")).cast("long").alias("returned"))
+
+
+@query("model_training", None)
+def model_training(lake: Lake) -> DataFrame:
+    """Churn models from orders to verdict: trained, saved, loaded again, scored on all customers, judged by part."""
+    found, made = stored_rows(customer_rows(lake), "customers"), []
+    for label in CHURNED:
+        rows = churn.model_rows(found, "customer", label, CUSTOMER_FEATURES)
+        model = churn.load(lake.spark, churn.save(churn.train(rows, CHURN), f"{_folder(lake)}-model"))
+        made.append(churn.report(churn.score(rows, model), model).withColumn("label", F.lit(label)))
+    return reduce(DataFrame.unionByName, made)
+
+
 # ---- tables with snapshots
 
 
