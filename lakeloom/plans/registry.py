@@ -19,7 +19,7 @@ from lakeloom.plans import domain, gold, stored
 from lakeloom.plans.dialect import DUCK, SPARK, Spark
 from lakeloom.session import shared_dir
 from lakeloom.session import stored as stored_rows
-from lakeloom.sources import connectors
+from lakeloom.sources import connectors, feeds
 from lakeloom.sources.tables import Bookmark, SnapshotTable
 from lakeloom.streaming import jobs, stateful
 
@@ -319,34 +319,53 @@ def anti_not_in(lake: Lake) -> DataFrame:
     return lake.sql("SELECT sku FROM products").join(feed, "sku", "left_anti")
 
 
-@query("src_rest_catalog", "SELECT sku FROM products WHERE p_partkey % 4 = 0 ORDER BY sku")
+@query("src_rest_catalog", "SELECT sku, CAST(floor(p_partkey / 500) AS BIGINT) % 3 = 1 AS skipped FROM products WHERE p_partkey % 4 = 0 AND CAST(floor(p_partkey / 500) AS BIGINT) % 3 <> 1 UNION ALL SELECT sku, true FROM products WHERE CAST(floor(p_partkey / 500) AS BIGINT) % 3 = 1")
 def src_rest_catalog(lake: Lake) -> DataFrame:
-    """Pages of the catalogue by cursor, then only the products whose content is new."""
+    """Two polls of the catalogue's pages. The second finds every third page as it was and skips it, and takes only products whose content is new."""
     path, page = _folder(lake), F.floor(F.col("p_partkey") / 500)
     rows = lake.sql("SELECT sku, price_usd, name, 1 AS stock, is_active, p_partkey FROM products").withColumn("page", page)
     last = rows.agg(F.max("page")).first()[0]
-    listed = rows.groupBy("page").agg(F.collect_list(F.struct("sku", "price_usd", "name", "stock", "is_active")).alias("products"))  # a page has up to 500
-    body = F.to_json(F.struct("products", F.when(F.col("page") < last, (F.col("page") + 1).cast("string")).alias("next_cursor")))
-    listed.select(body.alias("value"), F.when(F.col("page") > 0, F.col("page").cast("string")).otherwise("first").alias("cursor")).write.partitionBy("cursor").text(path)
-    feed = connectors.catalog_feed(lake.spark, connectors.folder_pages(path))
-    known = rows.withColumn("content_hash", core.content_hash(F.col("sku"), F.when(F.col("p_partkey") % 4 == 0, -1.0).otherwise(F.col("price_usd")), F.col("name"), F.col("stock"), F.col("is_active")))
-    return connectors.changed_products(feed, known).select("sku")
 
+    def publish(price, to: str) -> DataFrame:
+        listed = rows.withColumn("price_usd", price).groupBy("page").agg(F.sort_array(F.collect_list(F.struct("sku", "price_usd", "name", "stock", "is_active"))).alias("products"))  # a page has up to 500
+        body = F.to_json(F.struct("products", F.when(F.col("page") < last, (F.col("page") + 1).cast("string")).alias("next_cursor")))
+        listed.select(body.alias("value"), F.when(F.col("page") > 0, F.col("page").cast("string")).otherwise("first").alias("cursor")).write.partitionBy("cursor").text(to)
 
-@query("src_ads", "SELECT 'facebook' AS source, CAST(p_partkey AS VARCHAR) AS ad_id, CAST(p_size % 3 AS DOUBLE) * 2 AS conversions, p_retailprice AS spend_usd, 'mobile' AS device_type FROM part UNION ALL SELECT 'google', CAST(p_partkey AS VARCHAR), 1.0, CAST(p_size * 1000 AS BIGINT) / 1e6, CASE p_size % 2 WHEN 0 THEN 'desktop' ELSE 'unknown' END FROM part")
+    other = F.when((F.col("p_partkey") % 4 == 0) & (F.col("page") % 3 != 1), -1.0).otherwise(F.col("price_usd"))
+    publish(other, f"{path}/1")
+    publish(F.col("price_usd"), f"{path}/2")
+    first = feeds.stored_pages(lake.spark, f"{path}/1")
+    second = feeds.stored_pages(lake.spark, f"{path}/2", first)
+    seen = feeds.products(first).select("sku", core.content_hash(F.col("sku"), F.col("price_usd"), F.col("name"), F.col("stock"), F.col("is_active")).alias("content_hash"))
+    fresh = connectors.changed_products(feeds.products(second), seen).select("sku", F.lit(False).alias("skipped"))
+    left = second.where("NOT changed").select("cursor").join(first, "cursor").select(F.explode("products.sku").alias("sku"), F.lit(True).alias("skipped"))
+    return fresh.unionByName(left)
+
+
+_ADS_DAY = "(DATE '2024-01-01' + CAST(p_partkey % 10 AS INT))"
+
+
+@query("src_ads", f"""SELECT 'facebook' AS source, CAST(p_partkey AS VARCHAR) AS ad_id, CAST(p_size % 3 AS DOUBLE) * 2 AS conversions, p_retailprice AS spend_usd, 'mobile' AS device_type, {_ADS_DAY} AS report_date FROM part WHERE p_partkey % 10 BETWEEN 2 AND 6
+    UNION ALL SELECT 'google', CAST(p_partkey AS VARCHAR), 1.0, CAST(p_size * 1000 AS BIGINT) / 1e6, CASE p_size % 2 WHEN 0 THEN 'desktop' ELSE 'unknown' END, {_ADS_DAY} FROM part WHERE p_partkey % 10 BETWEEN 2 AND 6""")
 def src_ads(lake: Lake) -> DataFrame:
-    part = lake.table("part")
+    """Both networks' stored answers, a folder for each report date, of which five days are read."""
+    part, path = lake.table("part").withColumn("day", F.expr("date_add(DATE'2024-01-01', CAST(p_partkey % 10 AS INT))")), _folder(lake)
     action = lambda kind, v: F.struct(F.lit(kind).alias("action_type"), v.cast("double").alias("value"))
     size = F.col("p_size") % 3
+    common = [F.col("p_partkey").cast("string").alias("ad_id"), F.lit(1).cast("long").alias("impressions"), F.lit(1).cast("long").alias("clicks"), F.lit("US").alias("country"), "day"]
     fb = part.select(
-        F.col("p_partkey").cast("string").alias("ad_id"), F.lit("c").alias("campaign_name"), F.lit("s").alias("adset_name"), F.lit(1).cast("long").alias("impressions"), F.lit(1).cast("long").alias("clicks"), F.col("p_retailprice").alias("spend"),
-        F.array(action("purchase", size), action("view", F.lit(9)), action("purchase", size)).alias("actions"), F.lit("2024-01-01").cast("date").alias("date_start"), F.lit("US").alias("country"), F.lit("Mobile").alias("device"),
+        *common, F.lit("c").alias("campaign_name"), F.lit("s").alias("adset_name"), F.col("p_retailprice").alias("spend"), F.col("day").alias("date_start"),
+        F.array(action("purchase", size), action("view", F.lit(9)), action("purchase", size)).alias("actions"), F.lit("Mobile").alias("device"),
     )
     google = part.select(
-        F.col("p_partkey").cast("string").alias("ad_id"), F.lit("c").alias("campaign"), F.lit("s").alias("ad_group"), F.lit(1).cast("long").alias("impressions"), F.lit(1).cast("long").alias("clicks"), (F.col("p_size") * 1000).cast("long").alias("cost_micros"),
-        F.lit(1.0).alias("conversions"), F.lit("2024-01-01").cast("date").alias("date"), F.lit("US").alias("country"), F.when(F.col("p_size") % 2 == 0, "DESKTOP").otherwise("TV").alias("device"),
+        *common, F.lit("c").alias("campaign"), F.lit("s").alias("ad_group"), (F.col("p_size") * 1000).cast("long").alias("cost_micros"), F.lit(1.0).alias("conversions"),
+        F.col("day").alias("date"), F.when(F.col("p_size") % 2 == 0, "DESKTOP").otherwise("TV").alias("device"),
     )
-    return connectors.ads(fb, google).select("source", "ad_id", "conversions", "spend_usd", "device_type")
+    made = []
+    for rows, schema, name in ((fb, feeds.FB, "facebook"), (google, feeds.GOOGLE, "google")):
+        rows.write.partitionBy("day").json(f"{path}/{name}")
+        made.append(lake.spark.read.schema(f"{schema}, day DATE").json(f"{path}/{name}").where("day BETWEEN DATE'2024-01-03' AND DATE'2024-01-07'"))
+    return connectors.ads(*made).select("source", "ad_id", "conversions", "spend_usd", "device_type", "report_date")
 
 
 # ---- orders: change stream and history

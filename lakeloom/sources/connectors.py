@@ -2,17 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-import json
-import os
-import time
-import urllib.error
-import urllib.parse
-import urllib.request
-from collections.abc import Callable, Iterator
-from itertools import islice
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,14 +9,12 @@ from lakeloom.functions import constants as C
 from lakeloom.functions.core import content_hash
 from lakeloom.sources.tables import SnapshotTable
 
-FB = "ad_id STRING, campaign_name STRING, adset_name STRING, impressions BIGINT, clicks BIGINT, spend DOUBLE, date_start DATE, country STRING, device STRING, actions ARRAY<STRUCT<action_type: STRING, value: DOUBLE>>"
-GOOGLE = "ad_id STRING, campaign STRING, ad_group STRING, impressions BIGINT, clicks BIGINT, cost_micros BIGINT, conversions DOUBLE, date DATE, country STRING, device STRING"
 # Device names of the second feed.
 GOOGLE_DEVICES = {"MOBILE": "mobile", "DESKTOP": "desktop", "TABLET": "tablet"}
 
 
 def ads_facebook(raw: DataFrame) -> DataFrame:
-    """raw: the feed's rows (schema FB). Conversions are the sum of purchase actions."""
+    """raw: the feed's rows (schema feeds.FB). Conversions are the sum of purchase actions."""
     bought = F.aggregate(F.filter(F.coalesce("actions", F.array().cast("array<struct<action_type: string, value: double>>")), lambda a: a["action_type"] == "purchase"), F.lit(0.0), lambda s, a: s + F.coalesce(a["value"], F.lit(0.0)))
     return raw.select(
         F.lit("facebook").alias("source"), "ad_id", "campaign_name", F.col("adset_name").alias("ad_set_name"), "impressions", "clicks", F.col("spend").alias("spend_usd"),
@@ -47,82 +34,6 @@ def ads(facebook: DataFrame, google: DataFrame) -> DataFrame:
     return ads_facebook(facebook).unionByName(ads_google(google))
 
 
-Page = tuple[str | None, dict | None]  # its tag, and its content unless it is as it was
-PRODUCT = "sku STRING, price_usd DOUBLE, name STRING, stock INT, is_active BOOLEAN"
-
-
-def poll_pages(fetch: Callable[[str | None, str | None], Page], tags: dict[str, str]) -> Iterator[dict]:
-    """Products of a feed, page after page along its cursors. fetch(cursor, known tag) gives a page.
-
-    A page that is as it was ends the poll, since its cursor isn't sent again; tags is brought up to date as pages come.
-    Products without a sku are left out.
-    """
-    cursor = None
-    while True:
-        place = f"page:{cursor or 'first'}"
-        tag, page = fetch(cursor, tags.get(place))
-        if page is None:
-            return
-        if tag:
-            tags[place] = tag
-        for product in page.get("products") or page.get("data") or []:
-            if product.get("sku"):
-                yield product
-        cursor = page.get("next_cursor") or (page.get("pagination") or {}).get("next_cursor")
-        if not cursor:
-            return
-
-
-def http_pages(url: str, limit: int = 500, timeout: float = 20, tries: int = 3) -> Callable[[str | None, str | None], Page]:
-    """Pages of a JSON endpoint, with If-None-Match and another try after a failure."""
-
-    def fetch(cursor: str | None, tag: str | None) -> Page:
-        query = urllib.parse.urlencode({"limit": limit} | ({"cursor": cursor} if cursor else {}))
-        request = urllib.request.Request(f"{url}?{query}", headers={"Accept": "application/json"} | ({"If-None-Match": tag} if tag else {}))
-        for k in range(tries):
-            try:
-                with urllib.request.urlopen(request, timeout=timeout) as answer:
-                    return answer.headers.get("ETag"), json.load(answer)
-            except urllib.error.HTTPError as e:
-                if e.code == 304:
-                    return tag, None
-                if k == tries - 1:
-                    raise
-            except urllib.error.URLError:
-                if k == tries - 1:
-                    raise
-            time.sleep(2 * 2**k)
-        raise AssertionError
-
-    return fetch
-
-
-def folder_pages(path: str) -> Callable[[str | None, str | None], Page]:
-    """Pages kept as text files under cursor=<cursor>/ of a folder that executors share: replays of a feed."""
-
-    def fetch(cursor: str | None, tag: str | None) -> Page:
-        folder = f"{path.removeprefix('file:')}/cursor={cursor or 'first'}"
-        text = "".join(open(f"{folder}/{n}", encoding="utf-8").read() for n in sorted(os.listdir(folder)) if n.endswith(".txt"))
-        found = hashlib.sha256(text.encode()).hexdigest()
-        return found, None if found == tag else json.loads(text)
-
-    return fetch
-
-
-def catalog_feed(spark: SparkSession, fetch: Callable[[str | None, str | None], Page], tags: dict[str, str] | None = None) -> DataFrame:
-    """The feed's products (schema PRODUCT). A cursor leads only to the next page, so one task reads it, row by row; nothing passes the driver."""
-    known = dict(tags or {})
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = pa.schema([("sku", pa.string()), ("price_usd", pa.float64()), ("name", pa.string()), ("stock", pa.int32()), ("is_active", pa.bool_())])
-        for _ in batches:
-            rows = poll_pages(fetch, dict(known))
-            while part := list(islice(rows, 1000)):
-                yield pa.RecordBatch.from_pylist([{n: p.get(n) for n in kinds.names} for p in part], kinds)
-
-    return spark.range(1, numPartitions=1).mapInArrow(read, PRODUCT)
-
-
 def changed_products(pages: DataFrame, known: DataFrame) -> DataFrame:
     """Feed rows whose content hash is new for their sku. known: (sku, content_hash) already taken."""
     hashed = pages.withColumn("content_hash", content_hash(F.col("sku"), F.col("price_usd"), F.col("name"), F.col("stock"), F.col("is_active")))

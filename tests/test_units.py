@@ -351,18 +351,6 @@ def test_lookup_remembers_and_fails_open(spark, tmp_path):
     assert sorted(open(log).read().split()) == ["a", "b", "c", "down"]
 
 
-def test_catalogue_pages(spark):
-    pages = {None: ("t1", {"products": [{"sku": "a", "price_usd": 1.0}, {"name": "no sku"}], "next_cursor": "2"}), "2": ("t2", {"data": [{"sku": "b"}], "pagination": {"next_cursor": "3"}}), "3": ("t3", {"products": []})}
-    fetch = lambda cursor, tag: (pages[cursor][0], None if tag == pages[cursor][0] else pages[cursor][1])
-    tags = {}
-    assert [p["sku"] for p in connectors.poll_pages(fetch, tags)] == ["a", "b"]
-    assert tags == {"page:first": "t1", "page:2": "t2", "page:3": "t3"}
-    assert list(connectors.poll_pages(fetch, tags)) == []  # the first page is as it was
-    assert [p["sku"] for p in connectors.poll_pages(fetch, tags | {"page:first": "old"})] == ["a"]  # the second page is
-    got = connectors.catalog_feed(spark, fetch)
-    assert got.schema.simpleString() == "struct<sku:string,price_usd:double,name:string,stock:int,is_active:boolean>" and sorted(r.sku for r in got.collect()) == ["a", "b"]
-
-
 def test_each_table_reads_the_events_once(spark, sf):
     """No table of the chain scans its source more than once, and models on written tables don't scan it at all."""
     lake = registry.Lake(spark, sf)
