@@ -21,7 +21,7 @@ from lakeloom.session import shared_dir
 from lakeloom.session import stored as stored_rows
 from lakeloom.sources import connectors, feeds
 from lakeloom.sources.tables import Bookmark, SnapshotTable
-from lakeloom.streaming import jobs, stateful
+from lakeloom.streaming import features, jobs, stateful
 
 VIEWS = domain.VIEWS | gold.VIEWS
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -898,6 +898,46 @@ def stream_fraud(lake: Lake) -> DataFrame:
     return table.read().select("event_id", "fraud_score", "fraud_signals")
 
 
+#: Records of a user in order of time; one is left out if it repeats the last written one within six hours.
+FEATURE_WRITES = """
+    SELECT user_id, event_ts AS feature_timestamp, device_type, fast FROM (
+        WITH RECURSIVE e AS (
+            SELECT user_id, event_ts, device_type, product_quantity > 50 AS fast, row_number() OVER (PARTITION BY user_id ORDER BY event_ts, seq) AS i FROM bronze
+        ), w AS (
+            SELECT *, true AS written, device_type AS d, fast AS f, event_ts AS at FROM e WHERE i = 1 UNION ALL
+            SELECT n.user_id, n.event_ts, n.device_type, n.fast, n.i, NOT n.same, CASE WHEN n.same THEN n.d ELSE n.device_type END, CASE WHEN n.same THEN n.f ELSE n.fast END, CASE WHEN n.same THEN n.at ELSE n.event_ts END
+            FROM (SELECT e.*, w.d, w.f, w.at, e.device_type IS NOT DISTINCT FROM w.d AND e.fast IS NOT DISTINCT FROM w.f AND e.event_ts - w.at < INTERVAL 6 HOUR AS same FROM w JOIN e ON e.user_id = w.user_id AND e.i = w.i + 1) n
+        ) SELECT * FROM w) x WHERE written"""
+
+
+def _feature_stream(lake: Lake) -> tuple[str, DataFrame]:
+    path, events = _event_stream(lake, "bronze", "user_id, event_ts, device_type, product_quantity > 50 AS fast")
+    return path, features.without_repeats(events.withColumnRenamed("event_ts", "feature_timestamp"), "user_id", within_s=6 * 3600)
+
+
+@query("stream_features", FEATURE_WRITES)
+def stream_features(lake: Lake) -> DataFrame:
+    """Feature records that the stream lets through over three micro-batches, as the store's offline copy has them."""
+    path, records = _feature_stream(lake)
+    records.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/ck").trigger(availableNow=True).start().awaitTermination()
+    return lake.spark.read.parquet(f"{path}/out").withColumn("feature_timestamp", F.col("feature_timestamp").cast("timestamp_ntz"))
+
+
+@query("feature_writes", "SELECT count_if(CAST(substr(user_id, 2) AS BIGINT) % 41 <> 0) AS sent, count_if(CAST(substr(user_id, 2) AS BIGINT) % 41 = 0) AS failed FROM bronze")
+def feature_writes(lake: Lake) -> DataFrame:
+    """A bulk write whose stand-in store refuses some users: what all tasks count, within the budget."""
+    counted = features.put_records(lake.view("bronze").select("user_id", "event_ts", "device_type"), _store)
+    return counted.agg(F.sum("sent").alias("sent"), F.sum("failed").alias("failed"))
+
+
+def _store() -> features.Put:
+    def put(record: features.Record) -> None:
+        if int(record[0]["ValueAsString"][1:]) % 41 == 0:
+            raise ConnectionError("refused")
+
+    return put
+
+
 # ---- the rest of the inventory
 
 
