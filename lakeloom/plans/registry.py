@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Container
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from lakeloom.session import shared_dir
 from lakeloom.session import stored as stored_rows
 from lakeloom.sources import connectors, feeds
 from lakeloom.sources.tables import Bookmark, SnapshotTable
-from lakeloom.streaming import features, jobs, stateful
+from lakeloom.streaming import features, jobs, sinks, stateful
 
 VIEWS = domain.VIEWS | gold.VIEWS
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -885,11 +886,55 @@ def stream_session_events(lake: Lake) -> DataFrame:
     """Sessions with passthrough over several micro-batches: an event leaves in its batch, a summary when its timer fires."""
     path, events = _event_stream(lake, "silver", ", ".join(["user_id_hashed", "event_ts", *stateful.SESSION_IN]))
     stateful.session_events(events).writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/ck").trigger(availableNow=True).start().awaitTermination()
+    return _session_records(lake.spark.read.parquet(f"{path}/out"))
+
+
+def _session_records(made: DataFrame) -> DataFrame:
     ntz = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("session_start_ts", "session_end_ts")]
-    made = lake.spark.read.parquet(f"{path}/out")
     return made.select("record_type", "user_id_hashed", "session_id", "event_id", "event_type", *ntz, *[c for c in SESSION_VALUES if not c.endswith("_ts")])
 
 
+@query("stream_restart", SESSION_RECORDS)
+def stream_restart(lake: Lake) -> DataFrame:
+    """The sessions' stream, stopped after a batch was written and before it was committed, and started again: as if unbroken."""
+    path, events = _event_stream(lake, "silver", ", ".join(["user_id_hashed", "event_ts", *stateful.SESSION_IN]))
+    records, stopped = stateful.session_events(events), []
+
+    def stop(number: int) -> None:
+        if number == 1 and not stopped:
+            stopped.append(number)
+            raise RuntimeError("stopped between a batch and its commit")
+
+    for _ in range(2):
+        try:
+            sinks.exactly_once(records, f"{path}/out", f"{path}/ck", f"restart{uuid.uuid4().hex}", done=stop).awaitTermination()
+        except StreamingQueryException:
+            if not stopped:
+                raise
+    return _session_records(sinks.read_batches(lake.spark, f"{path}/out", records.schema))
+
+
+@query("late_rows", """
+    SELECT count_if(NOT late) AS kept, count_if(late) AS dropped FROM (SELECT event_ts + INTERVAL 4 HOUR < (SELECT max(event_ts) FROM bronze WHERE k % 5 <> 0) AS late FROM bronze WHERE k % 5 = 0) b""")
+def late_rows(lake: Lake) -> DataFrame:
+    """Two inputs, of which one comes when the other is through: what the watermark of the first one makes of its rows."""
+    path, rows = _folder(lake), lake.sql("SELECT user_id, event_id, event_ts, k FROM bronze").withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+    rows.where("k % 5 <> 0").write.parquet(f"{path}/busy")
+    lake.spark.createDataFrame([], rows.schema).write.parquet(f"{path}/quiet")
+    read = lambda name: lake.spark.readStream.schema(rows.schema).parquet(f"{path}/{name}")
+    kept = sinks.merged([read("busy"), read("quiet")]).dropDuplicatesWithinWatermark(["event_id"])
+    counts = 0
+    for _ in range(2):
+        with sinks.watermark_policy(lake.spark, wait_for_all=False):
+            q = sinks.exactly_once(kept, f"{path}/out", f"{path}/ck", f"late{uuid.uuid4().hex}")
+            q.awaitTermination()
+        counts += sum(n for _, _, n in sinks.late_rows(q))
+        if not counts:
+            rows.where("k % 5 = 0").write.mode("append").parquet(f"{path}/quiet")
+    made = sinks.read_batches(lake.spark, f"{path}/out", rows.schema).where("k % 5 = 0")
+    return made.agg(F.count(F.lit(1)).alias("kept")).withColumn("dropped", F.lit(counts).cast("long"))
+
+
 @query("stream_fraud", FRAUD_SQL)
 def stream_fraud(lake: Lake) -> DataFrame:
     path, events = _event_stream(lake, "bronze", ", ".join(["user_id", "event_ts", *stateful.FRAUD_IN]))

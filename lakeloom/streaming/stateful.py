@@ -151,16 +151,17 @@ _SESSION_OUT = Row("record_type", "user", "session_no", "event_id", "at_us", "ev
 _SUMMARY_TYPES = ", ".join(f for f in SESSION_STATE.split(", ") if f.split()[0] in _SUMMARY_FIELDS)
 
 
-def session_events(events: DataFrame, user: str = "user_id_hashed") -> DataFrame:
+def session_events(events: DataFrame, user: str = "user_id_hashed", marked: bool = False) -> DataFrame:
     """Rows of two kinds: record_type 'event', every event with its session_id, and 'session_summary', one for each closed session.
 
     events: event_ts TIMESTAMP and SESSION_IN. Numbers, and so ids, are those of the batch form (`sessions.stitch`) where a user's
     events come in order; an event that comes late joins the sessions it lies between, or opens one with the next number.
+    marked: events has a watermark already.
     """
     with_rocksdb(events.sparkSession)
-    marked = events.withWatermark("event_ts", WATERMARK).select(user, "event_ts", F.unix_micros("event_ts").alias("event_us"), *SESSION_IN)
+    chosen = (events if marked else events.withWatermark("event_ts", WATERMARK)).select(user, "event_ts", F.unix_micros("event_ts").alias("event_us"), *SESSION_IN)
     schema = f"record_type STRING, user STRING, session_no LONG, event_id STRING, at_us LONG, event_type STRING, {_SUMMARY_TYPES}"
-    made = marked.groupBy(user).transformWithState(SessionStitcher(), schema, "append", "EventTime")
+    made = chosen.groupBy(user).transformWithState(SessionStitcher(), schema, "append", "EventTime")
     at = lambda c: F.timestamp_micros(c)
     return made.select(
         "record_type", F.col("user").alias(user), surrogate_key(F.col("user"), F.col("session_no")).alias("session_id"), "event_id", at("at_us").alias("event_ts"), "event_type",
