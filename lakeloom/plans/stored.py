@@ -137,25 +137,42 @@ def first_orders(get: Get) -> DataFrame:
 
 
 def order_days(get: Get) -> DataFrame:
-    """The median is exact up to a million orders a day: that is what the sketch's accuracy of a million means."""
-    rows = get("fct_orders").where(F.col("status").isin(*BOUGHT, "pending")).join(first_orders(get), "user_key", "left")
-    total, first, buyer = F.col("total_amount_usd"), F.col("first_order_date"), F.col("user_key")
-    return rows.groupBy(F.col("order_date").alias("metric_date")).agg(
-        F.countDistinct("order_id").alias("total_orders"), F.countDistinct(buyer).alias("unique_buyers"), cents(F.sum(total)).alias("gross_revenue_usd"), cents(F.sum("net_amount_usd")).alias("net_revenue_usd"),
+    """The median is exact up to a million orders a day: that is what the sketch's accuracy of a million means.
+
+    Buyers are counted from one row for each (date, buyer), so no row is multiplied for the sake of several distinct counts.
+    """
+    rows = get("fct_orders").where(F.col("status").isin(*BOUGHT, "pending"))
+    total, first, day = F.col("total_amount_usd"), F.col("first_order_date"), F.col("order_date")
+    orders = rows.groupBy(day.alias("metric_date")).agg(
+        F.countDistinct("order_id").alias("total_orders"), cents(F.sum(total)).alias("gross_revenue_usd"), cents(F.sum("net_amount_usd")).alias("net_revenue_usd"),
         cents(F.avg(total), 4).alias("avg_order_value_usd"), F.percentile_approx(total, 0.5, 1_000_000).alias("median_order_value_usd"), F.count_if("fraud_flagged").alias("flagged_fraud_orders"),
-        F.round(F.coalesce(F.sum(F.when(F.col("fraud_flagged"), total)), F.lit(0.0)), 2).alias("fraud_exposure_usd"), F.countDistinct(F.when(first == F.col("order_date"), buyer)).alias("new_buyers"),
-        F.countDistinct(F.when(first < F.col("order_date"), buyer)).alias("returning_buyers"),
+        F.round(F.coalesce(F.sum(F.when(F.col("fraud_flagged"), total)), F.lit(0.0)), 2).alias("fraud_exposure_usd"),
     )
+    buyers = rows.where("user_key IS NOT NULL").groupBy("order_date", "user_key").agg(F.count(F.lit(1)).alias("n")).join(first_orders(get), "user_key", "left")
+    buyers = buyers.groupBy(day.alias("_date")).agg(F.count(F.lit(1)).alias("unique_buyers"), F.count_if(first == day).alias("new_buyers"), F.count_if(first < day).alias("returning_buyers"))
+    zero = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("unique_buyers", "new_buyers", "returning_buyers")]
+    columns = ("total_orders", "gross_revenue_usd", "net_revenue_usd", "avg_order_value_usd", "median_order_value_usd", "flagged_fraud_orders", "fraud_exposure_usd")
+    return orders.join(buyers, F.col("metric_date").eqNullSafe(F.col("_date")), "left").select("metric_date", *columns, *zero)
 
 
 def session_days(get: Get) -> DataFrame:
+    """Stages are counted from one row for each (date, session), visitors from one for each (date, visitor)."""
     reached = ("product_view", "add_to_cart", "checkout_start", "purchase")
-    upto = [F.countDistinct(F.when(F.col("funnel_exit_stage").isin(*reached[i:]), F.col("session_id"))).alias(f"{s}_sessions") for i, s in enumerate(reached)]
-    carted = F.count_if(F.col("cart_adds") > 0)
-    return get("fct_sessions").groupBy(F.col("session_date").alias("metric_date")).agg(
-        F.countDistinct("session_id").alias("total_sessions"), F.countDistinct("user_key").alias("unique_visitors"), cents(F.avg("session_duration_s"), 4).alias("avg_session_duration_s"),
-        cents(F.avg("page_views"), 4).alias("avg_page_views"), F.round(F.count_if("cart_abandonment").cast("double") / F.nullif(carted, F.lit(0)), 6).alias("cart_abandonment_rate"), *upto,
+    day, exit_ = F.col("session_date"), F.col("funnel_exit_stage")
+    each = get("fct_sessions").groupBy("session_date", "session_id").agg(
+        *[F.coalesce(F.bool_or(exit_.isin(*reached[i:])), F.lit(False)).alias(s) for i, s in enumerate(reached)],
+        *[x for c in ("session_duration_s", "page_views") for x in (F.sum(c).alias(c), F.count(c).alias(f"{c}_n"))],
+        F.count_if("cart_abandonment").alias("left"), F.count_if(F.col("cart_adds") > 0).alias("carted"),
+    )
+    mean = lambda c: F.try_divide(F.sum(c).cast("double"), F.sum(f"{c}_n"))
+    sessions = each.groupBy(day.alias("metric_date")).agg(
+        F.count("session_id").alias("total_sessions"), cents(mean("session_duration_s"), 4).alias("avg_session_duration_s"), cents(mean("page_views"), 4).alias("avg_page_views"),
+        F.round(F.sum("left").cast("double") / F.nullif(F.sum("carted"), F.lit(0)), 6).alias("cart_abandonment_rate"), *[F.count_if(F.col(s) & F.col("session_id").isNotNull()).alias(f"{s}_sessions") for s in reached],
     )
+    visitors = get("fct_sessions").where("user_key IS NOT NULL").groupBy("session_date", "user_key").agg(F.count(F.lit(1)).alias("n")).groupBy(day.alias("_date")).agg(F.count(F.lit(1)).alias("unique_visitors"))
+    joined = sessions.join(visitors, F.col("metric_date").eqNullSafe(F.col("_date")), "left")
+    stages = [f"{s}_sessions" for s in reached]
+    return joined.select("metric_date", "total_sessions", F.coalesce("unique_visitors", F.lit(0).cast("long")).alias("unique_visitors"), "avg_session_duration_s", "avg_page_views", "cart_abandonment_rate", *stages)
 
 
 def daily(get: Get) -> DataFrame:

@@ -52,3 +52,10 @@ def test_plans_stay_native(spark, sf):
         assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan, name
     plan = registry.QUERIES["limit_sample"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_totalprice), GreaterThan(o_totalprice,300000.0)]" in plan and "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in plan
+
+
+def test_daily_plans_multiply_no_rows(spark, sf):
+    """Several distinct counts of a day come from pre-aggregated rows: no Expand in the plans."""
+    for name in ("agg_daily_orders", "agg_daily_order_kpis", "agg_daily_sessions", "agg_daily_final"):
+        plan = registry.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        assert "Expand" not in plan and "HashAggregate" in plan, name
