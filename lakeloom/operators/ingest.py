@@ -72,9 +72,18 @@ def split(raw: DataFrame, ingested_at: Column, column: str = "value") -> tuple[D
     return flat.where(~critical), dead
 
 
-def unwrap_cdc(raw: DataFrame, table: str, column: str = "value") -> DataFrame:
-    """Flat change rows of one table: the after image, or the before image of a delete; tombstones have no op and go."""
+def unwrap_cdc(raw: DataFrame, table: str, column: str = "value", key: str | None = None, topic: str | None = None) -> DataFrame:
+    """Flat change rows of one table: the after image, or, rewritten with `deleted`, the before image of a delete.
+
+    With the names of the columns that hold a message's key and topic, tombstones are kept: messages without a value, on the topic whose name ends
+    with the table's, become rows of the key with cdc_op `t` and nothing else. Without them they can't be told apart and go.
+    """
     c = F.from_json(column, CDC)
-    made = raw.select(c.alias("c")).where((F.col("c.source.table") == table) & F.col("c.op").isNotNull())
+    made = raw.where(F.col(column).isNotNull()).select(c.alias("c")).where((F.col("c.source.table") == table) & F.col("c.op").isNotNull())
     image = F.when(F.col("c.op") == "d", F.col("c.before")).otherwise(F.col("c.after"))
-    return made.select(image.alias("i"), "c.op", "c.ts_ms", F.col("c.source.lsn").alias("lsn")).select("i.*", F.col("op").alias("cdc_op"), F.col("lsn").alias("cdc_lsn"), F.timestamp_millis("ts_ms").alias("changed_at"))
+    flat = made.select(image.alias("i"), "c.op", "c.ts_ms", F.col("c.source.lsn").alias("lsn"))
+    flat = flat.select("i.*", F.col("op").alias("cdc_op"), F.col("lsn").alias("cdc_lsn"), F.timestamp_millis("ts_ms").alias("changed_at"), (F.col("op") == "d").alias("deleted"))
+    if key is None or topic is None:
+        return flat
+    ended = raw.where(F.col(column).isNull() & F.substring_index(topic, ".", -1).eqNullSafe(F.lit(table)))
+    return flat.unionByName(ended.select(F.col(key).alias("order_id"), F.lit("t").alias("cdc_op"), F.lit(True).alias("deleted")), allowMissingColumns=True)

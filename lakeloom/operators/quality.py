@@ -82,6 +82,15 @@ def scd2_integrity(history: DataFrame, key: str = "order_id") -> DataFrame:
     return dup.unionByName(order).unionByName(gap)
 
 
+def negative_revenue(orders: DataFrame, key: str = "order_id", amount: str = "total_amount_usd") -> DataFrame:
+    return orders.where(F.col(amount) < 0).select(key)
+
+
+def several_current(users: DataFrame, key: str = "user_id_hashed") -> DataFrame:
+    """Keys with more than one current row, and how many they have."""
+    return users.where("is_current").groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
 def freshness(df: DataFrame, column: str, as_of: Column, warn_minutes: int = 30, error_minutes: int = 60) -> DataFrame:
     age = (F.unix_seconds(as_of.cast("timestamp")) - F.unix_seconds(F.max(column).cast("timestamp"))) / 60
     made = df.agg(age.alias("age_minutes"))

@@ -10,7 +10,7 @@ from functools import reduce
 
 from pyspark.errors import StreamingQueryException
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +23,7 @@ from lakeloom.session import shared_dir
 from lakeloom.session import stored as stored_rows
 from lakeloom.sources import connectors, feeds
 from lakeloom.sources.tables import Bookmark, SnapshotTable
-from lakeloom.streaming import features, jobs, sinks, stateful
+from lakeloom.streaming import features, history, jobs, sinks, stateful
 
 VIEWS = domain.VIEWS | gold.VIEWS
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -411,7 +411,21 @@ def _shown(history: DataFrame) -> DataFrame:
 
 query("merge_scd2", _history_sql(f"SELECT * FROM ({HISTORY}) a WHERE v = 0 OR v = (SELECT max(v) FROM ({CHANGES_DUCK}) b WHERE b.order_id = a.order_id)"))(lambda lake: _shown(_history(lake)))
 query("merge_scd2_full", _history_sql(HISTORY))(lambda lake: _shown(_history(lake, keep_all=True)))
-query("scd2_integrity", "SELECT 'none' AS \"check\", 'none' AS order_id WHERE false")(lambda lake: quality.scd2_integrity(_history(lake)))
+#: Faults planted in the history: a current version too many, an interval that runs backwards, a version left out.
+_FAULTS = f"SELECT *, CAST(order_id AS BIGINT) % 11 AS fault FROM ({HISTORY}) h"
+
+
+@query("scd2_integrity", f"""
+    WITH h AS ({_FAULTS}), w AS (SELECT order_id, fault, count(*) AS n FROM h GROUP BY ALL)
+    SELECT 'duplicate_current' AS "check", order_id FROM w WHERE fault = 1 AND n > 1 UNION ALL SELECT 'bad_interval', order_id FROM w WHERE fault = 2 AND n > 1 UNION ALL
+    SELECT 'version_gap', order_id FROM w WHERE fault = 3 AND n > 2""")
+def scd2_integrity(lake: Lake) -> DataFrame:
+    """Every fault planted in the orders' whole history, and nothing of the orders without one."""
+    fault, version = F.col("order_id").cast("long") % 11, F.col("record_version")
+    rows = _history(lake, keep_all=True).where(~((fault == 3) & (version == 2) & ~F.col("is_current")))
+    first = version == 1
+    rows = rows.withColumn("is_current", F.col("is_current") | ((fault == 1) & first))
+    return quality.scd2_integrity(rows.withColumn("effective_to", F.when((fault == 2) & first & F.col("effective_to").isNotNull(), F.col("effective_from")).otherwise(F.col("effective_to"))))
 
 
 @query("win_dedup_cdc", f"SELECT order_id, max(cdc_lsn) AS cdc_lsn FROM ({CHANGES_DUCK}) c GROUP BY order_id")
@@ -419,20 +433,33 @@ def win_dedup_cdc(lake: Lake) -> DataFrame:
     return silver.latest(lake.sql(CHANGES), ["order_id"], [F.desc("cdc_lsn")]).select("order_id", "cdc_lsn")
 
 
-@query("src_cdc", f"SELECT order_id, status, total_amount_usd AS total_amount, cdc_op, cdc_lsn, changed_at FROM ({CHANGES_DUCK}) c WHERE v <> 1")
-def src_cdc(lake: Lake) -> DataFrame:
-    """Change envelopes as JSON, back to flat rows; other tables' changes are left out."""
+_UNWRAPPED = f"""SELECT order_id, status, total_amount_usd AS total_amount, cdc_op, cdc_lsn, changed_at, cdc_op = 'd' AS deleted FROM ({CHANGES_DUCK}) c WHERE v <> 1 UNION ALL
+    SELECT order_id, NULL, NULL, 't', NULL, NULL, true FROM ({CHANGES_DUCK}) c WHERE cdc_op = 'd' AND v <> 1"""
+
+
+def _messages(lake: Lake) -> DataFrame:
+    """Change envelopes as a bus has them: key, topic and JSON, each delete followed by a message without a value."""
     image = F.struct("order_id", "user_id", "status", F.col("total_amount_usd").alias("total_amount"))
-    deleted = F.col("cdc_op") == "d"
+    deleted, table = F.col("cdc_op") == "d", F.when(F.col("v") == 1, "users").otherwise("orders")
     envelope = F.to_json(F.struct(
-        F.when(deleted, image).alias("before"), F.when(~deleted, image).alias("after"), F.struct(F.col("cdc_lsn").alias("lsn"), F.when(F.col("v") == 1, "users").otherwise("orders").alias("table")).alias("source"),
+        F.when(deleted, image).alias("before"), F.when(~deleted, image).alias("after"), F.struct(F.col("cdc_lsn").alias("lsn"), table.alias("table")).alias("source"),
         F.col("cdc_op").alias("op"), (F.unix_micros(F.col("changed_at").cast("timestamp")) / 1000).cast("long").alias("ts_ms"),
     ))
-    made = ingest.unwrap_cdc(lake.sql(CHANGES).select(envelope.alias("value")), "orders")
-    return made.select("order_id", "status", "total_amount", "cdc_op", "cdc_lsn", F.col("changed_at").cast("timestamp_ntz").alias("changed_at"))
+    values = F.when(deleted, F.array(envelope, F.lit(None).cast("string"))).otherwise(F.array(envelope))
+    return lake.sql(CHANGES).select(F.col("order_id").alias("key"), F.concat(F.lit("prod.public."), table).alias("topic"), F.explode(values).alias("value"))
 
 
-query("flt_cdc_table", f"SELECT count(*) AS n FROM ({CHANGES_DUCK}) c WHERE v <> 1")(lambda lake: src_cdc(lake).agg(F.count(F.lit(1)).alias("n")))
+@query("src_cdc", _UNWRAPPED)
+def src_cdc(lake: Lake) -> DataFrame:
+    """Messages back to flat rows: deletes rewritten, tombstones kept, other tables' changes left out."""
+    made = ingest.unwrap_cdc(_messages(lake), "orders", key="key", topic="topic")
+    return made.select("order_id", "status", "total_amount", "cdc_op", "cdc_lsn", F.col("changed_at").cast("timestamp_ntz").alias("changed_at"), "deleted")
+
+
+@query("flt_cdc_table", f"SELECT order_id, cdc_op, cdc_lsn FROM ({CHANGES_DUCK}) c WHERE v = 1 UNION ALL SELECT order_id, 't', NULL FROM ({CHANGES_DUCK}) c WHERE v = 1 AND cdc_op = 'd'")
+def flt_cdc_table(lake: Lake) -> DataFrame:
+    """The rows of the other table on the same bus."""
+    return ingest.unwrap_cdc(_messages(lake), "users", key="key", topic="topic").select("order_id", "cdc_op", "cdc_lsn")
 
 
 @query("snapshot_dbt", "SELECT CAST(c_custkey AS VARCHAR) AS id, c_mktsegment AS segment, true AS is_current FROM customer WHERE c_custkey % 4 <> 0 UNION ALL SELECT CAST(c_custkey AS VARCHAR), c_mktsegment, false FROM customer WHERE c_custkey % 4 = 0 UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'moved', true FROM customer WHERE c_custkey % 4 = 0")
@@ -659,8 +686,13 @@ def dq_freshness(lake: Lake) -> DataFrame:
     return reduce(DataFrame.unionByName, [quality.freshness(df, "processed_at", now, suites.FRESH_WARN, suites.FRESH_ERROR).select(F.lit(n).alias("source"), "state") for n, df in loaded.items()])
 
 
-both("dq_no_negative_revenue", lambda d: "SELECT order_id FROM fct_orders WHERE total_amount_usd < 0")
-both("dq_one_current_user", lambda d: "SELECT user_id_hashed, count(*) AS n FROM dim_users WHERE is_current GROUP BY user_id_hashed HAVING count(*) > 1")
+# the rules on orders and users of which some are made to break them
+query("dq_no_negative_revenue", "SELECT order_id FROM fct_orders WHERE CAST(substr(order_id, 2) AS BIGINT) % 7 = 0 AND total_amount_usd > 0")(
+    lambda lake: quality.negative_revenue(lake.view("fct_orders").withColumn("total_amount_usd", F.when(F.substring("order_id", 2, 20).cast("long") % 7 == 0, -F.col("total_amount_usd")).otherwise(F.col("total_amount_usd"))))
+)
+query("dq_one_current_user", "SELECT user_id_hashed, CAST(2 AS BIGINT) AS n FROM dim_users WHERE is_current AND substr(user_id_hashed, 1, 1) < '4'")(
+    lambda lake: quality.several_current(lake.view("dim_users").unionByName(lake.view("dim_users").where("substr(user_id_hashed, 1, 1) < '4'")))
+)
 both("dq_model_keys", lambda d: " UNION ALL ".join(f"SELECT '{v}' AS model, count(*) - count(DISTINCT {k}) AS repeated, count_if({k} IS NULL) AS missing FROM {v}" for v, k in (("fct_orders", "order_id"), ("fct_sessions", "session_id"), ("dim_users", "user_key"), ("dim_products", "product_key"), ("dim_channels", "channel_key"), ("dim_geography", "geo_key"), ("dim_date", "date_key"))))
 
 
@@ -856,19 +888,24 @@ def late_data(lake: Lake) -> DataFrame:
     return refined.read().select("event_id", "late")
 
 
-def _event_stream(lake: Lake, view: str, cols: str, batches: int = 3) -> tuple[str, DataFrame]:
-    """A view's rows as files in the order of event time, a range of it to a micro-batch, as a bus would bring them.
+def _replay(rows: DataFrame, path: str, by: Column, batches: int = 3) -> DataFrame:
+    """Rows as files in the order of `by` (microseconds), a range of it to a micro-batch, as a bus would bring them.
 
-    A file source reads files in the order of their writing, so each range of time is a job of its own; as many files as have rows enough.
+    A file source reads files in the order of their writing, so each range is a job of its own; as many files as have rows enough.
     """
+    spark = rows.sparkSession
+    count, cuts = rows.agg(F.count(F.lit(1)), F.percentile_approx(by, [k / batches for k in range(1, batches)], 1000)).first()
+    files = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), count // batches // 100_000))
+    place = reduce(lambda at, c: at + (by > c).cast("int"), cuts or [], F.lit(0))
+    for k in range(batches):
+        rows.where(place == k).repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def _event_stream(lake: Lake, view: str, cols: str) -> tuple[str, DataFrame]:
     path = _folder(lake)
     rows = lake.sql(f"SELECT {cols} FROM {view}").withColumn("event_ts", F.col("event_ts").cast("timestamp"))
-    count, cuts = rows.agg(F.count(F.lit(1)), F.percentile_approx(F.unix_micros("event_ts"), [k / batches for k in range(1, batches)], 1000)).first()
-    files = max(1, min(int(lake.spark.conf.get("spark.sql.shuffle.partitions")), count // batches // 100_000))
-    place = reduce(lambda at, c: at + (F.unix_micros("event_ts") > c).cast("int"), cuts or [], F.lit(0))
-    for k in range(batches):
-        rows.where(place == k).repartition(files).write.mode("append").parquet(f"{path}/in")
-    return path, lake.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{path}/in")
+    return path, _replay(rows, f"{path}/in", F.unix_micros("event_ts"))
 
 
 CLOSED = f"SELECT user_id_hashed, session_start_ts, session_end_ts, event_count, purchases, revenue_attributed_usd, funnel_stage_reached FROM ({_sessions_sql(15)}) x WHERE session_end_ts + INTERVAL 15 MINUTE <= (SELECT max(event_ts) - INTERVAL 4 HOUR FROM silver)"
@@ -993,6 +1030,22 @@ def _store() -> features.Put:
     return put
 
 
+@query("stream_history", _history_sql(HISTORY))
+def stream_history(lake: Lake) -> DataFrame:
+    """The history from a change stream that comes in four batches, up to six days out of order, and a last message that moves the watermark past all."""
+    path = _folder(lake)
+    rows = stored_rows(lake.sql(CHANGES).withColumn("changed_at", F.col("changed_at").cast("timestamp")).drop("v", "o_orderkey"), "changes")
+    day = 86_400_000_000
+    shaken = F.unix_micros("changed_at") + F.pmod(F.xxhash64("order_id", "cdc_lsn"), F.lit(6 * day))
+    stream = _replay(rows, f"{path}/in", shaken, 4)
+    end = rows.agg((F.max("changed_at") + F.expr("INTERVAL 30 DAY")).alias("changed_at"))
+    end.select(*[F.col(c) if c == "changed_at" else F.lit(None).cast(t).alias(c) for c, t in rows.dtypes]).write.mode("append").parquet(f"{path}/in")
+    made = history.versions(stream)
+    sinks.exactly_once(made, f"{path}/out", f"{path}/ck", f"history{uuid.uuid4().hex}").awaitTermination()
+    found = history.laid_out(sinks.read_batches(lake.spark, f"{path}/out", made.schema))
+    return _shown(found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("effective_from", "effective_to")}))
+
+
 # ---- the rest of the inventory
 
 
@@ -1059,7 +1112,7 @@ def snk_dbt_inc(lake: Lake) -> DataFrame:
     return table.read()
 
 
-query("src_view", "SELECT count(*) AS n FROM stg_orders")(lambda lake: lake.sql("SELECT count(*) AS n FROM stg_orders"))
+query("src_view", "SELECT order_id, status, total_amount_usd FROM stg_orders")(lambda lake: lake.view("stg_orders").select("order_id", "status", "total_amount_usd"))
 
 
 @query("src_feature", "SELECT user_id_hashed, order_count_90d FROM features WHERE user_id_hashed = (SELECT min(user_id_hashed) FROM features)")
@@ -1070,11 +1123,11 @@ def src_feature(lake: Lake) -> DataFrame:
     return connectors.feature_get(table, rows.agg(F.min("user_id_hashed")).first()[0]).select("user_id_hashed", "order_count_90d")
 
 
-@query("src_csv", "SELECT count(*) AS n, sum(churned_30d) AS positive FROM features")
+@query("src_csv", "SELECT churned_30d AS label, CAST(least(days_since_last_order, 999) AS DOUBLE) AS days_since_last_order, CAST(order_count_90d AS DOUBLE) AS order_count_90d, round(total_ltv_usd, 2) AS total_ltv_usd, round(least(discount_usage_rate, 1.0), 6) AS discount_usage_rate FROM features")
 def src_csv(lake: Lake) -> DataFrame:
     path = _folder(lake)
     silver.preprocess(lake.view("features")).select(*C.MODEL_FEATURES, "churned_30d").write.csv(path)
-    return connectors.model_csv(lake.spark, path).agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positive"))
+    return connectors.model_csv(lake.spark, path).select("label", "days_since_last_order", "order_count_90d", F.round("total_ltv_usd", 2).alias("total_ltv_usd"), F.round("discount_usage_rate", 6).alias("discount_usage_rate"))
 
 
 @query("snk_s3", "SELECT CAST(event_ts AS DATE) AS event_date, CAST(hour(event_ts) AS INT) AS event_hour, count(*) AS n FROM bronze GROUP BY ALL")
