@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from lakeloom.functions import constants as C
 from lakeloom.functions import core
 from lakeloom.operators import churn, fraud, ingest, merge, quality, sessions, silver, suites
-from lakeloom.plans import domain, gold, stored
+from lakeloom.plans import domain, gold, kept, stored
 from lakeloom.plans.dialect import DUCK, SPARK, Spark
 from lakeloom.session import shared_dir
 from lakeloom.session import stored as stored_rows
@@ -707,6 +707,36 @@ def model_metrics(lake: Lake) -> DataFrame:
     return quality.classifier_metrics(lake.sql("SELECT fraud_score AS s, CASE WHEN (k * 7) % 100 + k > 100 THEN 1 ELSE 0 END AS y FROM bronze"))
 
 
+# ---- views kept up to date
+
+#: What is there in the end: all but every fifth row, and of that fifth the rows of five days, which come later.
+_LATE_ORDER = "CAST(substr(order_id, 2) AS BIGINT) % 5 = 0"
+_LATE_SESSION = "substr(session_id, 1, 1) IN ('0', '5', 'a')"
+_MV = re.sub(r"FROM fct_orders o", f"FROM (SELECT * FROM fct_orders WHERE NOT {_LATE_ORDER} OR day(order_date) BETWEEN 10 AND 14) o", SQL["mv_country_day"](DUCK))
+_FUNNEL = re.sub(r"FROM fct_sessions", f"FROM (SELECT * FROM fct_sessions WHERE NOT {_LATE_SESSION} OR day(session_date) BETWEEN 10 AND 14) s", SQL["mv_weekly_funnel"](DUCK))
+
+
+def _kept_up(lake: Lake, view: kept.Kept, rows: DataFrame, late: str) -> DataFrame:
+    """The view made of early rows, then refreshed by the dates that late rows are of."""
+    path = _folder(lake)
+    kept.append(rows.where(f"NOT {late}"), f"{path}/source", view.day)
+    kept.refresh(lake.spark, view, f"{path}/source", f"{path}/view")
+    dates = kept.append(rows.where(f"{late} AND day({view.day}) BETWEEN 10 AND 14"), f"{path}/source", view.day)
+    kept.refresh(lake.spark, view, f"{path}/source", f"{path}/view", dates)
+    return kept.read(lake.spark, view, f"{path}/view")
+
+
+@query("kept_country_day", _MV)
+def kept_country_day(lake: Lake) -> DataFrame:
+    places = lake.view("dim_geography").select("geo_key", "country", "country_name", "region")
+    return _kept_up(lake, kept.COUNTRY_DAY, lake.view("fct_orders").join(places, "geo_key"), _LATE_ORDER)
+
+
+@query("kept_weekly_funnel", _FUNNEL)
+def kept_weekly_funnel(lake: Lake) -> DataFrame:
+    return _kept_up(lake, kept.WEEKLY_FUNNEL, lake.view("fct_sessions"), _LATE_SESSION)
+
+
 #: The day that customers are looked at from, with 90 days of orders after it.
 SEEN = "DATE'2001-05-01'"
 CUSTOMER_FEATURES = ("days_since_last_order", "order_count_30d", "order_count_90d", "order_frequency_30d", "avg_order_value_usd", "total_ltv_usd", "max_order_value_usd", "discount_usage_rate", "refund_count_90d")
