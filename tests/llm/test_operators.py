@@ -3,6 +3,7 @@ import hashlib
 import math
 import os
 import random
+import re
 import time
 import zlib
 
@@ -340,6 +341,16 @@ def test_pages():
     assert html.main_text("<article><p>cut off <b>he") == "cut off he"
 
 
+def test_given_pages_without_their_marks(spark, sf):
+    """With the tags that mark the article taken out, the smoothed ratio and the threshold decide: nearly all of its blocks and nothing else."""
+    blocks = found = others = 0
+    for r in table(spark, sf, "pages").collect():
+        marked = html.main_text(r.html).split("\n\n")
+        bare = [b for b in html.main_text(re.sub(r"(?i)</?(article|main)\b[^>]*>", "", r.html or "")).split("\n\n") if b]
+        blocks, found, others = blocks + len(marked), found + sum(b in bare for b in marked), others + sum(b not in marked for b in bare)
+    assert blocks > 200 and found >= 0.95 * blocks and others == 0
+
+
 def test_pages_where_marks_are_not_the_whole_content():
     """The ratio decides on marked pages too: text outside a teaser's article stays, link runs inside an article go."""
     prose = [f"{'long prose goes here ' * 12}{k}" for k in range(6)]
