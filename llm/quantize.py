@@ -31,7 +31,7 @@ from llm.common import join_shared, materialize
 
 PARTS, ENTRIES, ROUNDS, SCALE = 16, 64, 2, 256
 #: Pairs of part and entry compared at a time.
-PAIRS = 1 << 20
+PAIRS = 1 << 18
 _LIMIT = 1 << 26
 
 
@@ -52,28 +52,39 @@ def cut(v: np.ndarray, parts: int) -> np.ndarray:
     return np.ascontiguousarray(full.reshape(len(v), parts, width).swapaxes(0, 1))
 
 
+def annulus(norm: np.ndarray, own: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First entry, of those sorted by norm, and number of entries whose norm is within reach of each part's own, both ends included."""
+    slack = (own + reach) * 1e-12 + 1e-9
+    first = np.searchsorted(norm, own - reach - slack, "left")
+    return first, np.searchsorted(norm, own + reach + slack, "right") - first
+
+
 def nearest(x: np.ndarray, entries: np.ndarray, pairs: int = PAIRS) -> tuple[np.ndarray, np.ndarray]:
     """Index of the nearest entry for every row of x and its squared distance, by the annulus of norms."""
     norm = np.sqrt((entries * entries).sum(1, dtype=np.float64))
     order = np.argsort(norm, kind="stable")
-    by_norm, norm = entries[order], norm[order]
+    norm = norm[order]
+    most = max(np.abs(x).max(initial=0), np.abs(entries).max(initial=0))
+    kind = np.int32 if 4 * int(most) ** 2 * x.shape[1] < 1 << 31 else np.int64  # holds any squared distance
+    by_norm = [np.ascontiguousarray(c, kind) for c in entries[order].T]
+    columns = [np.ascontiguousarray(c, kind) for c in x.T]
     code, error = np.empty(len(x), np.int64), np.empty(len(x), np.int64)
     step = max(1, pairs // len(entries))
     for lo in range(0, len(x), step):
-        part = x[lo : lo + step]
-        own = np.sqrt((part * part).sum(1, dtype=np.float64))
+        part = [c[lo : lo + step] for c in columns]
+        own = np.sqrt(sum(c.astype(np.float64) ** 2 for c in part))
         at = np.searchsorted(norm, own)
         at = np.where((at == len(norm)) | ((at > 0) & (own - norm[at - 1] < norm[np.minimum(at, len(norm) - 1)] - own)), at - 1, at)
-        reach = np.sqrt(((part - by_norm[at]) ** 2).sum(1, dtype=np.float64))
-        slack = (own + reach) * 1e-12 + 1e-9
-        first, last = np.searchsorted(norm, own - reach - slack, "left"), np.searchsorted(norm, own + reach + slack, "right")
-        many = last - first
+        reach = np.sqrt(sum((c - e[at]) ** 2 for c, e in zip(part, by_norm, strict=True)).astype(np.float64))
+        first, many = annulus(norm, own, reach)
         begin = np.cumsum(many) - many
-        row = np.repeat(np.arange(len(part)), many)
-        place = np.arange(len(row)) - begin[row] + first[row]
-        away = ((part[row] - by_norm[place]) ** 2).sum(1)
+        place = np.arange(many.sum()) - np.repeat(begin - first, many)
+        away = np.zeros(len(place), kind)
+        for c, e in zip(part, by_norm, strict=True):
+            apart = np.repeat(c, many) - e[place]
+            away += apart * apart
         least = np.minimum.reduceat(away, begin)
-        index = np.where(away == least[row], order[place], len(entries))
+        index = np.where(away == np.repeat(least, many), order[place], len(entries))
         code[lo : lo + step], error[lo : lo + step] = np.minimum.reduceat(index, begin), least
     return code, error
 
