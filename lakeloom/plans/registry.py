@@ -6,6 +6,7 @@ import hashlib
 import re
 import uuid
 from collections.abc import Callable, Container
+from datetime import datetime
 from functools import reduce
 
 from pyspark.errors import StreamingQueryException
@@ -23,7 +24,7 @@ from lakeloom.session import shared_dir
 from lakeloom.session import stored as stored_rows
 from lakeloom.sources import connectors, feeds
 from lakeloom.sources.tables import Bookmark, SnapshotTable
-from lakeloom.streaming import features, history, jobs, sinks, stateful
+from lakeloom.streaming import features, history, jobs, rotation, sinks, stateful
 
 VIEWS = domain.VIEWS | gold.VIEWS
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1160,13 +1161,13 @@ def src_csv(lake: Lake) -> DataFrame:
     return connectors.model_csv(lake.spark, path).select("label", "days_since_last_order", "order_count_90d", F.round("total_ltv_usd", 2).alias("total_ltv_usd"), F.round("discount_usage_rate", 6).alias("discount_usage_rate"))
 
 
-@query("snk_s3", "SELECT CAST(event_ts AS DATE) AS event_date, CAST(hour(event_ts) AS INT) AS event_hour, count(*) AS n FROM bronze GROUP BY ALL")
+@query("snk_s3", "SELECT event_id, CAST(event_ts AS DATE) AS event_date, CAST(hour(event_ts) AS INT) AS event_hour FROM bronze")
 def snk_s3(lake: Lake) -> DataFrame:
-    """Files by date and hour; readers prune by both."""
+    """Files by hour from three micro-batches; the hours of the first half of the month are packed, and every row is read once."""
     path, events = _event_stream(lake, "bronze", "event_id, event_ts")
-    made = events.withColumns({"event_date": F.to_date("event_ts"), "event_hour": F.hour("event_ts")})
-    connectors.partitioned_sink(made, f"{path}/out", f"{path}/ck").trigger(availableNow=True).start().awaitTermination()
-    return lake.spark.read.parquet(f"{path}/out").groupBy("event_date", "event_hour").agg(F.count(F.lit(1)).alias("n"))
+    rotation.rotated(events, f"{path}/out", f"{path}/ck", f"hours{uuid.uuid4().hex}", span_s=3600).awaitTermination()
+    rotation.pack(lake.spark, f"{path}/out", datetime(2024, 1, 16))
+    return rotation.read(lake.spark, f"{path}/out").select("event_id", "event_date", "event_hour")
 
 
 HOPS = f"SELECT b.user_id, b.event_ts AS signal_ts, b.event_id AS signal_id FROM bronze b JOIN ({FRAUD_SQL}) x ON b.event_id = x.event_id WHERE x.fraud_score >= 0.7"

@@ -60,10 +60,6 @@ def file_source(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame
     return spark.readStream.format("text").option("maxFilesPerTrigger", max_files).load(path)
 
 
-def partitioned_sink(stream: DataFrame, path: str, checkpoint: str, every: str = "60 seconds"):
-    return stream.writeStream.format("parquet").partitionBy("event_date", "event_hour").option("path", path).option("checkpointLocation", checkpoint).trigger(processingTime=every)
-
-
 def model_csv(spark: SparkSession, path: str) -> DataFrame:
     """Header-less model rows: the features in their order, then the label; a row with other than that many columns fails."""
     schema = ", ".join(f"{c} DOUBLE" for c in C.MODEL_FEATURES) + ", label INT"
