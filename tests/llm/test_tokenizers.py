@@ -31,6 +31,14 @@ def docs(spark, given):
     return spark.createDataFrame(rows, "doc_id long, text string, n long, key string, words binary, `group` int").repartition(5)
 
 
+@pytest.fixture(scope="module")
+def folder(docs, tmp_path_factory):
+    """The documents as a table that the registered queries read."""
+    made = str(tmp_path_factory.mktemp("tables"))
+    docs.write.parquet(f"{made}/documents.parquet")
+    return made
+
+
 @pytest.fixture(scope="module")
 def library():
     import sentencepiece
@@ -43,7 +51,7 @@ def sha(text):
 
 
 @pytest.mark.parametrize("memo", [1_200_000, 300])
-def test_coding_as_the_library_does(docs, given, library, memo, monkeypatch):
+def test_coding_as_the_library_does(spark, docs, folder, given, library, memo, monkeypatch):
     made = pieces.Encoder(B)
     monkeypatch.setattr(pieces, "MEMO", memo)
     monkeypatch.setattr(pieces, "PARTS", memo)
@@ -52,7 +60,7 @@ def test_coding_as_the_library_does(docs, given, library, memo, monkeypatch):
         assert made.ids_of(at).tolist() == library.encode(t or "") and ends.tolist() == [len(at)]
     if memo == 300:
         return
-    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in pieces.round_trip(docs, B).collect()}
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in queries.QUERIES["op12_sentencepiece"](spark, folder).collect()}
     want = {}
     for k, t in enumerate(given):
         ids = library.encode(t or "")
@@ -132,8 +140,8 @@ def brute_alignment(given, library):
     return out, counts
 
 
-def test_alignment_against_brute_force(docs, given, library):
-    got = {r[0]: tuple(r)[1:] for r in alignment.alignment(docs, A, B).collect()}
+def test_alignment_against_brute_force(spark, docs, folder, given, library):
+    got = {r[0]: tuple(r)[1:] for r in queries.QUERIES["op11_alignment"](spark, folder).collect()}
     want, counts = brute_alignment(given, library)
     assert any(w[1] for w in want) and sum(w[6] == "" for w in want) > 5
     assert got == {None if k == 20 else k: w for k, w in enumerate(want)}
