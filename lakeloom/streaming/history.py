@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from lakeloom.streaming.stateful import _timer, with_rocksdb
+from lakeloom.streaming.stateful import _timer, by_bucket, with_rocksdb
 
 #: A change that waits, and the last version given out.
 CHANGE = "cdc_lsn LONG, at_us LONG, cdc_op STRING, user_id STRING, status STRING, total_amount_usd DOUBLE"
@@ -79,7 +79,7 @@ def versions(changes: DataFrame, delay: str = "7 days") -> DataFrame:
     with_rocksdb(changes.sparkSession)
     marked = changes.withWatermark("changed_at", delay).select("order_id", "changed_at", F.unix_micros("changed_at").alias("at_us"), "user_id", "status", "total_amount_usd", "cdc_op", "cdc_lsn")
     schema = "order_id STRING, user_id STRING, status STRING, total_amount_usd DOUBLE, cdc_lsn LONG, from_us LONG, record_version INT, prev_status STRING"
-    made = marked.groupBy("order_id").transformWithState(HistoryBuilder(), schema, "append", "EventTime")
+    made = by_bucket(marked, "order_id", HistoryBuilder(), schema)
     return made.select("order_id", "user_id", "status", "total_amount_usd", "cdc_lsn", F.timestamp_micros("from_us").alias("effective_from"), "record_version", "prev_status")
 
 

@@ -3,11 +3,16 @@
 Both take a user's rows of a micro-batch, put them in event order, and read and write the user's state once for them. Rows
 leave in the batch that brings them. Timers are in event time: they fire when the watermark has passed them, are moved when later
 events come, and a user may have several. Needs the RocksDB state store, which `with_rocksdb` sets for the session.
+
+A processor is written for one key. A stream runs it by `by_bucket`, for all keys of a bucket together: every call to the state store
+crosses a socket, so one read and one write for a bucket take the place of several for each key.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from datetime import datetime
 from typing import Any
@@ -37,6 +42,129 @@ def _timer(us: int) -> int:
     return -(-us // 1000)
 
 
+# ---- many keys to a bucket
+
+#: Buckets that a stream's keys are dealt to; fixed for the life of a checkpoint.
+BUCKETS = 1024
+
+
+class _Cell:
+    """A value or list state of the key that a bucket is at."""
+
+    def __init__(self, bucket: Bucket, name: str, many: bool) -> None:
+        self.bucket, self.name, self.many = bucket, name, many
+
+    def get(self) -> Any:
+        found = self.bucket.values.get(self.name)
+        return iter(found or []) if self.many else found
+
+    def update(self, value: Any) -> None:
+        self.bucket.values[self.name] = value
+
+    put = update
+
+    def clear(self) -> None:
+        self.bucket.values.pop(self.name, None)
+
+
+class Bucket(StatefulProcessor):
+    """Runs a processor of one key for all keys of a bucket, which hands it their states and timers and is its handle.
+
+    The bucket's state is one value, the states and timers of its keys (plain tuples, pickled), read and written once for a batch's rows and once
+    for its timers. The engine has one timer for a bucket, at the earliest of its keys' timers; when it fires, all that the watermark has
+    passed do, each key's in order of time. A key without state and timers leaves nothing.
+    """
+
+    def __init__(self, inner: StatefulProcessor, key: str) -> None:
+        self.inner, self.key = inner, key
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.kept = handle.getValueState("kept", "state BINARY")
+        self.values: dict = {}
+        self.timers: set = set()
+        self.inner.init(self)
+
+    def getValueState(self, name: str, schema: str) -> _Cell:  # noqa: N802
+        return _Cell(self, name, False)
+
+    def getListState(self, name: str, schema: str) -> _Cell:  # noqa: N802
+        return _Cell(self, name, True)
+
+    def registerTimer(self, at: int) -> None:  # noqa: N802
+        self.timers.add(at)
+
+    def deleteTimer(self, at: int) -> None:  # noqa: N802
+        self.timers.discard(at)
+
+    def _load(self) -> tuple[int | None, dict]:
+        found = self.kept.get()
+        return pickle.loads(found[0]) if found else (None, {})
+
+    def _keep(self, timer: int | None, keys: dict) -> None:
+        """Write the keys, and make the earliest of their timers the bucket's, given the one that is registered."""
+        first = min((min(timers) for _, timers in keys.values() if timers), default=None)
+        if first != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if first is not None:
+                self.handle.registerTimer(first)
+        if keys:
+            self.kept.update((pickle.dumps((first, keys), 5),))
+        else:
+            self.kept.clear()
+
+    def _at(self, keys: dict, key: Any) -> None:
+        self.values, timers = keys.get(key, ({}, ()))
+        self.timers = set(timers)
+
+    def _left(self, keys: dict, key: Any) -> None:
+        if self.values or self.timers:
+            keys[key] = (self.values, tuple(self.timers))
+        else:
+            keys.pop(key, None)
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:  # noqa: N802, N803
+        timer, keys = self._load()
+        of: dict[Any, list[Row]] = {}
+        for r in rows:
+            of.setdefault(r[self.key], []).append(r)
+        for k, own in of.items():
+            self._at(keys, k)
+            yield from self.inner.handleInputRows((k,), iter(own), timerValues)
+            self._left(keys, k)
+        self._keep(timer, keys)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:  # noqa: N802, N803
+        fired, passed = expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()
+        timer, keys = self._load()
+        for k in [k for k, (_, timers) in keys.items() if timers and min(timers) <= passed]:
+            self._at(keys, k)
+            while self.timers and min(self.timers) <= passed:
+                at = min(self.timers)
+                self.timers.remove(at)
+                yield from self.inner.handleExpiredTimer((k,), timerValues, _Fired(at))
+            self._left(keys, k)
+        self._keep(None if timer == fired else timer, keys)  # the fired timer is gone by itself
+
+    def close(self) -> None:
+        self.inner.close()
+
+
+class _Fired:
+    def __init__(self, at: int) -> None:
+        self.at = at
+
+    def getExpiryTimeInMs(self) -> int:  # noqa: N802
+        return self.at
+
+
+def by_bucket(rows: DataFrame, key: str, processor: StatefulProcessor, schema: str, buckets: int = BUCKETS) -> DataFrame:
+    """transformWithState by event time, as `rows.groupBy(key)` would have it, run for the keys of a bucket together."""
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    return rows.withColumn("_bucket", bucket).groupBy("_bucket").transformWithState(Bucket(processor, key), schema, "append", "EventTime")
+
+
 # ---- sessions
 
 #: A session that is still open: its number, ends in event time (with seq as the tie's order), and running sums.
@@ -77,17 +205,20 @@ def stitched(sessions: list[dict], events: list[Any], count: int, gap_us: int =
 
     An event less than a gap from a session belongs to it; one between two joins them, and the lower number stays.
     """
-    numbers = []
+    numbers, sessions = [], sorted(sessions, key=lambda s: s["first_us"])
     for e in events:
         one = opened(count + 1, e)
-        near = [s for s in sessions if s["first_us"] - gap_us < e.event_us < s["last_us"] + gap_us]
+        # sessions are a gap or more apart, so those near an event stand side by side
+        lo = bisect_left(sessions, True, key=lambda s: e.event_us < s["last_us"] + gap_us)
+        hi = bisect_left(sessions, True, lo, key=lambda s: e.event_us <= s["first_us"] - gap_us)
+        near = sessions[lo:hi]
         if not near:
             count += 1
         else:
             one["no"] = min(s["no"] for s in near)
         for s in near:
             one = joined(s, one)
-        sessions = sorted([s for s in sessions if s not in near] + [one], key=lambda s: s["first_us"])
+        sessions[lo:hi] = [one]
         numbers.append(one["no"])
     return sessions, numbers, count
 
@@ -161,7 +292,7 @@ def session_events(events: DataFrame, user: str = "user_id_hashed", marked: bool
     with_rocksdb(events.sparkSession)
     chosen = (events if marked else events.withWatermark("event_ts", WATERMARK)).select(user, "event_ts", F.unix_micros("event_ts").alias("event_us"), *SESSION_IN)
     schema = f"record_type STRING, user STRING, session_no LONG, event_id STRING, at_us LONG, event_type STRING, {_SUMMARY_TYPES}"
-    made = chosen.groupBy(user).transformWithState(SessionStitcher(), schema, "append", "EventTime")
+    made = by_bucket(chosen, user, SessionStitcher(), schema)
     at = lambda c: F.timestamp_micros(c)
     return made.select(
         "record_type", F.col("user").alias(user), surrogate_key(F.col("user"), F.col("session_no")).alias("session_id"), "event_id", at("at_us").alias("event_ts"), "event_type",
@@ -257,5 +388,5 @@ def fraud_scores(events: DataFrame, user: str = "user_id") -> DataFrame:
     with_rocksdb(events.sparkSession)
     zone = [c for c in ("geo_timezone",) if c in events.columns]
     marked = events.withWatermark("event_ts", WATERMARK).select(user, "event_ts", F.unix_micros("event_ts").alias("event_us"), *FRAUD_IN, *zone)
-    made = marked.groupBy(user).transformWithState(FraudScorer(), "user STRING, event_id STRING, fraud_score DOUBLE, fraud_signals STRING", "append", "EventTime")
+    made = by_bucket(marked, user, FraudScorer(), "user STRING, event_id STRING, fraud_score DOUBLE, fraud_signals STRING")
     return made.withColumnRenamed("user", user)
