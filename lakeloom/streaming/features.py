@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from lakeloom.streaming.stateful import WATERMARK, _timer, with_rocksdb
+from lakeloom.streaming.stateful import WATERMARK, _timer, by_bucket, with_rocksdb
 
 #: A record with the content of the last one is written again after this long.
 WITHIN_S = 5.0
@@ -74,7 +74,7 @@ def without_repeats(records: DataFrame, key: str = "user_id_hashed", at: str = "
     names = records.columns
     body = [c for c in names if c not in (key, at)]
     marked = records.withWatermark(at, WATERMARK).select("*", F.unix_micros(at).alias("_us"), fingerprint(body).alias("_digest"))
-    return marked.groupBy(key).transformWithState(RepeatFilter(names, round(within_s * 1_000_000)), T.StructType(records.schema.fields), "append", "EventTime")
+    return by_bucket(marked, key, RepeatFilter(names, round(within_s * 1_000_000)), T.StructType(records.schema.fields))
 
 
 def put_records(records: DataFrame, connect: Callable[[], Put], batch: int = 500) -> DataFrame:

@@ -21,6 +21,7 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType
 
 from lakeloom.functions import constants as C
 from lakeloom.functions.core import funnel_stage, surrogate_key
@@ -159,7 +160,7 @@ class _Fired:
         return self.at
 
 
-def by_bucket(rows: DataFrame, key: str, processor: StatefulProcessor, schema: str, buckets: int = BUCKETS) -> DataFrame:
+def by_bucket(rows: DataFrame, key: str, processor: StatefulProcessor, schema: str | StructType, buckets: int = BUCKETS) -> DataFrame:
     """transformWithState by event time, as `rows.groupBy(key)` would have it, run for the keys of a bucket together."""
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
     return rows.withColumn("_bucket", bucket).groupBy("_bucket").transformWithState(Bucket(processor, key), schema, "append", "EventTime")
