@@ -12,3 +12,12 @@ def test_one_current_user_looks_at_all_users(spark, sf):
     assert "substr" not in registry.ORACLE["dq_one_current_user"].rsplit("AS n", 1)[1]
     rows = spark.createDataFrame([("a", True), ("a", False), ("b", True), ("b", True), ("c", False), ("c", False)], "user_id_hashed string, is_current boolean")
     assert [tuple(r) for r in quality.several_current(rows).collect()] == [("b", 2)]
+
+
+def test_lines_are_parsed_once(spark, sf):
+    """A filter on parsed events doesn't carry the making and parsing of the line down to the scan."""
+    for name in ("ts_parse", "flatten"):
+        plan = registry.QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 1 and plan.count("get_json_object(") == 1, name
+    plan = registry.QUERIES["snk_dlq"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 2 and plan.count("get_json_object(") == 2  # a pass for each of the two reasons
