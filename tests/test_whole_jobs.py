@@ -21,3 +21,12 @@ def test_lines_are_parsed_once(spark, sf):
         assert plan.count("from_json(") == 1 and plan.count("get_json_object(") == 1, name
     plan = registry.QUERIES["snk_dlq"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(") == 2 and plan.count("get_json_object(") == 2  # a pass for each of the two reasons
+
+
+def test_products_are_broadcast_by_their_own_size(spark, sf):
+    """The planner's size of the products counts their hashed keys; made from the parts on the fly they looked as small as the parts' file."""
+    products = Lake(spark, sf).view("dim_products").select("product_key", "sku")
+    plan = products._jdf.queryExecution().optimizedPlan()
+    assert "sha2(" not in plan.toString() and "parquet" in plan.toString()
+    size = int(str(plan.stats().sizeInBytes()))
+    assert 5 * size > products.agg({"sku": "count"}).first()[0] * 64  # a key has 64 characters; four other columns in five are left out
