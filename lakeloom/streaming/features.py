@@ -44,11 +44,11 @@ class RepeatFilter(StatefulProcessor):
         known = self.last.get()
         before = last = tuple(known) if known else None
         out = Row(*self.names)
-        for r in sorted(rows, key=lambda r: (r["_us"], r["_digest"])):
-            if last and r["_digest"] == last[0] and r["_us"] - last[1] < self.within_us:
+        for r in sorted(rows, key=lambda r: (r._us, r._digest)):
+            if last and r._digest == last[0] and r._us - last[1] < self.within_us:
                 continue
-            last = (r["_digest"], r["_us"])
-            yield out(*[r[c] for c in self.names])
+            last = (r._digest, r._us)
+            yield out(*[getattr(r, c) for c in self.names])
         if last != before:
             self.last.update(last)
             old, new = _timer(before[1] + self.within_us) if before else None, _timer(last[1] + self.within_us)

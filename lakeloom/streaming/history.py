@@ -38,7 +38,7 @@ class HistoryBuilder(StatefulProcessor):
         fresh = {}
         for r in rows:
             if r.cdc_op in ("c", "u", "d", "r") and r.cdc_lsn not in seen and (least is None or r.cdc_lsn > least):
-                fresh[r.cdc_lsn] = tuple(r[c] for c in _FIELDS)
+                fresh[r.cdc_lsn] = tuple(getattr(r, c) for c in _FIELDS)
         if fresh:
             self.waiting.put(before + list(fresh.values()))
             registered = {_timer(c[1]) for c in before}

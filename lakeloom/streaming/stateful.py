@@ -5,7 +5,8 @@ leave in the batch that brings them. Timers are in event time: they fire when th
 events come, and a user may have several. Needs the RocksDB state store, which `with_rocksdb` sets for the session.
 
 A processor is written for one key. A stream runs it by `by_bucket`, for all keys of a bucket together: every call to the state store
-crosses a socket, so one read and one write for a bucket take the place of several for each key.
+crosses a socket, so one read and one write for a bucket take the place of several for each key. Rows go to and from Python as the columns of
+data frames, as the engine's rows are made cell by cell.
 """
 
 from __future__ import annotations
@@ -13,15 +14,21 @@ from __future__ import annotations
 import pickle
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections import namedtuple
+from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime
+from functools import lru_cache
+from itertools import batched
 from typing import Any
 from zoneinfo import ZoneInfo
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BinaryType, BooleanType, DataType, DoubleType, IntegerType, LongType, StringType, StructType, TimestampType
 
 from lakeloom.functions import constants as C
 from lakeloom.functions.core import funnel_stage, surrogate_key
@@ -129,7 +136,7 @@ class Bucket(StatefulProcessor):
         timer, keys = self._load()
         of: dict[Any, list[Row]] = {}
         for r in rows:
-            of.setdefault(r[self.key], []).append(r)
+            of.setdefault(getattr(r, self.key), []).append(r)
         for k, own in of.items():
             self._at(keys, k)
             yield from self.inner.handleInputRows((k,), iter(own), timerValues)
@@ -160,10 +167,81 @@ class _Fired:
         return self.at
 
 
+#: Types that a frame's columns may have besides TIMESTAMP, and what stands for a null there; a column says which rows have one.
+_SIMPLE: dict[DataType, tuple[Any, pa.DataType]] = {
+    StringType(): ("", pa.string()), LongType(): (0, pa.int64()), IntegerType(): (0, pa.int32()), DoubleType(): (0.0, pa.float64()), BooleanType(): (False, pa.bool_()), BinaryType(): (b"", pa.binary()),
+}
+#: Columns whose nulls one LONG can tell.
+_MARKS = 62
+#: Rows of a frame that goes back to the engine.
+_FRAME = 10_000
+
+
+@lru_cache
+def _event(names: tuple[str, ...]) -> Callable[[Sequence], Any]:
+    """A maker of rows with the given names, whose values are read as fast as those of named tuples, whatever the names are."""
+    plain = namedtuple("Event", [f"f{i}" for i in range(len(names))])  # noqa: PYI024
+    return type("Event", (plain,), {"__slots__": (), **{n: vars(plain)[f"f{i}"] for i, n in enumerate(names)}})._make
+
+
+class Frames(Bucket):
+    """A bucket that takes and gives data frames. Its processor has rows with attributes, and times as microseconds, in and out.
+
+    A frame has the columns of `names` as c0, c1, ... without nulls: the bit of a column in `nulls` says where there is one, so that
+    integers stay integers and NaN stays a number.
+    """
+
+    def __init__(self, inner: StatefulProcessor, key: str, names: Sequence[str], schema: StructType) -> None:
+        super().__init__(inner, key)
+        self.names, self.schema = tuple(names), schema
+
+    def _rows(self, frames: Iterator[pd.DataFrame]) -> Iterator[Any]:
+        made = _event(self.names)
+        for frame in frames:
+            marks, columns = frame["nulls"].to_numpy(np.int64), []
+            every = int(np.bitwise_or.reduce(marks)) if len(marks) else 0
+            for i, name in enumerate(self.names):
+                values = frame[f"c{i}"].tolist()
+                if every >> i & 1:
+                    for at in np.flatnonzero(marks >> i & 1).tolist():
+                        values[at] = None
+                columns.append(values)
+            yield from map(made, zip(*columns, strict=True))
+
+    def _frames(self, rows: Iterator[Sequence]) -> Iterator[pd.DataFrame]:
+        kinds = [_SIMPLE[f.dataType][1] for f in self.schema]
+        for some in batched(rows, _FRAME):
+            arrays = [pa.array(column, kind) for column, kind in zip(zip(*some, strict=True), kinds, strict=True)]
+            yield pa.Table.from_arrays(arrays, self.schema.names).to_pandas(types_mapper=pd.ArrowDtype)
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        return self._frames(super().handleInputRows(key, self._rows(rows), timerValues))
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        return self._frames(super().handleExpiredTimer(key, timerValues, expiredTimerInfo))
+
+
 def by_bucket(rows: DataFrame, key: str, processor: StatefulProcessor, schema: str | StructType, buckets: int = BUCKETS) -> DataFrame:
-    """transformWithState by event time, as `rows.groupBy(key)` would have it, run for the keys of a bucket together."""
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-    return rows.withColumn("_bucket", bucket).groupBy("_bucket").transformWithState(Bucket(processor, key), schema, "append", "EventTime")
+    """transformWithState by event time, as `rows.groupBy(key)` would have it, run for the keys of a bucket together.
+
+    The processor finds a row's values as attributes. If all columns have simple types (_SIMPLE, and TIMESTAMP as microseconds, in and out), rows
+    come and go in data frames; with any other type row by row, times as datetimes.
+    """
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
+    simple = all(f.dataType in _SIMPLE or f.dataType == TimestampType() for f in [*rows.schema, *schema]) and len(rows.columns) <= _MARKS
+    if not simple:
+        return rows.withColumn("_bucket", bucket).groupBy("_bucket").transformWithState(Bucket(processor, key), schema, "append", "EventTime")
+    col = lambda c: F.col(f"`{c}`")
+    value = lambda f: F.coalesce(F.unix_micros(col(f.name)), F.lit(0)) if f.dataType == TimestampType() else F.coalesce(col(f.name), F.lit(_SIMPLE[f.dataType][0]))
+    nulls = sum((F.when(col(f.name).isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, f in enumerate(rows.schema)), F.lit(0).cast("long")).alias("nulls")
+    times = [col(f.name).alias(f"t{i}") for i, f in enumerate(rows.schema) if f.dataType == TimestampType()]  # one of them has the watermark
+    sent = rows.select(*times, *[value(f).alias(f"c{i}") for i, f in enumerate(rows.schema)], nulls, bucket)
+    plain = StructType()
+    for f in schema:
+        plain = plain.add(f.name, LongType() if f.dataType == TimestampType() else f.dataType, True)
+    made = sent.groupBy("bucket").transformWithStateInPandas(Frames(processor, key, rows.columns, plain), plain, "append", "EventTime")
+    return made.select(*[F.timestamp_micros(col(f.name)).alias(f.name) if f.dataType == TimestampType() else col(f.name) for f in schema])
 
 
 # ---- sessions
@@ -187,7 +265,7 @@ def opened(no: int, e: Any) -> dict:
     if e.event_type in _COUNTED:
         made[_COUNTED[e.event_type]] = 1
     made |= {"revenue": price if e.event_type == "purchase" else 0.0, "carted": carted, "depth": C.FUNNEL_DEPTH.get(e.event_type, 0)}
-    return made | {name: e[column] for name, column in _OF_FIRST.items()} | {"exit_event_type": e.event_type, "max_fraud_score": e.fraud_score}
+    return made | {name: getattr(e, column) for name, column in _OF_FIRST.items()} | {"exit_event_type": e.event_type, "max_fraud_score": e.fraud_score}
 
 
 def joined(a: dict, b: dict) -> dict:
@@ -266,10 +344,12 @@ class SessionStitcher(StatefulProcessor):
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:  # noqa: N802, N803
         at = expiredTimerInfo.getExpiryTimeInMs()
+        # the watermark has passed other sessions' timers too: they are closed here, and not looked through again for each of them
+        passed = max(at, timerValues.getCurrentWatermarkInMs()) if timerValues is not None else at
         before = self._open()
-        closed = [s for s in before if _timer(s["last_us"] + self.gap_us) <= at]
+        closed = [s for s in before if _timer(s["last_us"] + self.gap_us) <= passed]
         # the fired timer is gone by itself
-        self._keep([s for s in before if s not in closed], {_timer(s["last_us"] + self.gap_us) for s in before} - {at})
+        self._keep([s for s in before if _timer(s["last_us"] + self.gap_us) > passed], {_timer(s["last_us"] + self.gap_us) for s in before} - {at})
         for s in closed:
             yield _SESSION_OUT("session_summary", key[0], s["no"], None, s["last_us"], None, *[s[c] for c in _SUMMARY_FIELDS])
 

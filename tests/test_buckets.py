@@ -1,9 +1,12 @@
 """Stateful processors run for all keys of a bucket: same rows, states and timers as key by key, with few calls to the state store."""
 
+import math
 import random
+from datetime import datetime
 from types import SimpleNamespace
 
 from pyspark.sql import Row
+from pyspark.sql.streaming import StatefulProcessor
 from test_history_stream import DAY
 from test_streams import MIN, Handle, event
 
@@ -78,3 +81,57 @@ def test_sessions_and_scores_of_many_users():
         assert sorted(together, key=str) == sorted(apart, key=str) and len(together) >= 600
         assert not handle.timers and set(single) == {"a", "b", "c", None, "hot"}
         assert handle.calls <= 4 * len(batches) + 2
+
+
+def test_all_sessions_that_the_watermark_has_passed_close_at_once():
+    """A user with many closed sessions isn't looked through again for each of their timers."""
+    p = stateful.SessionStitcher()
+    handle = Counted()
+    p.init(handle)
+    list(p.handleInputRows(("u",), iter([event(20 * k * MIN, k) for k in range(300)]), None))
+    at, before = min(handle.timers), handle.calls
+    handle.timers.remove(at)
+    now = SimpleNamespace(getCurrentWatermarkInMs=lambda: (20 * 200 + 15) * 60_000)
+    closed = list(p.handleExpiredTimer(("u",), now, SimpleNamespace(getExpiryTimeInMs=lambda: at)))
+    assert [r.session_no for r in closed] == list(range(1, 202)) and handle.calls - before <= 2
+    assert handle.timers == {(20 * k + 15) * 60_000 for k in range(201, 300)}
+
+
+def test_values_survive_data_frames(spark, tmp_path, monkeypatch):
+    """Nulls, NaN, empty texts and large integers come back as they went, in frames and row by row."""
+    out_ = Row("user", "at", "_us", "n", "x", "flag", "data", "big", "before")
+
+    class Kept(StatefulProcessor):
+        """Gives rows back as they come, and a user's row before, from the state."""
+
+        def init(self, handle):
+            self.last = handle.getValueState("last", "_us LONG")
+
+        def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+            for r in sorted(rows, key=lambda r: r._us):
+                before = self.last.get()
+                self.last.update((r._us,))
+                yield out_(key[0], r.at, r._us, r.n, r.x, r.flag, r.data, r.big, before and before[0])
+
+        def close(self):
+            pass
+
+    schema = "user string, at timestamp, _us long, n int, x double, flag boolean, data binary, big long"
+    at = lambda k: datetime(2024, 1, 10, 12, k // 60, k % 60, 7)
+    user = lambda k: [None, "", "a", "b"][k % 4]
+    rows = [(user(k), at(k), k, [None, 0, 3][k % 3], [None, math.nan, 0.0, -0.0, 1e300][k % 5], [None, True, False][k % 3], [None, b"", b"\x00x"][k % 3], [None, 2**63 - 1, -(2**53) - 1][k % 3]) for k in range(90)]
+    want = {(k, repr(r), k - 4 if k >= 4 else None) for k, r in enumerate(rows)}
+    for name, kinds in (("frames", None), ("rows", {})):
+        if kinds is not None:
+            monkeypatch.setattr(stateful, "_SIMPLE", kinds)
+        path = str(tmp_path / name)
+        for k in range(3):
+            spark.createDataFrame(rows[30 * k : 30 * k + 30], schema).coalesce(1).write.mode("append").parquet(f"{path}/in")
+        stateful.with_rocksdb(spark)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in").withWatermark("at", "1 hour")
+        made = stateful.by_bucket(stream, "user", Kept(), f"{schema}, before long", 4)
+        assert made.schema.simpleString() == "struct<user:string,at:timestamp,_us:bigint,n:int,x:double,flag:boolean,data:binary,big:bigint,before:bigint>"
+        made.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/ck").trigger(availableNow=True).start().awaitTermination()
+        found = spark.read.parquet(f"{path}/out").collect()
+        given = lambda r: repr((r.user, r.at, r._us, r.n, r.x, r.flag, None if r.data is None else bytes(r.data), r.big))
+        assert len(found) == 90 and {(r._us, given(r), r.before) for r in found} == want
