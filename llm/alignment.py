@@ -157,7 +157,7 @@ class Aligner:
         return at
 
 
-_made: dict[tuple[str, str], Aligner] = {}
+_made: dict[tuple[str, str], Aligner] = T.kept("alignment")
 
 
 def aligner(path_a: str, path_b: str) -> Aligner:
@@ -202,6 +202,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             yield _rows(WORDS, group, 1, words=pa.array([packed], pa.binary()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        T.alone("alignment")
         made = aligner(path_a, path_b)
         group, held = TaskContext.get().partitionId() << 24, 0
         seen = np.zeros(0, np.int64)

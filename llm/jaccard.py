@@ -131,6 +131,7 @@ def summaries(docs: DataFrame) -> DataFrame:
     lanes = [f"h{i}" for i in range(LANES)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        T.alone()
         names, seen, held, held_n = ["doc_id", "n", "k1", "k2", "key", "count", *lanes, "wide"], set(), [], 0
         for b in batches:
             data, offsets = T.utf8(b.column(1))
@@ -172,6 +173,7 @@ def prefix_cells(docs: DataFrame, common: np.ndarray, seen_in: np.ndarray) -> Da
     shared = docs.sparkSession.sparkContext.broadcast((common[order_], -(-seen_in[order_] // HOT)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        T.alone()
         seen: set = set()
         hints, deal = shared.value
         for b in batches:
@@ -220,6 +222,7 @@ def wide_filter(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
     met = large.join(side("a"), "a", "left").join(side("b"), "b", "left").select("a", "b", "na", "nb", "wa", "wb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        T.alone()
         for t in batches:
             keep = []
             for na, nb, x, y in zip(*(t.column(i) for i in range(2, 6)), strict=True):
@@ -235,6 +238,7 @@ def verified(pairs: DataFrame, docs: DataFrame, similarity: float = 0.8) -> Data
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        T.alone()
         for b in batches:
             data, offsets = T.utf8(b.column(1))
             for lo, hi in T.chunks(offsets):
@@ -246,6 +250,7 @@ def verified(pairs: DataFrame, docs: DataFrame, similarity: float = 0.8) -> Data
     met = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "seta", "setb")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        T.alone()
         for t in batches:
             a, b, j = [], [], []
             for p, q, x, y in zip(*(c.to_pylist() if c.type == pa.int64() else c for c in t.columns), strict=True):

@@ -138,7 +138,7 @@ class WordTokens:
         return ids, total[ends], total[1:][self.stop[at]]
 
 
-_made: dict[str, WordTokens] = {}
+_made: dict[str, WordTokens] = T.kept("packing")
 
 
 def word_tokens(path: str) -> WordTokens:
@@ -209,6 +209,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, run_tokens:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*pieces, strict=True), kinds, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        T.alone("packing")
         tokens = word_tokens(tokenizer_path)
         was = gc.isenabled()
         gc.disable()  # nothing here makes cycles, and the memory of words is large
@@ -243,5 +244,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, run_tokens:
         finally:  # the worker is used again
             if was:
                 gc.enable()
+            docs_, held = [], []
+            T.release()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")

@@ -241,7 +241,7 @@ class Encoder:
         return self.flat[np.repeat(self.first[at] - total[:-1], size) + np.arange(total[-1])]
 
 
-_made: dict[str, Encoder] = {}
+_made: dict[str, Encoder] = T.kept("pieces")
 
 
 def encoder(path: str) -> Encoder:
@@ -265,6 +265,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        T.alone("pieces")
         for doc_id, made, texts in _encoded(batches, path):
             yield pa.RecordBatch.from_arrays([doc_id, pa.array([made.ids_of(at).astype("<u4").tobytes() for at in texts], pa.binary())], ["doc_id", "ids"])
         T.release()
@@ -276,6 +277,7 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
     """doc_id, text of rows (doc_id, ids) as encode makes them; null ids give ''."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        T.alone("pieces")
         pieces = encoder(path).pieces
         for b in batches:
             texts = [pieces.decode(np.frombuffer(i or b"", "<u4")) for i in b.column(1).to_pylist()]
@@ -290,6 +292,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        T.alone("pieces")
         sha = lambda b: hashlib.sha256(b).hexdigest()
         for doc_id, made, texts in _encoded(batches, path):
             n, ids_sha, text_sha = [], [], []

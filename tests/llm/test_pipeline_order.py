@@ -109,3 +109,24 @@ def test_stages_against_brute_force(spark, sf):
     plain = Tokenizer.from_file(queries.tokenizer_path())
     pieces = corpus_pipeline.pack_windows(spark, mixed, sf).collect()
     assert packed_in_order(pieces) == [(i, [*plain.encode(t, add_special_tokens=False).ids, 2]) for i, t in stored]
+
+
+def test_a_worker_keeps_one_operator_s_memory(spark):
+    """The next stage's tasks run in packing's workers: its words go when another operator begins there."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    from llm import jaccard, packing, repeats
+    from llm.queries import tokenizer_path
+
+    task = SimpleNamespace(mapInArrow=lambda f, schema: f)
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["one two three four five six"])], ["doc_id", "text"])
+    own = pa.RecordBatch.from_arrays([pa.array([1])] * 3 + [pa.array([b"word " * 200])], ["a", "b", "c", "text"])
+    begins = [(jaccard.summaries(SimpleNamespace(select=lambda *a: task)), batch), (repeats._anchored(task, 400, False), own)]
+    for run, rows in begins:
+        packing.word_tokens(tokenizer_path()).encode([b"some words"])
+        assert packing._made
+        assert list(run(iter([rows]))) and not packing._made
+    again = packing.word_tokens(tokenizer_path())
+    assert again.encode([b"some words"])[0].tolist()[-1] == packing.END
