@@ -493,6 +493,25 @@ def test_repeats(spark, rows):
         bytes(r.kept).decode()
 
 
+def test_planted_passages_by_column(spark, tmp_path):
+    """op7's query removes passages of over 50 words from 400 bytes on and no shorter ones; n_bytes stays the input's size."""
+    own = random.Random(11)
+    words = lambda n, letters: " ".join("".join(own.choice(letters) for _ in range(5)) for _ in range(n))
+    sized = lambda text, n: text + "~" * (n - len(text.encode()))
+    parts = [sized(words(55, letters), n) for letters, n in (("abcdef", 399), ("ghijkl", 400), ("qrstué", 400), ("mnopvw", 399))]
+    assert [len(p.encode()) for p in parts] == [399, 400, 400, 399] and len(parts[2]) < 380 and all(len(p.split()) == 55 for p in parts)
+    # the last one's next characters differ, but begin with the same byte
+    rows = [(2 * k + j, words(20, "abcxyz") + "<["[j] + p + ("éè"[j] if k == 3 else ">]"[j]) + words(20, "abcxyz"), None) for k, p in enumerate(parts) for j in (0, 1)]
+    rows += [(8, words(90, "abcxyz"), None), (9, None, None)]
+    docs_frame(spark, rows, extra=False).write.parquet(f"{tmp_path}/documents.parquet")
+    made = queries.QUERIES["op7_suffix_array_dedup"](spark, str(tmp_path))
+    assert made.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    got = sorted(map(tuple, made.collect()))
+    assert got == sorted(brute.without_repeats([(i, t) for i, t, _ in rows]))
+    assert [r[2] for r in got] == [0, 0, 400, 400, 400, 400, 400, 400, 0, 0]
+    assert [r[1] for r in got] == [len((t or "").encode()) for _, t, _ in rows]
+
+
 def test_repeats_in_slices(spark, monkeypatch):
     """Edges of slices of a long text change nothing."""
     rows = [(i, t, None) for i, t in enumerate([("abcdefghij" * 60 + str(k)) * 2 + f"tail {k} " * 50 for k in range(3)])]
