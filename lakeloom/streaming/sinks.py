@@ -25,20 +25,45 @@ def exactly_once(stream: DataFrame, path: str, checkpoint: str, query: str, once
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        marked = batch.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", True)  # whatever the cluster's setting
+        marked.parquet(f"{path}/batch={number}")
         if done:
             done(number)
 
     return started(stream, write, checkpoint, query, once)
 
 
-def read_batches(spark: SparkSession, path: str, schema: object) -> DataFrame:
-    """What exactly_once has written, without a batch that it hasn't written to its end."""
+def read_batches(spark: SparkSession, path: str, schema: object, checkpoint: str | None = None) -> DataFrame:
+    """What exactly_once has written. A batch that is missing where the stream has gone on without it is an error, not fewer rows.
+
+    With the stream's checkpoint: every row of a stream that has come to its end. It is an error if the stream has committed nothing, has begun a
+    batch that isn't committed, or has committed one that isn't written to its end. Without it: what there is so far, maybe nothing; only the last
+    batch may be unfinished, and is left out then.
+    """
     fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    root = fs_path(path)
-    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(fs_path(f"{path}/batch=*/_SUCCESS")) or []
-    whole = [str(f.getPath().getParent()) for f in found]
-    return spark.read.schema(schema).parquet(*whole) if whole else spark.createDataFrame([], schema)
+    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = _numbers(spark, path, "batch=")
+    whole = {n for n in folders if fs.exists(fs_path(f"{path}/batch={n}/_SUCCESS"))}
+    if checkpoint is None:
+        want = set(range(max(folders, default=0))) | whole
+    else:
+        begun, committed = _numbers(spark, f"{checkpoint}/offsets"), _numbers(spark, f"{checkpoint}/commits")
+        if not committed:
+            raise FileNotFoundError(f"{checkpoint}: no batch has been committed")
+        if max(begun, default=0) > max(committed):
+            raise RuntimeError(f"{checkpoint}: batch {max(begun)} has begun and isn't committed")
+        want = set(range(max(committed) + 1))
+    if want - whole:
+        raise FileNotFoundError(f"{path}: batches {sorted(want - whole)} are missing or not written to their ends")
+    return spark.read.schema(schema).parquet(*[f"{path}/batch={n}" for n in sorted(want)]) if want else spark.createDataFrame([], schema)
+
+
+def _numbers(spark: SparkSession, folder: str, prefix: str = "") -> set[int]:
+    """The numbers of a folder's entries that are called <prefix><number>; none if there is no such folder."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(where)] if fs.exists(where) else []
+    return {int(n[len(prefix) :]) for n in names if n.startswith(prefix) and n[len(prefix) :].isdigit()}
 
 
 def at_least_once(stream: DataFrame, path: str, checkpoint: str, query: str, once: bool = True, done: Callable[[int], None] | None = None) -> StreamingQuery:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from test_streams import CLICK, EVENT, click
 
 from lakeloom.operators import fraud, sessions
+from lakeloom.plans.registry import QUERIES
 from lakeloom.sources.tables import SnapshotTable
 from lakeloom.streaming import jobs, sinks, stateful
 
@@ -68,6 +69,84 @@ def test_a_batch_that_isn_t_whole_isn_t_read(spark, tmp_path):
     assert sinks.read_batches(spark, f"{tmp_path}/none", "id long").count() == 0
 
 
+def test_a_batch_that_a_later_one_stands_on_is_missed(spark, tmp_path):
+    """A folder that is gone, or was never written to its end, is an error and not an empty or shorter result."""
+    for k in range(3):
+        spark.range(3).write.parquet(f"{tmp_path}/out/batch={k}")
+    assert sinks.read_batches(spark, f"{tmp_path}/out", "id long").count() == 9
+    (tmp_path / "out" / "batch=1" / "_SUCCESS").unlink()
+    with pytest.raises(FileNotFoundError, match=r"batches \[1\]"):
+        sinks.read_batches(spark, f"{tmp_path}/out", "id long")
+    for k in (2, 0):
+        (tmp_path / "out" / f"batch={k}" / "_SUCCESS").unlink()
+    with pytest.raises(FileNotFoundError, match=r"batches \[0, 1\]"):  # as with a job that leaves no marks of success
+        sinks.read_batches(spark, f"{tmp_path}/out", "id long")
+
+
+def test_what_the_checkpoint_has_is_read_or_missed(spark, tmp_path):
+    stream = replay(spark, clicks()[:3], CLICK, str(tmp_path))
+    out, ck = f"{tmp_path}/out", f"{tmp_path}/ck"
+
+    def stop(number):
+        if number == 2:
+            raise RuntimeError("stopped")
+
+    read = lambda: sinks.read_batches(spark, out, CLICK, ck)
+    with pytest.raises(FileNotFoundError, match="committed"):
+        read()
+    with pytest.raises(StreamingQueryException):
+        sinks.exactly_once(stream, out, ck, "missed-1", done=stop).awaitTermination()
+    with pytest.raises(RuntimeError, match="batch 2 has begun"):
+        read()
+    sinks.exactly_once(stream, out, ck, "missed-2").awaitTermination()
+    spark.createDataFrame(clicks()[0], CLICK).write.parquet(f"{out}/batch=7")  # another checkpoint's
+    assert read().count() == 24
+    (tmp_path / "out" / "batch=2").rename(tmp_path / "kept")
+    with pytest.raises(FileNotFoundError, match=r"batches \[2\]"):
+        read()
+
+
+def test_batches_are_marked_where_other_jobs_leave_no_marks(spark, tmp_path):
+    stream, conf = replay(spark, clicks()[:2], CLICK, str(tmp_path)), spark._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        sinks.exactly_once(stream, f"{tmp_path}/out", f"{tmp_path}/ck", "marked").awaitTermination()
+        spark.range(3).write.parquet(f"{tmp_path}/plain")
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert not (tmp_path / "plain" / "_SUCCESS").exists()
+    assert sinks.read_batches(spark, f"{tmp_path}/out", CLICK).count() == sinks.read_batches(spark, f"{tmp_path}/out", CLICK, f"{tmp_path}/ck").count() == 16
+
+
+@pytest.mark.parametrize("run, at", [(0, 0), (1, 1), (1, 2)])
+def test_a_stop_that_stream_restart_doesn_t_make_itself_is_an_error(spark, sf, monkeypatch, run, at):
+    """Before its own stop, or in the run after it; in either case some batches are written."""
+    plain, runs = sinks.exactly_once, []
+
+    def exactly_once(stream, path, checkpoint, query, once=True, done=None):
+        mine, place = done or (lambda number: None), len(runs)
+        runs.append(query)
+
+        def fail(number):
+            if (place, number) == (run, at):
+                raise RuntimeError("a full disk")
+            mine(number)
+
+        return plain(stream, path, checkpoint, query, once, fail)
+
+    monkeypatch.setattr(sinks, "exactly_once", exactly_once)
+    with pytest.raises(StreamingQueryException, match="a full disk"):
+        QUERIES["stream_restart"](spark, sf)
+    assert len(runs) == run + 1
+
+
+def test_stream_restart_is_stopped_or_fails(spark, sf, monkeypatch):
+    plain = sinks.exactly_once
+    monkeypatch.setattr(sinks, "exactly_once", lambda *a, done=None: plain(*a))
+    with pytest.raises(RuntimeError, match="without being stopped"):
+        QUERIES["stream_restart"](spark, sf)
+
+
 @pytest.mark.parametrize("at", [0, 3])
 def test_fraud_stopped_between_its_two_sinks(spark, tmp_path, at):
     path = str(tmp_path)
